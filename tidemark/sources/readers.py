@@ -8,7 +8,7 @@ import zipfile
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 
@@ -94,11 +94,20 @@ METRIC_LINE = r'^([A-Za-z_:][A-Za-z0-9_:]*)(?:\{(.*)\})?\s+(\S+)(?:\s+(\d+))?\s*
 LABEL_PAIR = r'([A-Za-z_][A-Za-z0-9_]*)\s*=\s*"((?:[^"\\]|\\.)*)"'
 
 
+def _unescaped(text: Column) -> Column:
+    """Undo the escapes of a label value: backslash, quote and line feed."""
+    plain = F.replace(text, F.lit('\\"'), F.lit('"'))
+    plain = F.regexp_replace(plain, r"(?<!\\)((?:\\\\)*)\\n", "$1\n")
+    return F.when(text.contains("\\"), F.replace(plain, F.lit("\\\\"), F.lit("\\"))).otherwise(text)
+
+
 def parse_metric_lines(lines: DataFrame, line: str = "value") -> DataFrame:
     """Exposition lines to (metric, labels, value); comments and blank lines are skipped."""
     text = F.trim(F.col(line))
     names = F.regexp_extract_all(F.col("_labels"), F.lit(LABEL_PAIR), 1)
-    values = F.regexp_extract_all(F.col("_labels"), F.lit(LABEL_PAIR), 2)
+    values = F.transform(
+        F.regexp_extract_all(F.col("_labels"), F.lit(LABEL_PAIR), 2), _unescaped
+    )
     number = F.regexp_extract(text, METRIC_LINE, 3)
     return (
         lines.filter(text.rlike(METRIC_LINE) & ~text.startswith("#"))

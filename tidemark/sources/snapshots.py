@@ -1,0 +1,104 @@
+"""Versioned parquet folders: publish a DataFrame as the next version of a table.
+
+``<path>/_v<n>`` names the data folder of version n. A marker is created only if it does not
+exist, so of two writers that started from the same version one fails and retries.
+"""
+
+from __future__ import annotations
+
+import random
+import time
+import uuid
+from collections.abc import Callable
+
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+
+class CommitConflict(RuntimeError):
+    """Another writer published the same version first."""
+
+
+class SnapshotTable:
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark = spark
+        self.path = path.rstrip("/")
+        self._jvm = spark.sparkContext._jvm
+        self._root = self._jvm.org.apache.hadoop.fs.Path(self.path)
+        self._fs = self._root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+    def _marker(self, version: int):
+        return self._jvm.org.apache.hadoop.fs.Path(f"{self.path}/_v{version}")
+
+    def versions(self) -> list[int]:
+        """Published versions; a marker still being written does not count."""
+        if not self._fs.exists(self._root):
+            return []
+        found = self._fs.listStatus(self._root)
+        return sorted(
+            int(s.getPath().getName()[2:])
+            for s in found
+            if s.getPath().getName().startswith("_v") and s.getLen() > 0
+        )
+
+    def latest(self) -> int:
+        known = self.versions()
+        return known[-1] if known else 0
+
+    def folder(self, version: int | None = None) -> str:
+        stream = self._fs.open(self._marker(version or self.latest()))
+        try:
+            return f"{self.path}/{stream.readUTF()}"
+        finally:
+            stream.close()
+
+    def read(self, version: int | None = None) -> DataFrame:
+        return self.spark.read.parquet(self.folder(version))
+
+    def read_merged(self, versions: list[int]) -> DataFrame:
+        """Several versions as one table; columns added later are null in older rows."""
+        folders = [self.folder(v) for v in versions]
+        return self.spark.read.option("mergeSchema", True).parquet(*folders)
+
+    def commit(
+        self, df: DataFrame, base: int | None = None, partition_by: list[str] | None = None
+    ) -> int:
+        """Write ``df`` and publish it as version ``base + 1``."""
+        version = (self.latest() if base is None else base) + 1
+        name = f"data-{version}-{uuid.uuid4().hex}"
+        writer = df.write
+        if partition_by:
+            writer = writer.partitionBy(*partition_by)
+        writer.parquet(f"{self.path}/{name}")
+        try:
+            stream = self._fs.create(self._marker(version), False)
+        except Py4JJavaError as error:
+            raise CommitConflict(f"version {version} of {self.path} exists") from error
+        try:
+            stream.writeUTF(name)
+        finally:
+            stream.close()
+        return version
+
+    def commit_with_retry(
+        self,
+        change: Callable[[DataFrame], DataFrame],
+        attempts: int = 3,
+        pause: float = 1.0,
+        partition_by: list[str] | None = None,
+    ) -> tuple[int, int]:
+        """Read, change and publish; a lost race reads again. Gives (version, attempt)."""
+        for attempt in range(1, attempts + 1):
+            base = self.latest()
+            try:
+                return self.commit(change(self.read(base)), base, partition_by), attempt
+            except CommitConflict:
+                if attempt == attempts:
+                    raise
+                time.sleep(pause * (1 + random.random()))
+        raise ValueError("attempts must be positive")
+
+    def size_mb(self, version: int | None = None) -> DataFrame:
+        """Size of a version's data files, from the file metadata of a scan."""
+        files = self.read(version).select("_metadata.file_path", "_metadata.file_size").distinct()
+        return files.agg((F.sum("file_size") / (1024 * 1024)).alias("size_mb"))
