@@ -55,16 +55,21 @@ def weighted_score(ratios: dict[str, Column], shares: dict[str, float] | None =
     return F.exp(total)
 
 
+def side_by_side(left: DataFrame, right: DataFrame) -> DataFrame:
+    """The columns of two one-row tables in one row."""
+    return left.withColumn("_k", F.lit(1)).join(right.withColumn("_k", F.lit(1)), "_k").drop("_k")
+
+
 def compare_snapshots(base: DataFrame, other: DataFrame, digits: int = 6) -> DataFrame:
     """All ratios of two snapshots in one row; each side is one row with nested runs."""
-    loads = base.select(F.col("load_time").alias("bl"), F.col("data_size").alias("bs")).join(
-        other.select("load_time", "data_size"), F.lit(True)
-    )
-    ratios = pairwise_ratio(query_runs(base), query_runs(other))
-    row = loads.select(
+    loads = side_by_side(
+        base.select(F.col("load_time").alias("bl"), F.col("data_size").alias("bs")),
+        other.select("load_time", "data_size"),
+    ).select(
         (F.col("load_time") / F.col("bl")).alias("load_ratio"),
         (F.col("data_size") / F.col("bs")).alias("size_ratio"),
-    ).join(ratios, F.lit(True))
+    )
+    row = side_by_side(loads, pairwise_ratio(query_runs(base), query_runs(other)))
     combined = weighted_score(
         {
             "load": F.col("load_ratio"),

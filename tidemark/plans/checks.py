@@ -209,8 +209,7 @@ def weighted_score(t: Tables) -> DataFrame:
         ).alias("load"),
         (F.count_if(flag == "R").cast("double") / F.count_if(flag == "A")).alias("size"),
     )
-    # two one-row tables side by side
-    row = ratios.withColumn("k", F.lit(1)).join(sizes.withColumn("k", F.lit(1)), "k")
+    row = B.side_by_side(ratios, sizes)
     score = B.weighted_score(
         {"load": F.col("load"), "size": F.col("size"), "cold": F.col("cold_ratio"), "hot": F.col("hot_ratio")}
     )

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from tidemark.operators import keyed as K
+from tidemark.operators.benchmarks import side_by_side
 from tidemark.plans.catalog import query
 from tidemark.session import new_folder
 from tidemark.sources.snapshots import SnapshotTable
@@ -246,12 +247,8 @@ def compact_files(t: Tables) -> DataFrame:
     before = files(1).agg(F.count(F.lit(1)).alias("before"))
     after = files(2).agg(F.count(F.lit(1)).alias("after"))
     counted = table.read().agg(F.count(F.lit(1)).alias("row_count"))
-    # three one-row tables side by side
-    return (
-        counted.withColumn("k", F.lit(1))
-        .join(before.withColumn("k", F.lit(1)), "k")
-        .join(after.withColumn("k", F.lit(1)), "k")
-        .select("row_count", (F.col("after") < F.col("before")).alias("fewer_files"))
+    return side_by_side(counted, side_by_side(before, after)).select(
+        "row_count", (F.col("after") < F.col("before")).alias("fewer_files")
     )
 
 
