@@ -57,7 +57,13 @@ def weighted_score(ratios: dict[str, Column], shares: dict[str, float] | None =
 
 def side_by_side(left: DataFrame, right: DataFrame) -> DataFrame:
     """The columns of two one-row tables in one row."""
-    return left.withColumn("_k", F.lit(1)).join(right.withColumn("_k", F.lit(1)), "_k").drop("_k")
+    both = left.select(F.struct("*").alias("_left")).unionByName(
+        right.select(F.struct("*").alias("_right")), allowMissingColumns=True
+    )
+    return both.agg(
+        F.first("_left", ignorenulls=True).alias("_left"),
+        F.first("_right", ignorenulls=True).alias("_right"),
+    ).select("_left.*", "_right.*")
 
 
 def compare_snapshots(base: DataFrame, other: DataFrame, digits: int = 6) -> DataFrame:
