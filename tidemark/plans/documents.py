@@ -72,13 +72,17 @@ RAW = f"""
 """
 
 
+def documents(t: Tables) -> DataFrame:
+    return t.spread("documents", "doc_id", "text", "source")
+
+
 def raw_topics(t: Tables) -> list[DataFrame]:
-    raw = raw_events(t.documents)
+    raw = raw_events(documents(t))
     return [raw.filter(F.col("topic") == name) for name in TOPICS]
 
 
 def valid(t: Tables) -> DataFrame:
-    return D.normalize(raw_events(t.documents), MIN_CHARS)[0]
+    return D.normalize(raw_events(documents(t)), MIN_CHARS)[0]
 
 
 @query(
@@ -126,7 +130,7 @@ def _letters(dead: DataFrame) -> DataFrame:
 
 @query("dlq_split", DLQ_SQL)
 def dlq_split(t: Tables) -> DataFrame:
-    return _letters(D.normalize(raw_events(t.documents), MIN_CHARS)[1])
+    return _letters(D.normalize(raw_events(documents(t)), MIN_CHARS)[1])
 
 
 @query(
@@ -142,7 +146,7 @@ def dlq_split(t: Tables) -> DataFrame:
     """,
 )
 def dlq_replay(t: Tables) -> DataFrame:
-    good, dead = D.normalize(raw_events(t.documents), MIN_CHARS)
+    good, dead = D.normalize(raw_events(documents(t)), MIN_CHARS)
     recovered = dead.filter(F.col("reason") != D.EMPTY_TEXT)
     events, _ = D.replay(good, recovered, min_chars=9)
     return events.groupBy("topic", "document_id").agg(
@@ -218,7 +222,7 @@ def edition_history(t: Tables) -> DataFrame:
 )
 def references(t: Tables) -> DataFrame:
     return (
-        D.references(t.pages, "page_id", "html")
+        D.references(t.spread("pages", "page_id", "html"), "page_id", "html")
         .groupBy("source_document_id", "target")
         .agg(F.count(F.lit(1)).alias("links"))
     )
@@ -236,7 +240,7 @@ TERMS = r"""regexp_split_to_array(lower(text), '[ \t\n\x0B\f\r.,;:!?()\[\]"''<>/
     """,
 )
 def inverted_index(t: Tables) -> DataFrame:
-    return D.inverted_index(t.documents, "doc_id", "text")
+    return D.inverted_index(t.spread("documents", "doc_id", "text"), "doc_id", "text")
 
 
 @query(
@@ -253,7 +257,7 @@ def inverted_index(t: Tables) -> DataFrame:
 def retention(t: Tables) -> DataFrame:
     names = ["docs.law.raw.v1", "docs.normalized.v1", "docs.references.v1", "docs.edition-events.v1"]
     stream = F.get(F.array(*(F.lit(x) for x in names)), (F.col("offset") % 4).cast("int"))
-    events = raw_events(t.documents).withColumn("stream", stream)
+    events = raw_events(documents(t)).withColumn("stream", stream)
     kept = D.apply_retention(events, NOW, D.days_of(F.col("stream")))
     return kept.groupBy("stream").agg(
         F.count(F.lit(1)).alias("events"), F.min("offset").alias("lowest")
@@ -274,7 +278,7 @@ def compact_delete(t: Tables) -> DataFrame:
 
 @query("ordered_events", f"WITH {RAW} SELECT key, \"offset\", topic FROM e")
 def ordered_events(t: Tables) -> DataFrame:
-    return D.in_key_order(raw_events(t.documents), "key", "offset").select("key", "offset", "topic")
+    return D.in_key_order(raw_events(documents(t)), "key", "offset").select("key", "offset", "topic")
 
 
 @query(
@@ -286,7 +290,7 @@ def ordered_events(t: Tables) -> DataFrame:
     """,
 )
 def consumer_lag(t: Tables) -> DataFrame:
-    events = raw_events(t.documents)
+    events = raw_events(documents(t))
     committed = (
         events.filter(F.col("offset") % 10 < 9)
         .groupBy("topic", "partition")
