@@ -14,7 +14,7 @@ from tidemark.operators import segments as G
 def rows(spark):
     rng = random.Random(5)
     data = [
-        (rng.choice(["hot", "hot", "hot", "a", "b"]), rng.randrange(40), i, rng.randrange(100))
+        (rng.choice(["hot", "hot", "hot", "a", None]), rng.randrange(40), i, rng.randrange(100))
         for i in range(700)
     ]
     return spark.createDataFrame(data, "k STRING, day INT, id INT, v INT").cache()
@@ -47,10 +47,14 @@ def test_equal_to_plain_windows(rows, width, tail, reverse):
         *(G.earlier_value("v", window, i).alias(f"lag{i}") for i in range(1, tail + 1)),
     )
     assert sorted(map(tuple, found.collect())) == sorted(map(tuple, expected.collect()))
+    assert found.count() == rows.count()
 
 
-def test_no_window_over_a_whole_key_of_rows(rows):
-    split = G.segmented(rows, ["k"], F.col("day"), ["day", "id"], ["v"])
-    text = split._jdf.queryExecution().optimizedPlan().toString()
-    windows = [line for line in text.splitlines() if "Window [" in line]
-    assert windows and all("_tail" in line or "_rows" in line for line in windows)
+def test_rows_are_shuffled_and_sorted_once(spark, rows):
+    split = G.segmented(rows, ["k"], F.col("day"), ["day", "id"], ["v"], 1, {"t": F.col("v")})
+    window = G.inside(["k"], ["day", "id"])
+    found = split.select("id", G.running_total("t", F.col("v"), window), G.earlier_value("v", window))
+    text = found._jdf.queryExecution().executedPlan().toString()
+    above_union = text[: text.index("Union")]
+    assert above_union.count("Exchange") == 1 and above_union.count("Sort ") == 1
+    assert "Join" not in text

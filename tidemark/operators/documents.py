@@ -57,10 +57,14 @@ def checked(raw: DataFrame, min_chars: int = 1) -> DataFrame:
     )
     schema = PAYLOAD + ", _corrupt STRING"
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}
-    return (
-        raw.withColumn("_body", F.from_json("value", schema, options))
-        .withColumn("reason", reason)
-        .withColumn("document_id", F.coalesce(known, F.col("key")))
+    verdict = F.struct(
+        reason.alias("reason"),
+        F.coalesce(known, F.col("key")).alias("document_id"),
+        *(body.getField(c).alias(c) for c in ("event_id", "version", "text")),
+    )
+    # generating the verdict keeps filters on it from parsing the payload again
+    return raw.withColumn("_body", F.from_json("value", schema, options)).select(
+        *raw.columns, F.inline(F.array(verdict))
     )
 
 
@@ -69,9 +73,9 @@ def valid_events(checked_events: DataFrame) -> DataFrame:
     return checked_events.filter(F.col("reason").isNull()).select(
         "topic",
         "document_id",
-        F.col("_body.event_id").alias("event_id"),
-        F.col("_body.version").alias("version"),
-        F.col("_body.text").alias("text"),
+        "event_id",
+        "version",
+        "text",
         "timestamp",
         "offset",
         F.col("value").isNull().alias("tombstone"),

@@ -2,8 +2,9 @@
 
 A window partitioned by a key alone puts a whole key into one task. Here each key is cut into
 segments along its order, windows run per (key, segment), and what crosses a border (the last
-rows and the totals of the segments before) comes from a summary with one row per segment.
-``segment`` must never decrease along the order.
+rows and the totals of the segments before) comes from a summary with one row per segment. The
+summary rows travel to their segments in the same shuffle as the rows, so there is no join, and
+all windows share one sort. ``segment`` must never decrease along the order.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
 
 def _sorted_by(order: list[str], reverse: bool) -> list[Column]:
-    return [F.col(c).desc() if reverse else F.col(c).asc() for c in order]
+    return [F.col(c).desc_nulls_first() if reverse else F.col(c).asc() for c in order]
 
 
 def segmented(
@@ -59,7 +60,15 @@ def segmented(
             .withColumn("_tail", F.transform("_picked", lambda x: x["r"]))
             .drop("_picked")
         )
-        summary = base.groupBy(*group).agg(*measures).join(last, group)
+        counted = base.groupBy(*group).agg(*measures)
+        summary = (
+            counted.unionByName(last, allowMissingColumns=True)
+            .groupBy(*group)
+            .agg(
+                *(F.max(c).alias(c) for c in counted.columns if c not in group),
+                F.first("_tail", ignorenulls=True).alias("_tail"),
+            )
+        )
     along = Window.partitionBy(*keys).orderBy(*_sorted_by(["_segment"], reverse))
     earlier = along.rowsBetween(Window.unboundedPreceding, -1)
     before = [F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("rows")]
@@ -69,7 +78,16 @@ def segmented(
         kept = F.slice(near, F.greatest(F.size(near) - tail, F.lit(0)) + 1, F.lit(tail))
         before.append(kept.alias("tail"))
     borders = summary.select(*group, F.struct(*before).alias("_before"))
-    return base.join(borders, group)
+    whole = inside(keys, order, reverse).rowsBetween(
+        Window.unboundedPreceding, Window.unboundedFollowing
+    )
+    return (
+        base.withColumn("_border", F.lit(False))
+        .unionByName(borders.withColumn("_border", F.lit(True)), allowMissingColumns=True)
+        .withColumn("_before", F.first("_before", ignorenulls=True).over(whole))
+        .filter(~F.col("_border"))
+        .drop("_border")
+    )
 
 
 def inside(keys: list[str], order: list[str], reverse: bool = False) -> WindowSpec:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from tidemark.functions.numbers import exact
 from tidemark.operators import relational as R
@@ -328,21 +328,18 @@ def window_patterns(t: Tables) -> DataFrame:
         F.to_date("o_orderdate").alias("d"),
         F.round(F.col("o_totalprice") * 100).cast("bigint").alias("c"),
     )
-    first_of_day = R.group_count(orders, ["o_custkey", "d"]).select(
-        "o_custkey", F.col("d"), F.trunc("d", "month").alias("m")
-    )
     keys, order = ["o_custkey"], ["d", "o_orderkey"]
+    # the first order of a day counts the day, so their running total is the dense rank
+    day = Window.partitionBy("o_custkey", "d").orderBy("o_orderkey")
+    marked = orders.withColumn("first", (F.row_number().over(day) == 1).cast("bigint"))
     rows = G.segmented(
-        orders,
+        marked,
         keys,
         F.trunc("d", "month"),
         order,
         keep=["c"],
         tail=2,
-        totals={"total": F.col("c")},
-    )
-    days_before = G.segmented(first_of_day, keys, F.col("m"), ["d"]).select(
-        "o_custkey", "d", G.position(G.inside(keys, ["d"])).alias("day_dense_rank")
+        totals={"total": F.col("c"), "days": F.col("first")},
     )
     w = G.inside(keys, order)
     one, two = G.earlier_value("c", w, 1), G.earlier_value("c", w, 2)
@@ -351,13 +348,13 @@ def window_patterns(t: Tables) -> DataFrame:
     return rows.select(
         "o_custkey",
         "o_orderkey",
-        "d",
         (G.running_total("total", F.col("c"), w).cast("double") / 100).alias("running_total"),
         F.round(moving / spread / 100, 4).alias("moving_avg"),
         ((F.col("c") - one).cast("double") / 100).alias("change"),
         G.position(w).alias("place"),
         G.rank_position(keys, ["d"]).alias("day_rank"),
-    ).join(days_before, ["o_custkey", "d"]).drop("d")
+        G.running_total("days", F.col("first"), w).cast("bigint").alias("day_dense_rank"),
+    )
 
 
 @query(
