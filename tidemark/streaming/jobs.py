@@ -172,12 +172,3 @@ def episode_stream(
         write_batch(tails.select(*columns), tails_path, batch_id)
 
     return per_batch(events, checkpoint, work)
-
-
-def rows_behind(query: StreamingQuery) -> int:
-    """Input rows of the last trigger that its sink has not yet taken."""
-    progress = query.lastProgress
-    if progress is None:
-        return 0
-    written = progress["sink"].get("numOutputRows", -1)
-    return 0 if written in (None, -1) else max(0, progress["numInputRows"] - written)
