@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_module
 from tidemark.operators import relational as R
-from tidemark.plans import sessions as P
 from tidemark.operators import sessions as S
 from tidemark.session import new_folder
 from tidemark.sources.tables import Tables
@@ -73,12 +72,26 @@ def test_hint_names_the_alias(spark, small):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
-def test_parsing_needs_no_shuffle(spark, small):
-    files = P.session_files(Tables(spark, small))
+def test_parsing_needs_no_shuffle(spark):
+    files = spark.createDataFrame([("f", "DOC_OPEN 1 A")], "source_file STRING, content STRING")
     for frame in S.parse_sessions(files):
         assert "Exchange" not in plan(frame) and "Window" not in plan(frame)
 
 
+def test_only_tables_of_few_splits_are_dealt_out(spark, small):
+    tables = Tables(spark, small)
+    assert "RoundRobin" in plan(tables.spread("documents", "doc_id"))
+    path = new_folder(spark, "wide")
+    spark.range(0, 900, 1, 9).toDF("doc_id").write.parquet(f"{path}/documents.parquet")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "300")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        assert "RoundRobin" not in plan(Tables(spark, path).spread("documents", "doc_id"))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
 def test_unused_nested_fields_are_not_read(spark, small):
     text = optimized(entry_module.queries()["nested_explode"](spark, small))
     assert "AS flag" not in text
