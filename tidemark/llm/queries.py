@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.llm import simhash
+from tidemark.llm import simhash, substrings, suffixes
 from tidemark.llm.common import hex64
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -31,3 +32,15 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 def op8(spark: SparkSession, folder: str) -> DataFrame:
     groups = simhash.simhash_groups(table(spark, folder, "documents"), shingle=3, distance=3)
     return groups.select("doc_id", hex64(groups.fingerprint).alias("fingerprint"), "component_id")
+
+
+@query("op3_substring_dedup")
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    found = substrings.remove_repeated_passages(table(spark, folder, "documents"), length=35)
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op5_suffix_array_dedup")
+def op5(spark: SparkSession, folder: str) -> DataFrame:
+    found = suffixes.remove_earlier_strings(table(spark, folder, "documents"), length=50)
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
