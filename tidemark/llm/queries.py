@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import simhash, substrings, suffixes
+from tidemark.llm import mixing, sharding, simhash, substrings, suffixes
 from tidemark.llm.common import hex64
+from tidemark.session import new_folder, stored
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -44,3 +45,83 @@ def op3(spark: SparkSession, folder: str) -> DataFrame:
 def op5(spark: SparkSession, folder: str) -> DataFrame:
     found = suffixes.remove_earlier_strings(table(spark, folder, "documents"), length=50)
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op1_sharding")
+def op1(spark: SparkSession, folder: str) -> DataFrame:
+    text = F.coalesce("text", F.lit(""))
+    digests = table(spark, folder, "documents").select(
+        "doc_id",
+        (F.octet_length(text) + 8).cast("long").alias("size"),
+        F.crc32(text.cast("binary")).alias("text_crc32"),
+    )
+    units = stored(sharding.copies_in_blocks(digests, ["doc_id", "size", "text_crc32"]), "units")
+    weight = F.col("size") * F.col("copies")
+    placed = units.withColumn("virtual_slot", sharding.virtual_slot(F.col("doc_id"), F.col("text_crc32"), F.col("block")))
+    maps = new_folder(spark, "slot-map")
+    totals = sharding.slot_bytes(placed.select("virtual_slot", weight.alias("size")))
+    sharding.store_map(sharding.new_map(totals, 24), maps)
+    slot_map = sharding.load_map(spark, maps)
+    numbered = sharding.number_in_shard(placed, slot_map, ["doc_id", "size", "text_crc32", "block"])
+    rows = numbered.withColumn("copy", F.explode(F.sequence(F.lit(0), (F.col("copies") - 1).cast("int"))))
+    return rows.select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("bytes").alias("law"),
+        sharding.shard_of(F.col("virtual_slot"), slot_map).alias("shard"),
+        (F.col("first") + F.col("copy")).alias("slot"),
+        F.lit(None).cast("int").alias("grown_shard"),
+        "virtual_slot",
+    )
+
+
+OP6_SQL = r"""
+with sized as (
+  select doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::bigint as size
+  from documents
+), numbered as (
+  select *, (row_number() over (partition by doc_id, source, size) - 1) // 64 as block from sized
+), hashed as (
+  select *, ('0x' || left(md5(coalesce('=' || doc_id, '') || '|=' || block), 15))::bigint as h from numbered
+), sources as (
+  select source, sum(size)::bigint as source_size from sized group by source
+), weighed as (
+  select *, [5, 2, 1][((row_number() over (order by source nulls last) - 1) % 3 + 1)::int]::double as w from sources
+), filled as (
+  select *, sum(source_size) over ()::double * 1.5::double as everything,
+    coalesce(sum(source_size) over (order by source_size / w, source nulls last
+      rows between unbounded preceding and 1 preceding), 0)::double as capped,
+    sum(w) over (order by source_size / w, source nulls last
+      rows between current row and unbounded following) as rest
+  from weighed
+), leveled as (
+  select *, (everything - 2 * capped) / rest as each from filled
+), aims as (
+  select source, source_size, coalesce(least(
+      (select arg_min(each, capped) from leveled where source_size * 2 > each * w) * w,
+      (source_size * 2)::double), (source_size * 2)::double) as target
+  from leveled
+), rounds as (
+  select *, case when source_size > 0 then floor(target / source_size)::bigint else 0 end as rounds from aims
+), sums as (
+  select h.*, r.source_size, r.target, r.rounds, r.target - r.rounds * r.source_size as budget,
+    sum(size) over (partition by h.source order by h range between unbounded preceding and current row) as upto,
+    sum(size) over (partition by h.source, h) as own
+  from hashed h join rounds r on h.source is not distinct from r.source
+)
+select doc_id, size, source_size, target,
+  (size * (rounds + case when budget > 0 and (upto <= budget
+    or upto - own <= budget and upto - budget < budget - (upto - own)) then 1 else 0 end))::bigint as taken
+from sums
+"""
+
+
+@query("op6_mixing_sources", OP6_SQL)
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    sizes = table(spark, folder, "documents").select("doc_id", "source", mixing.word_count(F.col("text")).alias("words"))
+    units = sharding.copies_in_blocks(sizes, ["doc_id", "source", "words"], block=64)
+    rows = stored(units.withColumn("hash", sharding.digest60(F.col("doc_id"), F.col("block"))), "units")
+    plan = mixing.mix_plan(rows.select("source", "hash", (F.col("words") * F.col("copies")).alias("size")), (5, 2, 1), 1.5, 2)
+    each = mixing.planned(rows, plan).withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
+    return each.select("doc_id", F.col("words").alias("size"), "source_size", "target", (F.col("words") * F.col("times")).alias("taken"))
