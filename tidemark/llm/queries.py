@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import mixing, sharding, simhash, substrings, suffixes
+from tidemark.llm import decontamination, mixing, sharding, simhash, substrings, suffixes, urls
 from tidemark.llm.common import hex64
 from tidemark.session import new_folder, stored
 
@@ -125,3 +125,77 @@ def op6(spark: SparkSession, folder: str) -> DataFrame:
     plan = mixing.mix_plan(rows.select("source", "hash", (F.col("words") * F.col("copies")).alias("size")), (5, 2, 1), 1.5, 2)
     each = mixing.planned(rows, plan).withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
     return each.select("doc_id", F.col("words").alias("size"), "source_size", "target", (F.col("words") * F.col("times")).alias("taken"))
+
+
+URL_RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
+
+OP9_SQL = r"""
+with rules(verdict, rule, rule_host, rule_path) as (
+  values ('block', 'net/', 'net', '/'), ('allow', 'example.net/en/', 'example.net', '/en/'),
+    ('block', 'example.com/de/', 'example.com', '/de/'), ('allow', 'org/fr/', 'org', '/fr/')
+), rests as (
+  select page_id, url, case when strpos(url, '://') > 0 then substr(url, strpos(url, '://') + 3) else '' end as rest from pages
+), hosts as (
+  select page_id, url, rest, regexp_extract(rest, '^[^/?#]*') as raw_host from rests
+), parts as (
+  select page_id, translate(raw_host, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
+    regexp_extract(substr(rest, length(raw_host) + 1), '^[^?#]*') as path from hosts
+)
+select page_id, host, path,
+  (select arg_max(r.rule, length(r.rule)) from rules r
+   where (p.host = r.rule_host or ends_with(p.host, '.' || r.rule_host)) and starts_with(p.path, r.rule_path)) as rule,
+  coalesce((select arg_max(r.verdict, length(r.rule)) from rules r
+   where (p.host = r.rule_host or ends_with(p.host, '.' || r.rule_host)) and starts_with(p.path, r.rule_path)), 'allow') as verdict
+from parts p
+"""
+
+
+@query("op9_url_filters", OP9_SQL)
+def op9(spark: SparkSession, folder: str) -> DataFrame:
+    pages = table(spark, folder, "pages").select("page_id", "url")
+    return urls.apply_rules(pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict")
+
+
+OP7_SQL = r"""
+with doc_words as (
+  select doc_id, text, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as words
+  from documents
+), items as (
+  select item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as words
+  from benchmark
+), item_windows as (
+  select distinct item_id, least(len(words), 10) as n, array_to_string(words[i : i + 9], ' ') as win
+  from items, unnest(range(1, greatest(len(words) - 9, 1) + 1)) t(i) where len(words) > 0
+), sizes as (
+  select distinct n from item_windows
+), doc_windows as (
+  select doc_id, i, n, array_to_string(words[i : i + n - 1], ' ') as win
+  from doc_words, sizes, unnest(range(1, len(words) - n + 2)) t(i) where len(words) >= n
+), found as (
+  select d.doc_id, d.i, d.n, w.item_id from doc_windows d join item_windows w on d.n = w.n and d.win = w.win
+), hits as (
+  select doc_id, count(distinct p) as n_hit from found, unnest(range(i, i + n)) t(p) group by doc_id
+), listed as (
+  select doc_id, count(*) as n_items, string_agg(item, ',' order by item) as ids
+  from (select distinct doc_id, item_id::varchar as item from found) group by doc_id
+)
+select d.doc_id, len(d.words)::bigint as n_words, coalesce(h.n_hit, 0)::bigint as n_hit,
+  coalesce(l.n_items, 0)::bigint as n_items, sha256(coalesce(l.ids, '')) as items_sha256, h.n_hit is not null as contaminated
+from doc_words d left join hits h using (doc_id) left join listed l using (doc_id)
+"""
+
+
+@query("op7_benchmark_decontamination", OP7_SQL)
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    found = decontamination.contamination(docs, table(spark, folder, "benchmark"), length=10)
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        "contaminated",
+    )
