@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontamination, mixing, sharding, simhash, substrings, suffixes, urls
+from tidemark.llm import decontamination, extraction, mixing, sharding, simhash, substrings, suffixes, urls
 from tidemark.llm.common import hex64
 from tidemark.session import new_folder, stored
 
@@ -199,3 +199,8 @@ def op7(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
         "contaminated",
     )
+
+
+@query("op10_html_extraction")
+def op10(spark: SparkSession, folder: str) -> DataFrame:
+    return extraction.extract_main_text(table(spark, folder, "pages"), ["page_id", "url"])
