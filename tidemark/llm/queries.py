@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontamination, extraction, mixing, sharding, simhash, substrings, suffixes, urls
+from tidemark.llm import decontamination, extraction, knn, mixing, sharding, simhash, substrings, suffixes, urls
 from tidemark.llm.common import hex64
 from tidemark.session import new_folder, stored
 
@@ -204,3 +204,9 @@ def op7(spark: SparkSession, folder: str) -> DataFrame:
 @query("op10_html_extraction")
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     return extraction.extract_main_text(table(spark, folder, "pages"), ["page_id", "url"])
+
+
+@query("op2_exact_top_k")
+def op2(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, "embeddings").select("vec_id", knn.quantized(F.col("embedding")).alias("v"))
+    return knn.exact_top_k(rows.where(F.col("vec_id") % 50 == 0), rows, "vec_id", "v", k=5)
