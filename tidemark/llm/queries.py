@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontamination, extraction, knn, mixing, sharding, simhash, substrings, suffixes, urls
+from tidemark.llm import decontamination, extraction, knn, language, mixing, sharding, simhash, substrings, suffixes, urls
 from tidemark.llm.common import hex64
 from tidemark.session import new_folder, stored
 
@@ -210,3 +210,20 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
 def op2(spark: SparkSession, folder: str) -> DataFrame:
     rows = table(spark, folder, "embeddings").select("vec_id", knn.quantized(F.col("embedding")).alias("v"))
     return knn.exact_top_k(rows.where(F.col("vec_id") % 50 == 0), rows, "vec_id", "v", k=5)
+
+
+def held_out() -> Column:
+    """Rows that the language model must not learn from."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2
+
+
+def language_model(docs: DataFrame) -> language.Model:
+    return language.fit(docs.where(~F.coalesce(held_out(), F.lit(False))))
+
+
+@query("op4_language_id")
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    rows = docs.select("doc_id", F.coalesce(held_out(), F.lit(False)).alias("held_out"), "text")
+    found = language.identify(rows, language_model(docs), ["doc_id", "held_out"])
+    return found.select("doc_id", "held_out", "lang_pred", "score")
