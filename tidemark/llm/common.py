@@ -43,3 +43,9 @@ def ascii_lower(column: Column) -> Column:
 def hex64(column: Column) -> Column:
     """A long as 16 lowercase hex digits, its sign bit being the first binary digit."""
     return F.lower(F.lpad(F.hex(column), 16, "0"))
+
+
+def whole_row(docs: DataFrame) -> Column:
+    """All columns of ``docs`` as one struct named ``row``, whatever they are called; ``row.*``
+    unpacks it again."""
+    return F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")

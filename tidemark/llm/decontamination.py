@@ -14,7 +14,7 @@ from collections.abc import Iterator
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import ascii_lower, pieces
+from tidemark.llm.common import ascii_lower, pieces, whole_row
 from tidemark.session import stored
 
 #: Words of a text with A to Z lower-cased are runs of 0-9, a-z and anything beyond
@@ -137,6 +137,7 @@ def _same(a: str, b: str, key: list[str]) -> Column:
 
 def clean_documents(docs: DataFrame, items: DataFrame, length: int = 10, id_column: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs`` in which no window of an item occurs, with all their columns."""
-    hit = contamination(docs, items, length, id_column, text).where("contaminated").select(F.col(id_column).alias("_id"), F.col("text_digest").alias("_digest"))
-    same = F.col(id_column).eqNullSafe(F.col("_id")) & (F.xxhash64(F.col(text)) == F.col("_digest"))
-    return docs.join(stored(hit.distinct(), "contaminated"), same, "left_anti")
+    found = contamination(docs, items, length, id_column, text).where("contaminated")
+    hit = stored(found.select(F.col(id_column).alias("_id"), F.col("text_digest").alias("_digest")).distinct(), "contaminated")
+    rows = docs.select(whole_row(docs), F.col(id_column).alias("id"), F.xxhash64(F.col(text)).alias("digest"))
+    return rows.join(hit, F.col("id").eqNullSafe(F.col("_id")) & (F.col("digest") == F.col("_digest")), "left_anti").select("row.*")

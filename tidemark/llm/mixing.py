@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import WORD_PATTERN
+from tidemark.llm.common import WORD_PATTERN, whole_row
 from tidemark.llm.sharding import digest60
 from tidemark.session import stored
 
@@ -115,8 +115,8 @@ def mixed(
     A row's size is its number of words. Its hash comes from its id and text, so that equal rows go
     together; a null id, text or source is a value like any other.
     """
-    columns = docs.columns
-    sized = docs.withColumns({"_size": word_count(F.col(text)), "_hash": digest60(F.col(id_column), F.crc32(F.col(text).cast("binary")))})
-    rows = stored(sized.select(F.col(source).alias("source"), F.col("_hash").alias("hash"), F.col("_size").alias("size")), "sizes")
-    taken = planned(sized, mix_plan(rows, weights, share, limit), source, "_hash").where("times > 0")
-    return taken.withColumn("_time", F.explode(F.sequence(F.lit(1), "times"))).select(*[F.col(f"`{c}`") for c in columns])
+    place = digest60(F.col(id_column), F.crc32(F.col(text).cast("binary"))).alias("hash")
+    rows = docs.select(whole_row(docs), F.col(source).alias("source"), place, word_count(F.col(text)).alias("size"))
+    sizes = stored(rows.select("source", "hash", "size"), "sizes")
+    taken = planned(rows, mix_plan(sizes, weights, share, limit)).where("times > 0")
+    return taken.select("row", F.explode(F.sequence(F.lit(1), "times"))).select("row.*")

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import heapq
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 SLOTS = 8192
@@ -108,14 +108,14 @@ def shard_of(slot: Column, slot_map: DataFrame) -> Column:
     return F.element_at(F.lit(owner), slot + 1)
 
 
-def assign(rows: DataFrame, key: list[str], size: Column, shards: int, folder: str | None = None, slots: int = SLOTS) -> DataFrame:
-    """All rows with ``virtual_slot`` and ``shard``, sizes of shards being nearly equal.
+def assign(rows: DataFrame, key: list[Column], size: Column, shards: int, folder: str | None = None, slots: int = SLOTS) -> DataFrame:
+    """All rows with ``virtual_slot`` and ``shard`` (in place of columns so named), sizes of shards
+    being nearly equal.
 
-    ``key``: the columns that name a row, nulls allowed; rows equal in all of them share a slot, so
-    that it is for the caller to add a column that tells many copies apart. ``size``: a row's
-    bytes. ``folder``: where the map's version is stored. No rows give no rows.
+    ``key``: what names a row, nulls allowed; rows equal in all of it share a slot, so that it is
+    for the caller to add what tells many copies apart. ``size``: a row's bytes, not null. ``folder``: where the map's version is stored. No rows give no rows.
     """
-    placed = rows.withColumn("virtual_slot", virtual_slot(*[F.col(k) for k in key], slots=slots))
+    placed = rows.withColumn("virtual_slot", virtual_slot(*key, slots=slots))
     totals = slot_bytes(placed.select("virtual_slot", size.alias("size")))
     slot_map = new_map(totals, shards, slots)
     if folder:
@@ -139,8 +139,6 @@ def number_in_shard(units: DataFrame, slot_map: DataFrame, order: list[str], cop
     A unit counts ``copies`` places. Units are numbered within their virtual slot, and slots get
     their start from the counts of the slots before them in the shard.
     """
-    from pyspark.sql import Window
-
     owned = slot_map.select("virtual_slot", "shard")
     counts = units.groupBy("virtual_slot").agg(F.sum(copies).alias("_rows")).join(F.broadcast(owned), "virtual_slot")
     before = Window.partitionBy("shard").orderBy("virtual_slot").rowsBetween(Window.unboundedPreceding, -1)

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from tidemark.llm.common import word_blocks
+from tidemark.llm.common import whole_row, word_blocks
 from tidemark.llm.components import connected_components
 from tidemark.session import stored
 
@@ -244,7 +244,6 @@ def drop_near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str =
         .select(F.col("_first.id").alias("_id"), F.col("_first.digest").alias("_digest"))
         .distinct()
     )
-    kept = docs.withColumn("_digest", F.xxhash64(F.col(text))).alias("d").join(
-        keep.alias("k"), F.col(f"d.{id_column}").eqNullSafe(F.col("k._id")) & (F.col("d._digest") == F.col("k._digest")), "left_semi"
-    )
-    return kept.dropDuplicates([id_column, "_digest"]).drop("_digest")
+    rows = docs.select(whole_row(docs), F.col(id_column).alias("id"), F.xxhash64(F.col(text)).alias("digest"))
+    kept = rows.join(keep, F.col("id").eqNullSafe(F.col("_id")) & (F.col("digest") == F.col("_digest")), "left_semi")
+    return kept.dropDuplicates(["id", "digest"]).select("row.*")
