@@ -55,7 +55,7 @@ def op1(spark: SparkSession, folder: str) -> DataFrame:
         (F.octet_length(text) + 8).cast("long").alias("size"),
         F.crc32(text.cast("binary")).alias("text_crc32"),
     )
-    units = stored(sharding.copies_in_blocks(digests, ["doc_id", "size", "text_crc32"]), "units")
+    units = stored(sharding.copies_in_blocks(digests, ["doc_id", "size", "text_crc32"], block=16), "units")
     weight = F.col("size") * F.col("copies")
     placed = units.withColumn("virtual_slot", sharding.virtual_slot(F.col("doc_id"), F.col("text_crc32"), F.col("block")))
     maps = new_folder(spark, "slot-map")

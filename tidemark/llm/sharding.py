@@ -61,8 +61,8 @@ def new_map(bytes_by_slot: DataFrame, shards: int, slots: int = SLOTS) -> DataFr
 def rebalanced(slot_map: DataFrame, bytes_by_slot: DataFrame, shards: int) -> DataFrame:
     """The next version of the map for new sizes or another number of shards.
 
-    Slots of shards that are gone go to the emptiest shard; then, as long as it narrows the gap,
-    the best fitting slot of the fullest shard moves to the emptiest one. All others stay.
+    Slots of shards that are gone go to the emptiest shard; then, as long as that narrows the gap,
+    the best fitting slot of the fullest shard that has one moves to the emptiest. All others stay.
     """
     rows = sorted(slot_map.collect())
     slots, version = len(rows), rows[0].version + 1
@@ -75,11 +75,13 @@ def rebalanced(slot_map: DataFrame, bytes_by_slot: DataFrame, shards: int) -> Da
         load[owner[slot]] += sizes[slot]
         held[owner[slot]].append(slot)
     while True:
-        full = max(range(shards), key=lambda k: (load[k], -k))
         empty = min(range(shards), key=lambda k: (load[k], k))
-        gap = load[full] - load[empty]
-        fitting = [s for s in held[full] if 0 < sizes[s] < gap]
-        if not fitting:
+        for full in sorted(range(shards), key=lambda k: (-load[k], k)):
+            gap = load[full] - load[empty]
+            fitting = [s for s in held[full] if 0 < sizes[s] < gap]
+            if fitting:
+                break
+        else:
             return _table(slot_map.sparkSession, owner, sizes, version)
         slot = min(fitting, key=lambda s: (abs(2 * sizes[s] - gap), s))
         held[full].remove(slot)
@@ -124,7 +126,7 @@ def assign(rows: DataFrame, key: list[Column], size: Column, shards: int, folder
     return placed.withColumn("shard", shard_of(F.col("virtual_slot"), slot_map))
 
 
-def copies_in_blocks(rows: DataFrame, columns: list[str], block: int = 1024) -> DataFrame:
+def copies_in_blocks(rows: DataFrame, columns: list[str], block: int) -> DataFrame:
     """Distinct ``columns`` with ``block`` and ``copies``: equal rows counted before the shuffle and
     cut into blocks of at most ``block`` copies, so that a row repeated very often spreads out."""
     counted = rows.groupBy(*columns).agg(F.count("*").alias("_n"))
