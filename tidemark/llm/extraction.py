@@ -120,7 +120,7 @@ def lines_of(html: str) -> list[Line]:
         name = (found[2] or "").lower()
         if not name:
             continue
-        if name not in INLINE:
+        if name not in INLINE and name not in RAW:
             cut()
         if found[1]:
             match = next((e for e in here.chain() if e.name == name), None)
@@ -133,7 +133,6 @@ def lines_of(html: str) -> list[Line]:
             if not found[3].endswith("/"):
                 end = re.compile(rf"</{re.escape(name)}\b[^>]*>", re.I).search(html, at)
                 at = end.end() if end else len(html)
-            add(" ")
             continue
         if name not in INLINE:
             ends = CLOSES.get(name, set())

@@ -153,4 +153,4 @@ def _joined(parted: DataFrame, keys: Column, rules: list[tuple[str, str]]) -> Da
         .groupBy("host", "path")
         .agg(F.max(F.struct("n", "rule", "verdict")).alias("_best"))
     )
-    return parted.join(best, ["host", "path"], "left")
+    return parted.join(best, ["host", "path"], "left").select(*[F.col(f"`{c}`") for c in parted.columns], "_best")
