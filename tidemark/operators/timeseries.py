@@ -139,7 +139,11 @@ def rate(
     extrapolate: bool = False,
 ) -> DataFrame:
     """Growth per second."""
-    vector = increase(samples, seconds, at, step, extrapolate)
+    return per_second(increase(samples, seconds, at, step, extrapolate), seconds)
+
+
+def per_second(vector: DataFrame, seconds: int) -> DataFrame:
+    """Growth over ``seconds`` as growth per second; sums are best taken before."""
     return vector.withColumn("value", F.col("value") / seconds)
 
 

@@ -15,10 +15,12 @@ HALF = DAY // 2
 QUARTER = DAY // 4
 WEEK = 7 * DAY
 MONTH = 30 * DAY
+#: Sums of whole numbers divided by these ranges end within seven digits, so none is a tie.
+DIGITS = 8
 
 
 def shown(vector: DataFrame, labels: list[str]) -> DataFrame:
-    value = F.when(~F.isnan("value"), F.round("value", 6))
+    value = F.when(~F.isnan("value"), F.round("value", DIGITS))
     return vector.select(*labels, F.unix_seconds("at").alias("at_epoch"), value.alias("value"))
 
 
@@ -33,7 +35,7 @@ def _sum_sql(family: Family, seconds: int, step: int, labels: list[str], kind: s
     base = family.sql_instant if kind == "instant" else family.sql_increase
     scale = f" / {seconds}.0" if kind == "rate" else ""
     return (
-        f"WITH {base(seconds, step)} SELECT {keys}, round(sum(v{scale}), 6) AS value"
+        f"WITH {base(seconds, step)} SELECT {keys}, round(sum(v){scale}, {DIGITS}) AS value"
         f" FROM i WHERE {where} GROUP BY {keys}"
     )
 
@@ -53,10 +55,9 @@ def sum_panel(
     def build(t: Tables) -> DataFrame:
         samples = M.matching(family.samples(t), family.metric, **conditions)
         if kind == "instant":
-            vector = M.instant(samples, step=step, lookback=seconds)
-        else:
-            vector = {"rate": M.rate, "increase": M.increase}[kind](samples, seconds, step=step)
-        return shown(M.sum_by(vector, labels), labels)
+            return shown(M.sum_by(M.instant(samples, step=step, lookback=seconds), labels), labels)
+        grown = M.sum_by(M.increase(samples, seconds, step=step), labels)
+        return shown(M.per_second(grown, seconds) if kind == "rate" else grown, labels)
 
     query(name, _sum_sql(family, seconds, step, labels, kind, where))(build)
 
@@ -110,7 +111,7 @@ def _series_sql(family: Family, seconds: int, step: int, scale: str) -> str:
     keys = ", ".join(family.names)
     return (
         f"WITH {family.sql_increase(seconds, step)}"
-        f" SELECT {keys}, at_epoch, round(v{scale}, 6) AS value FROM i"
+        f" SELECT {keys}, at_epoch, round(v{scale}, {DIGITS}) AS value FROM i"
     )
 
 
@@ -131,7 +132,7 @@ def prom_increase(t: Tables) -> DataFrame:
     f"""
     WITH {D.MEMORY.sql_ranged(DAY, HALF)}
     SELECT namespace, pod, container, image, at_epoch,
-           round(arg_max(v, t) - arg_min(v, t), 6) AS value
+           round(arg_max(v, t) - arg_min(v, t), {DIGITS}) AS value
     FROM r GROUP BY ALL HAVING count(*) >= 2
     """,
 )
@@ -144,7 +145,7 @@ def prom_delta(t: Tables) -> DataFrame:
     "prom_instant",
     f"""
     WITH {D.UP.sql_instant(QUARTER, QUARTER)}
-    SELECT job, instance, at_epoch, round(v, 6) AS value FROM i
+    SELECT job, instance, at_epoch, round(v, {DIGITS}) AS value FROM i
     """,
 )
 def prom_instant(t: Tables) -> DataFrame:
@@ -156,7 +157,7 @@ def prom_instant(t: Tables) -> DataFrame:
     "prom_targets_down",
     f"""
     WITH {D.UP.sql_instant(QUARTER, QUARTER)}
-    SELECT job, instance, at_epoch, round(v, 6) AS value FROM i WHERE v = 0
+    SELECT job, instance, at_epoch, round(v, {DIGITS}) AS value FROM i WHERE v = 0
     """,
 )
 def prom_targets_down(t: Tables) -> DataFrame:
@@ -168,7 +169,7 @@ def prom_targets_down(t: Tables) -> DataFrame:
     "prom_sum_without",
     f"""
     WITH {D.HTTP.sql_increase(DAY, DAY)}
-    SELECT service, status, at_epoch, round(sum(v), 6) AS value FROM i GROUP BY ALL
+    SELECT service, status, at_epoch, round(sum(v), {DIGITS}) AS value FROM i GROUP BY ALL
     """,
 )
 def prom_sum_without(t: Tables) -> DataFrame:
@@ -190,21 +191,21 @@ def prom_sum_without(t: Tables) -> DataFrame:
 
 def error_share(t: Tables, seconds: int, step: int) -> DataFrame:
     """Percent of requests answered 5xx per service, in one pass."""
-    requests = M.rate(D.HTTP.samples(t), seconds, step=step)
+    requests = M.increase(D.HTTP.samples(t), seconds, step=step)
     return M.share(requests, ["service"], status="=~5..")
 
 
 def success_share(t: Tables, seconds: int, step: int) -> DataFrame:
-    return M.share(M.rate(D.PROCESSED.samples(t), seconds, step=step), [], status="=success")
+    return M.share(M.increase(D.PROCESSED.samples(t), seconds, step=step), [], status="=success")
 
 
 def _share_sql(family: Family, label: str | None, part: str, seconds: int, step: int) -> str:
     keys = "at_epoch" if label is None else f"{label}, at_epoch"
     return (
         f"{family.sql_increase(seconds, step)},"
-        f" p AS (SELECT {keys}, sum(v / {seconds}.0) AS v FROM i WHERE {part} GROUP BY ALL),"
-        f" w AS (SELECT {keys}, sum(v / {seconds}.0) AS v FROM i GROUP BY ALL),"
-        f" s AS (SELECT {keys}, CASE WHEN w.v <> 0 THEN round(100 * p.v / w.v, 6) END AS value"
+        f" p AS (SELECT {keys}, sum(v) AS v FROM i WHERE {part} GROUP BY ALL),"
+        f" w AS (SELECT {keys}, sum(v) AS v FROM i GROUP BY ALL),"
+        f" s AS (SELECT {keys}, CASE WHEN w.v <> 0 THEN round(100 * p.v / w.v, {DIGITS}) END AS value"
         f" FROM p JOIN w USING ({keys}))"
     )
 
@@ -216,7 +217,7 @@ SUCCESS_SHARE = _share_sql(D.PROCESSED, None, "status = 'success'", DAY, HALF)
 @query("prom_error_pct", f"WITH {ERROR_SHARE} SELECT service, at_epoch, value FROM s")
 def prom_error_pct(t: Tables) -> DataFrame:
     """The share as a division of two vectors, matched on their labels."""
-    requests = M.rate(D.HTTP.samples(t), DAY, step=QUARTER)
+    requests = M.increase(D.HTTP.samples(t), DAY, step=QUARTER)
     failed = M.sum_by(M.matching(requests, status="=~5.."), ["service"])
     return shown(M.ratio(failed, M.sum_by(requests, ["service"]), ["service"]), ["service"])
 
@@ -234,7 +235,7 @@ def _quantile_sql(family: Family, labels: list[str], q: float, seconds: int, ste
     return (
         f"{family.sql_increase(seconds, step)},"
         f" b AS (SELECT {keys}, CASE WHEN le = '+Inf' THEN 1e308 ELSE CAST(le AS DOUBLE) END AS u,"
-        f" sum(v / {seconds}.0) AS c FROM i GROUP BY ALL),"
+        f" sum(v) AS c FROM i GROUP BY ALL),"
         f" l AS (SELECT *, max(c) OVER (PARTITION BY {keys} ORDER BY u) AS cc FROM b),"
         f" x AS (SELECT *, coalesce(lag(cc) OVER w, 0) AS pc, lag(u) OVER w AS pu,"
         f" max(cc) OVER (PARTITION BY {keys}) AS n, max(u) OVER (PARTITION BY {keys}) AS top"
@@ -245,14 +246,14 @@ def _quantile_sql(family: Family, labels: list[str], q: float, seconds: int, ste
         f" d AS (SELECT DISTINCT {keys} FROM b),"
         f" h AS (SELECT {keys}, round((SELECT arg_min(a, u) FROM y WHERE "
         + " AND ".join(f"y.{k} = d.{k}" for k in [*labels, "at_epoch"])
-        + "), 6) AS value FROM d)"
+        + f"), {DIGITS}) AS value FROM d)"
     )
 
 
 def quantile(
     t: Tables, family: Family, labels: list[str], q: float, seconds: int, step: int
 ) -> DataFrame:
-    buckets = M.sum_by(M.rate(family.samples(t), seconds, step=step), [*labels, "le"])
+    buckets = M.sum_by(M.increase(family.samples(t), seconds, step=step), [*labels, "le"])
     return M.histogram_quantile(q, buckets, labels)
 
 
@@ -435,25 +436,35 @@ def label_cardinality(t: Tables) -> DataFrame:
 @query(
     "metrics_parse",
     """
-    SELECT 'event_total' AS metric, event_type AS type, concat('u"', user_id % 7) AS user_group,
-           count(*) AS lines, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total
+    SELECT 'event_total' AS metric, CASE WHEN event_id % 11 <> 3 THEN event_type END AS type,
+           CASE WHEN event_id % 11 <> 3 THEN concat('u"', user_id % 7) END AS user_group,
+           CASE WHEN event_id % 11 = 3 THEN 'repeated label' END AS error,
+           count(*) AS lines, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total,
+           max(CASE WHEN event_id % 2 = 0 THEN epoch_us(ts) // 1000000 END) AS last_second
     FROM events GROUP BY ALL
     """,
 )
 def metrics_parse(t: Tables) -> DataFrame:
     """Exposition lines written from events and read back."""
     line = F.format_string(
-        'event_total{type="%s", user_group="u\\"%d"} %s',
+        'event_total{type="%s", %s="u\\"%d"} %s%s',
         F.col("event_type"),
+        F.when(F.col("event_id") % 11 == 3, "type").otherwise("user_group"),
         F.col("user_id") % 7,
         F.col("value").cast("string"),
+        F.when(
+            F.col("event_id") % 2 == 0,
+            F.format_string(" %d", F.unix_seconds(F.col("ts").cast("timestamp")) * 1000),
+        ).otherwise(""),
     )
     samples = parse_metric_lines(t.events.select(line.alias("value")))
     return samples.groupBy(
         "metric",
         F.col("labels")["type"].alias("type"),
         F.col("labels")["user_group"].alias("user_group"),
+        "error",
     ).agg(
         F.count(F.lit(1)).alias("lines"),
         F.sum(F.col("value").cast("decimal(18,2)")).cast("double").alias("total"),
+        F.max(F.unix_seconds("ts")).alias("last_second"),
     )

@@ -2,12 +2,6 @@
 
 from __future__ import annotations
 
-import io
-import tarfile
-import zipfile
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
@@ -102,73 +96,36 @@ def _unescaped(text: Column) -> Column:
 
 
 def parse_metric_lines(lines: DataFrame, line: str = "value") -> DataFrame:
-    """Exposition lines to (metric, labels, value); comments and blank lines are skipped."""
+    """Exposition lines to (metric, labels, value, ts, error); comments and blank lines are skipped.
+
+    ``ts`` is the line's time in milliseconds as a timestamp, or null. A label given twice is named
+    in ``error``; the line then has no labels.
+    """
     text = F.trim(F.col(line))
     names = F.regexp_extract_all(F.col("_labels"), F.lit(LABEL_PAIR), 1)
     values = F.transform(
         F.regexp_extract_all(F.col("_labels"), F.lit(LABEL_PAIR), 2), _unescaped
     )
     number = F.regexp_extract(text, METRIC_LINE, 3)
+    millis = F.regexp_extract(text, METRIC_LINE, 4).try_cast("bigint")
+    repeated = F.size(F.array_distinct("_names")) < F.size("_names")
     return (
         lines.filter(text.rlike(METRIC_LINE) & ~text.startswith("#"))
         .withColumn("_labels", F.regexp_extract(text, METRIC_LINE, 2))
+        .withColumn("_names", names)
         .select(
             *[c for c in lines.columns if c != line],
             F.regexp_extract(text, METRIC_LINE, 1).alias("metric"),
-            F.map_from_arrays(names, values).alias("labels"),
+            F.when(~repeated, F.map_from_arrays("_names", values)).alias("labels"),
             F.when(number == "+Inf", F.lit(float("inf")))
             .when(number == "-Inf", F.lit(float("-inf")))
             .otherwise(number.try_cast("double"))
             .alias("value"),
+            F.timestamp_millis(millis).alias("ts"),
+            F.when(repeated, F.lit("repeated label")).alias("error"),
         )
     )
 
 
 def read_metric_files(spark: SparkSession, path: str) -> DataFrame:
     return parse_metric_lines(spark.read.text(path))
-
-
-def _members(path: str, content: bytes) -> list[str]:
-    stream = io.BytesIO(content)
-    if path.endswith(".zip"):
-        with zipfile.ZipFile(stream) as archive:
-            return archive.namelist()
-    with tarfile.open(fileobj=stream, mode="r:gz") as archive:
-        return [m.name + ("/" if m.isdir() else "") for m in archive.getmembers()]
-
-
-def _list_archives(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        found = []
-        for project, content in zip(batch["project"], batch["content"]):
-            if not project.endswith((".zip", ".tar.gz", ".tgz")):
-                found.append((project, None, "unsupported archive format"))
-                continue
-            try:
-                names = {n.removeprefix("./").rstrip("/") for n in _members(project, content)}
-            except Exception as error:
-                found.append((project, None, f"unreadable archive: {error}"))
-                continue
-            found.extend((project, name, None) for name in sorted(names - {""}))
-        yield pd.DataFrame(found, columns=["project", "path", "error"])
-
-
-def read_archives(spark: SparkSession, path: str) -> DataFrame:
-    """(project, path, error): the member paths of each archive, parent folders included.
-
-    An archive that cannot be listed gives one row with ``error`` set.
-    """
-    listed = (
-        spark.read.format("binaryFile")
-        .load(path)
-        .select(F.col("path").alias("project"), "content")
-        .mapInPandas(_list_archives, "project STRING, path STRING, error STRING")
-    )
-    parts = F.split("path", "/")
-    with_parents = F.when(
-        F.col("path").isNotNull(),
-        F.transform(
-            F.sequence(F.lit(1), F.size(parts)), lambda n: F.array_join(F.slice(parts, 1, n), "/")
-        ),
-    ).otherwise(F.array(F.lit(None).cast("string")))
-    return listed.select("project", F.explode(with_parents).alias("path"), "error").distinct()
