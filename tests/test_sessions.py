@@ -96,10 +96,16 @@ def test_usage_marts(spark):
         (dt.date(2020, 2, 1), "A", 2),
         (dt.date(2020, 2, 3), "B", 2),
     ]
-    assert S.card_doc_hits(searches, "A").first().card_search_count == 2
+    assert S.card_doc_hits(S.card_searches(files), "A").first().card_search_count == 2
     assert S.card_param_hits(files, "A").first().card_search_count == 2
     assert S.orphan_opens(searches, opens).count() == 2
-    wide = S.doc_opens_wide(by_day, 2).orderBy("date")
+    cards = searches.filter("search_type = 'CARD'").select("source_file", "search_id", "documents")
+    assert sorted(cards.collect()) == sorted(S.card_searches(files).collect())
+    few = S.session_events(files, ("QS", "OPEN"))
+    assert sorted(S.doc_opens_of(few).collect()) == sorted(opens.collect())
+    top = S.doc_opens_of_top(by_day, 2)
+    assert sorted(tuple(r)[1:] for r in top.collect()) == [(1, "A", 2), (2, "B", 2)]
+    wide = S.widened(top).orderBy("date")
     assert wide.columns == ["date", "open_count_A", "open_count_B"]
     assert [tuple(r)[1:] for r in wide.collect()] == [(2, 0), (0, 2)]
 
