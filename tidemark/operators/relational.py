@@ -4,23 +4,23 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from tidemark.functions.numbers import exact, money
+from tidemark.functions.numbers import exact, hex_number, money
 
-BROADCAST_ROWS = 1_000_000
 
+def estimated_bytes(df: DataFrame) -> int:
+    """The size of ``df`` by the optimizer's statistics; no job runs."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
-def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Whether ``df`` has at most ``max_rows`` rows, found by reading no more than that."""
-    return df.limit(max_rows + 1).count() <= max_rows
 
+def fits_broadcast(df: DataFrame) -> bool:
+    """Whether ``df`` is estimated below the session's broadcast threshold."""
+    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    return 0 <= estimated_bytes(df) <= limit
 
-def join_broadcast(
-    fact: DataFrame, dim: DataFrame, on: str | list[str], max_rows: int = BROADCAST_ROWS
-) -> DataFrame:
-    """Join with ``dim`` sent to every task; beyond ``max_rows`` rows it is shuffled instead."""
-    if fits_broadcast(dim, max_rows):
-        return fact.join(F.broadcast(dim), on)
-    return join_shuffle(fact, dim, on)
+
+def join_broadcast(fact: DataFrame, dim: DataFrame, on: str | list[str]) -> DataFrame:
+    """Join with ``dim`` sent to every task if its estimated bytes allow; else Spark chooses."""
+    return fact.join(F.broadcast(dim) if fits_broadcast(dim) else dim, on)
 
 
 def join_shuffle(fact: DataFrame, dim: DataFrame, on: str | list[str]) -> DataFrame:
@@ -73,6 +73,12 @@ def global_top(df: DataFrame, order: str, tie: list[str], k: int) -> DataFrame:
     return df.orderBy(F.col(order).desc(), *(F.col(t) for t in tie)).limit(k)
 
 
+def sample_by_key(df: DataFrame, key: str, fraction: float) -> DataFrame:
+    """About ``fraction`` of the rows, chosen by a digest of the key: the same rows in any layout."""
+    drawn = hex_number(F.substring(F.md5(F.col(key).cast("string")), 1, 8))
+    return df.filter(drawn < int(fraction * 2**32))
+
+
 def latest_per_key(df: DataFrame, keys: list[str], order_by: list[str]) -> DataFrame:
     """The row with the highest ``order_by`` per key, chosen partly before the shuffle."""
     rest = [c for c in df.columns if c not in keys]
@@ -127,13 +133,10 @@ def daily_revenue(sales: DataFrame) -> DataFrame:
     )
 
 
-def revenue_by_region(
-    sales: DataFrame, customers: DataFrame, first_day: str, last_day: str
-) -> DataFrame:
+def revenue_by_region(sales: DataFrame, first_day: str, last_day: str) -> DataFrame:
     days = F.col("sale_date").between(F.lit(first_day).cast("date"), F.lit(last_day).cast("date"))
     return (
         sales.filter(days)
-        .join(customers, "customer_id")
         .groupBy("region")
         .agg(
             money(F.sum("amount")).alias("revenue"), F.round(F.avg("qty"), 2).alias("avg_qty")
@@ -141,24 +144,18 @@ def revenue_by_region(
     )
 
 
-def top_region_category(
-    sales: DataFrame, customers: DataFrame, products: DataFrame, k: int = 10
-) -> DataFrame:
+def top_region_category(sales: DataFrame, products: DataFrame, k: int = 10) -> DataFrame:
     totals = (
-        sales.join(customers, "customer_id")
-        .join(products, "product_id")
+        sales.join(products, "product_id")
         .groupBy("region", "category")
         .agg(money(F.sum("amount")).alias("revenue"), F.count(F.lit(1)).alias("orders_cnt"))
     )
     return global_top(totals, "revenue", ["region", "category"], k)
 
 
-def buyers_by_segment(
-    sales: DataFrame, customers: DataFrame, min_discount: float = 0.05
-) -> DataFrame:
+def buyers_by_segment(sales: DataFrame, min_discount: float = 0.05) -> DataFrame:
     return (
         sales.filter(F.col("discount") >= min_discount)
-        .join(customers, "customer_id")
         .groupBy("segment")
         .agg(
             F.count_distinct("customer_id").alias("buyers"),

@@ -276,9 +276,13 @@ def key_skew_profile(t: Tables) -> DataFrame:
 
 @query(
     "partition_profile",
-    "SELECT count(*) AS row_count FROM lineitem",
+    "SELECT l_orderkey % 16 AS part, count(*) AS row_count, true AS alone FROM lineitem GROUP BY 1",
 )
 def partition_profile(t: Tables) -> DataFrame:
-    return P.partition_profile(t.lineitem.repartition(16)).agg(
-        F.sum("row_count").alias("row_count")
-    )
+    """Rows per partition of a split into folders, each partition reading one folder."""
+    path = new_folder(t.spark, "profile")
+    part = (F.col("l_orderkey") % 16).alias("part")
+    t.lineitem.select("l_orderkey", part).write.partitionBy("part").parquet(path)
+    rows = t.spark.read.schema("l_orderkey BIGINT, part BIGINT").parquet(path).repartition(16, "part")
+    seen = rows.groupBy(F.spark_partition_id().alias("task"), "part").agg(F.count(F.lit(1)).alias("n"))
+    return seen.groupBy("part").agg(F.sum("n").alias("row_count"), (F.count("task") == 1).alias("alone"))

@@ -4,12 +4,11 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from tidemark.operators import documents as D
 from tidemark.plans.catalog import query
-from tidemark.session import new_folder
-from tidemark.sources.snapshots import SnapshotTable
+from tidemark.session import new_folder, stored
 from tidemark.sources.tables import Tables
 from tidemark.streaming import jobs as J
 
@@ -73,7 +72,7 @@ RAW = f"""
 
 
 def documents(t: Tables) -> DataFrame:
-    return t.spread("documents", "doc_id", "text", "source")
+    return t.documents.select("doc_id", "text", "source")
 
 
 def raw_topics(t: Tables) -> list[DataFrame]:
@@ -137,19 +136,25 @@ def dlq_split(t: Tables) -> DataFrame:
     "dlq_replay",
     f"""
     WITH {RAW},
-    fixed AS (SELECT topic, key, "offset", CASE WHEN reason IS NULL AND NOT tombstone THEN version
-                     WHEN reason IS NOT NULL THEN 0 END AS version
-              FROM e WHERE reason IS DISTINCT FROM '{D.EMPTY_TEXT}'
-                AND (reason IS DISTINCT FROM '{D.MALFORMED}' OR length(trim(text, ' ')) >= 9))
-    SELECT topic, key AS document_id, count(*) AS events, CAST(sum(version) AS BIGINT) AS versions
-    FROM fixed GROUP BY 1, 2
+    again AS (SELECT topic, key, "offset", CASE WHEN reason IS NULL AND NOT tombstone THEN version
+                     WHEN reason = '{D.MALFORMED}' THEN 0 END AS version,
+                     CASE WHEN reason = '{D.MISSING_FIELD}' OR reason = '{D.EMPTY_TEXT}'
+                            OR (reason = '{D.MALFORMED}' AND length(trim(text, ' ')) < {MIN_CHARS})
+                          THEN '{D.EMPTY_TEXT}' END AS still_dead
+              FROM e)
+    SELECT topic, key AS document_id, still_dead, count(*) AS events,
+           CAST(sum(version) AS BIGINT) AS versions
+    FROM again GROUP BY 1, 2, 3
     """,
 )
 def dlq_replay(t: Tables) -> DataFrame:
     good, dead = D.normalize(raw_events(documents(t)), MIN_CHARS)
-    recovered = dead.filter(F.col("reason") != D.EMPTY_TEXT)
-    events, _ = D.replay(good, recovered, min_chars=9)
-    return events.groupBy("topic", "document_id").agg(
+    events, still = D.replay(good, dead, min_chars=MIN_CHARS)
+    recovered = events.select("topic", "document_id", F.lit(None).cast("string").alias("still_dead"), "version")
+    unable = still.select(
+        "topic", F.col("key").alias("document_id"), F.col("reason").alias("still_dead"), F.lit(None).cast("bigint").alias("version")
+    )
+    return recovered.unionByName(unable).groupBy("topic", "document_id", "still_dead").agg(
         F.count(F.lit(1)).alias("events"), F.sum("version").alias("versions")
     )
 
@@ -222,7 +227,7 @@ def edition_history(t: Tables) -> DataFrame:
 )
 def references(t: Tables) -> DataFrame:
     return (
-        D.references(t.spread("pages", "page_id", "html"), "page_id", "html")
+        D.references(t.pages.select("page_id", "html"), "page_id", "html")
         .groupBy("source_document_id", "target")
         .agg(F.count(F.lit(1)).alias("links"))
     )
@@ -240,7 +245,7 @@ TERMS = r"""regexp_split_to_array(lower(text), '[ \t\n\x0B\f\r.,;:!?()\[\]"''<>/
     """,
 )
 def inverted_index(t: Tables) -> DataFrame:
-    return D.inverted_index(t.spread("documents", "doc_id", "text"), "doc_id", "text")
+    return D.inverted_index(t.documents.select("doc_id", "text"), "doc_id", "text")
 
 
 @query(
@@ -276,9 +281,20 @@ def compact_delete(t: Tables) -> DataFrame:
     return D.compact_delete(valid(t), NOW, 180).select("document_id", "offset", "tombstone")
 
 
-@query("ordered_events", f"WITH {RAW} SELECT key, \"offset\", topic FROM e")
+@query(
+    "ordered_events",
+    f"WITH {RAW} SELECT key, \"offset\", topic, row_number() OVER (ORDER BY key, \"offset\") AS place FROM e",
+)
 def ordered_events(t: Tables) -> DataFrame:
-    return D.in_key_order(raw_events(documents(t)), "key", "offset").select("key", "offset", "topic")
+    """The events in key order with the place at which each one stands there."""
+    rows = raw_events(documents(t)).select("key", "offset", "topic")
+    task, inside = F.spark_partition_id(), F.monotonically_increasing_id()
+    stood = stored(D.in_key_order(rows, "key", "offset").select("*", task.alias("task"), inside.alias("at")), "ordered")
+    sizes = stood.groupBy("task").agg(F.count(F.lit(1)).alias("n"))
+    before = Window.partitionBy(F.lit(0)).orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select("task", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
+    place = F.col("start") + F.col("at").bitwiseAND(F.lit((1 << 33) - 1)) + 1
+    return stood.join(starts, "task").select("key", "offset", "topic", place.alias("place"))
 
 
 @query(
@@ -286,13 +302,16 @@ def ordered_events(t: Tables) -> DataFrame:
     f"""
     WITH {RAW}
     SELECT topic, part AS "partition", max("offset") - coalesce(max("offset")
-           FILTER (WHERE "offset" % 10 < 9), -1) AS lag FROM e GROUP BY 1, 2
+           FILTER (WHERE reason IS NULL), -1) AS lag FROM e GROUP BY 1, 2
     """,
 )
 def consumer_lag(t: Tables) -> DataFrame:
+    """How far the published (valid) events are behind the raw ones."""
     events = raw_events(documents(t))
+    published = D.normalize(events, MIN_CHARS)[0].select("topic", "offset")
     committed = (
-        events.filter(F.col("offset") % 10 < 9)
+        events.select("topic", "partition", "offset")
+        .join(published, ["topic", "offset"])
         .groupBy("topic", "partition")
         .agg(F.max("offset").alias("committed_offset"))
     )
@@ -362,10 +381,26 @@ def stream_raw(t: Tables) -> DataFrame:
 
 @query("stream_dlq", DLQ_SQL)
 def stream_dlq(t: Tables) -> DataFrame:
-    good, dead, checkpoint = (new_folder(t.spark, x) for x in ("valid", "dead", "split-checkpoint"))
+    path, checkpoint = new_folder(t.spark, "checked"), new_folder(t.spark, "split-checkpoint")
     raw = raw_events(_stream(t, "documents"))
-    J.run_available(J.split_stream(raw, good, dead, checkpoint, MIN_CHARS))
-    return _letters(t.spark.read.parquet(dead))
+    J.run_available(J.split_stream(raw, path, checkpoint, MIN_CHARS))
+    return _letters(J.split_batches(t.spark, path)[1])
+
+
+@query(
+    "stream_dedup",
+    f"""
+    WITH {RAW}
+    SELECT digest AS event_id, min("offset") AS "offset", arg_min(key, "offset") AS document_id
+    FROM live GROUP BY 1
+    """,
+)
+def stream_dedup(t: Tables) -> DataFrame:
+    path, checkpoint = new_folder(t.spark, "firsts"), new_folder(t.spark, "dedup-checkpoint")
+    clean, _ = D.normalize(raw_events(_stream(t, "documents")), MIN_CHARS)
+    live = clean.filter(~F.col("tombstone"))
+    J.run_available(J.dedup_stream(live, ["event_id"], ["document_id"], path, checkpoint))
+    return J.first_events(t.spark, path, ["event_id"], ["document_id"])
 
 
 @query(
@@ -401,28 +436,32 @@ def stream_lake(t: Tables) -> DataFrame:
     """,
 )
 def stream_state(t: Tables) -> DataFrame:
-    table = SnapshotTable(t.spark, new_folder(t.spark, "state"))
+    path, checkpoint = new_folder(t.spark, "state"), new_folder(t.spark, "state-checkpoint")
     clean, _ = D.normalize(raw_events(_stream(t, "documents")), MIN_CHARS)
-    J.run_available(J.state_stream(clean, table, new_folder(t.spark, "state-checkpoint")))
-    return table.read().filter(~F.col("tombstone")).select("document_id", "version", "event_id")
+    J.run_available(J.state_stream(clean, path, checkpoint))
+    state = J.latest_state(t.spark, path).filter(~F.col("tombstone"))
+    return state.select("document_id", "version", "event_id")
 
 
 @query(
     "stream_index",
     f"""
     WITH {RAW}
+    , l AS (SELECT key, max("offset") AS o FROM v GROUP BY 1),
+    now AS (SELECT v.* FROM v JOIN l ON v.key = l.key AND v."offset" = l.o WHERE NOT tombstone)
     SELECT term, count(*) AS documents, CAST(sum(tf) AS BIGINT) AS occurrences FROM (
-      SELECT term, "offset", count(*) AS tf FROM (
-        SELECT "offset", unnest({TERMS}) AS term FROM live) WHERE term <> '' GROUP BY 1, 2)
+      SELECT term, key, count(*) AS tf FROM (
+        SELECT key, unnest({TERMS}) AS term FROM now) WHERE term <> '' GROUP BY 1, 2)
     GROUP BY 1
     """,
 )
 def stream_index(t: Tables) -> DataFrame:
+    """An index of the last versions: terms of replaced versions and deleted documents are gone."""
     index, checkpoint = new_folder(t.spark, "index"), new_folder(t.spark, "index-checkpoint")
     clean, _ = D.normalize(raw_events(_stream(t, "documents")), MIN_CHARS)
     J.run_available(J.index_stream(clean, index, checkpoint))
     return (
-        t.spark.read.parquet(index)
+        J.current_index(t.spark, index)
         .groupBy("term")
         .agg(F.count(F.lit(1)).alias("documents"), F.sum("tf").alias("occurrences"))
     )
@@ -446,10 +485,8 @@ def stream_window_agg(t: Tables) -> DataFrame:
         F.col("value").cast("decimal(18,2)").alias("value"),
     )
     history = t.events.groupBy("event_type").agg(F.count(F.lit(1)).alias("seen"))
-    totals = J.windowed_totals(events, history, ["event_type"], "ts", "value", "1 hour")
-    J.run_available(J.updates_to(totals, path, checkpoint))
-    latest = J.latest_update(t.spark, path, ["window_start", "event_type"])
-    return latest.select(
+    J.run_available(J.window_stream(events, ["event_type"], "ts", "value", "1 hour", path, checkpoint))
+    return J.window_totals(t.spark, path, ["event_type"], history).select(
         F.unix_seconds("window_start").alias("window_start"),
         "event_type",
         "n",
@@ -460,9 +497,11 @@ def stream_window_agg(t: Tables) -> DataFrame:
 
 @query("stream_episodes", EPISODE_SQL)
 def stream_episodes(t: Tables) -> DataFrame:
-    found, tails, checkpoint = (
-        new_folder(t.spark, x) for x in ("episodes", "tails", "episodes-checkpoint")
+    """Events that arrive as a stream in any order; episodes are found over all that has come."""
+    path, checkpoint = new_folder(t.spark, "arrived"), new_folder(t.spark, "arrived-checkpoint")
+    events = _stream(t, "events").select("user_id", "event_id", "ts", "event_type", F.to_date("ts").alias("day"))
+    J.run_available(J.to_lake(events, path, checkpoint, ["day"]))
+    arrived = t.spark.read.parquet(path)
+    return _episodes(
+        D.sequence_episodes(arrived, "user_id", "ts", "event_type", PATTERN, MAX_GAP)
     )
-    events = _stream(t, "events").select("user_id", "event_id", "ts", "event_type")
-    J.run_available(J.episode_stream(events, found, tails, checkpoint, PATTERN, MAX_GAP))
-    return _episodes(t.spark.read.parquet(found).drop("batch"))

@@ -237,10 +237,16 @@ def filter_date_count(t: Tables) -> DataFrame:
     return events.filter(F.col("date") == "2024-01-15").agg(F.count(F.lit(1)).alias("row_count"))
 
 
-@query("sample_rows")
+@query(
+    "sample_rows",
+    f"""
+    SELECT o_orderkey, o_totalprice FROM orders
+    WHERE CAST('0x' || substr(md5(CAST(o_orderkey AS VARCHAR)), 1, 8) AS BIGINT) < {int(0.1 * 2**32)}
+    """,
+)
 def sample_rows(t: Tables) -> DataFrame:
-    """The sampling operator with a seed."""
-    return t.orders.sample(fraction=0.1, seed=42)
+    """A tenth of the orders by a digest of their key."""
+    return R.sample_by_key(t.orders, "o_orderkey", 0.1).select("o_orderkey", "o_totalprice")
 
 
 @query("sample_mod", "SELECT o_orderkey, o_totalprice + 100 AS amount FROM orders WHERE o_orderkey % 10 < 2")
@@ -289,25 +295,28 @@ def nested_explode_outer(t: Tables) -> DataFrame:
     return R.flatten_nested(rows, "values", ["key"], outer=True)
 
 
-# --- generators, as many rows as the tables have ----------------------------------------------
+# --- data derived from the keys of the tables -------------------------------------------------
+
+# The row number of a line item or an event, in Spark and DuckDB alike.
+_ROW_OF = {"lineitem": "l_orderkey * 8 + l_linenumber", "events": "event_id"}
 
 
-def _rows(t: Tables, table: str) -> int:
-    return getattr(t, table).count()
+def _ids(t: Tables, table: str) -> DataFrame:
+    return getattr(t, table).select(F.expr(_ROW_OF[table]).cast("bigint").alias("id"))
 
 
-_IDS = "(SELECT unnest(range(0, (SELECT count(*) FROM {table}))) AS id)"
+_IDS = {table: f"(SELECT CAST({row} AS BIGINT) AS id FROM {table})" for table, row in _ROW_OF.items()}
 
 
 @query(
     "range_source",
     f"""
     SELECT id % 1000 AS key, CAST(sum(id % 1000) AS BIGINT) AS sum, avg(id % 1000) AS avg,
-           min(id % 1000) AS min FROM {_IDS.format(table='lineitem')} GROUP BY 1
+           min(id % 1000) AS min FROM {_IDS['lineitem']} GROUP BY 1
     """,
 )
 def range_source(t: Tables) -> DataFrame:
-    return R.multi_agg(G.key_value(t.spark, _rows(t, "lineitem")), ["key"], "value")
+    return R.multi_agg(G.key_value(_ids(t, "lineitem")), ["key"], "value")
 
 
 @query(
@@ -316,13 +325,13 @@ def range_source(t: Tables) -> DataFrame:
     SELECT 'country_' || (id % 200) AS country_name, count(*) AS row_count,
            CAST(sum(CAST('0x' || substr(sha256(CAST(id AS VARCHAR)), 1, 8) AS BIGINT) % 10000) AS BIGINT)
            AS amount_sum, max(id % 1000000) AS last_ts
-    FROM {_IDS.format(table='lineitem')} GROUP BY 1
+    FROM {_IDS['lineitem']} GROUP BY 1
     """,
 )
 def orders_gen(t: Tables) -> DataFrame:
-    orders, countries = G.generate_orders_and_countries(t.spark, _rows(t, "lineitem"), 200)
+    orders = G.country_orders(_ids(t, "lineitem"), 200)
     return (
-        R.join_broadcast(orders, countries, "country_id")
+        R.join_broadcast(orders, G.country_names(orders), "country_id")
         .groupBy("country_name")
         .agg(
             F.count(F.lit(1)).alias("row_count"),
@@ -337,11 +346,11 @@ def orders_gen(t: Tables) -> DataFrame:
     f"""
     SELECT CASE WHEN id % 10000 < 9000 THEN 'HOT_KEY' ELSE 'K_' || (id % 10000 % 1000) END AS key,
            count(*) AS cnt, CAST(sum(id % 1000) AS BIGINT) AS total
-    FROM {_IDS.format(table='lineitem')} GROUP BY 1
+    FROM {_IDS['lineitem']} GROUP BY 1
     """,
 )
 def skewed_gen(t: Tables) -> DataFrame:
-    rows = G.generate_skewed_dataset(t.spark, _rows(t, "lineitem"))
+    rows = G.hot_key_rows(_ids(t, "lineitem"))
     return R.salted_agg(
         rows, "key", "row_id", 10, {"cnt": ("count", "*"), "total": ("sum", "value")}
     )
@@ -358,11 +367,11 @@ def _draw(stream: int, seed: int = 42) -> str:
     f"""
     SELECT CAST(id % 100 AS INTEGER) AS group_id, count(*) AS row_count,
            round(sum(CAST({_draw(0)} AS DOUBLE) / {G.DRAW_MODULUS}), 5) AS total
-    FROM {_IDS.format(table='lineitem')} GROUP BY 1
+    FROM {_IDS['lineitem']} GROUP BY 1
     """,
 )
 def grouped_gen(t: Tables) -> DataFrame:
-    rows = G.grouped_values(t.spark, _rows(t, "lineitem"))
+    rows = G.grouped_values(_ids(t, "lineitem"))
     return rows.groupBy("group_id").agg(
         F.count(F.lit(1)).alias("row_count"), F.round(F.sum("value"), 5).alias("total")
     )
@@ -371,7 +380,7 @@ def grouped_gen(t: Tables) -> DataFrame:
 @query(
     "star_gen",
     f"""
-    WITH f AS (SELECT (id + 1) AS n FROM {_IDS.format(table='lineitem')}),
+    WITH f AS (SELECT id AS n FROM {_IDS['lineitem']}),
     s AS (SELECT (n * 17) % 10000 + 1 AS c, (n * 13) % 1000 + 1 AS p, n % 5 + 1 AS q, n % 10 AS d,
                  make_date(2024, (n * 7) % 12 + 1, (n * 11) % 28 + 1) AS day FROM f)
     SELECT {str(G.REGIONS)}[(c - 1) % 5 + 1] AS region, {str(G.CATEGORIES)}[(p - 1) % 5 + 1] AS category,
@@ -381,7 +390,7 @@ def grouped_gen(t: Tables) -> DataFrame:
     """,
 )
 def star_gen(t: Tables) -> DataFrame:
-    star = G.star_schema(t.spark, facts=_rows(t, "lineitem"))
+    star = G.star_schema(_ids(t, "lineitem"))
     return (
         star["fact_sales"]
         .join(star["dim_customers"], "customer_id")
@@ -404,12 +413,12 @@ def star_gen(t: Tables) -> DataFrame:
            CAST(sum({_draw(9)} % 1000 + 100) AS BIGINT) AS impressions,
            count(DISTINCT 'https://example.com/page/' || ({_draw(4)} % 10000)) AS urls,
            round(avg(CAST({_draw(7)} AS DOUBLE) / {G.DRAW_MODULUS} * 100.0), 6) AS mean_value
-    FROM {_IDS.format(table='events')} GROUP BY 1
+    FROM {_IDS['events']} GROUP BY 1
     """,
 )
 def click_gen(t: Tables) -> DataFrame:
     return (
-        G.click_events(t.spark, _rows(t, "events"))
+        G.click_events(_ids(t, "events"))
         .groupBy("event_type")
         .agg(
             F.count(F.lit(1)).alias("row_count"),

@@ -8,7 +8,6 @@ from tidemark.operators import keyed as K
 from tidemark.operators.benchmarks import side_by_side
 from tidemark.plans.catalog import query
 from tidemark.session import new_folder
-from tidemark.sources.snapshots import SnapshotTable
 from tidemark.sources.tables import Tables
 from tidemark.sources.writers import write_sorted, write_table
 
@@ -38,17 +37,21 @@ def source(t: Tables, tenths: int) -> DataFrame:
     )
 
 
-def published(t: Tables, df: DataFrame, label: str, partition_by=None) -> SnapshotTable:
-    table = SnapshotTable(t.spark, new_folder(t.spark, label))
-    table.commit(df, partition_by=partition_by)
-    return table
+def published(t: Tables, df: DataFrame, label: str, partition_by: list[str] | None = None) -> str:
+    """The folder of ``df`` written as a table."""
+    path = new_folder(t.spark, label)
+    write_table(df, path, partition_by)
+    return path
 
 
-@query("table_overwrite", f"WITH {TARGET} SELECT * FROM t WHERE id % 2 = 0")
+@query(
+    "table_overwrite",
+    f"WITH {TARGET} SELECT id, amount + 5 AS amount, updated_at, partition_key FROM t",
+)
 def table_overwrite(t: Tables) -> DataFrame:
     path = new_folder(t.spark, "overwrite")
     write_table(target(t), path)
-    write_table(target(t).filter(F.col("id") % 2 == 0), path)
+    write_table(target(t).withColumn("amount", F.col("amount") + 5), path)
     return t.spark.read.parquet(path)
 
 
@@ -57,8 +60,8 @@ def table_overwrite(t: Tables) -> DataFrame:
     f"WITH {TARGET} SELECT CAST(sum(amount) AS BIGINT) AS amount_sum FROM t",
 )
 def table_scan_sum(t: Tables) -> DataFrame:
-    table = published(t, target(t), "scan")
-    return table.read().agg({"amount": "sum"}).withColumnRenamed("sum(amount)", "amount_sum")
+    table = t.spark.read.parquet(published(t, target(t), "scan"))
+    return table.agg({"amount": "sum"}).withColumnRenamed("sum(amount)", "amount_sum")
 
 
 @query(
@@ -137,11 +140,10 @@ def upsert_latest(t: Tables) -> DataFrame:
         {"amount": F.col("amount") - 1, "updated_at": F.date_add("updated_at", -9)},
     )
     changes = source(t, 5).unionByName(stale)
-    table = published(t, target(t), "upsert", ["partition_key"])
-    table.commit(
-        K.upsert_latest(target(t), changes, ["id"], ["updated_at"]), partition_by=["partition_key"]
-    )
-    return table.read().withColumn("partition_key", F.col("partition_key").cast("string"))
+    schema = target(t).schema
+    before = t.spark.read.schema(schema).parquet(published(t, target(t), "upsert", ["partition_key"]))
+    after = K.upsert_latest(before, changes, ["id"], ["updated_at"])
+    return t.spark.read.schema(schema).parquet(published(t, after, "upsert", ["partition_key"]))
 
 
 @query(
@@ -153,11 +155,9 @@ def upsert_latest(t: Tables) -> DataFrame:
     """,
 )
 def update_where(t: Tables) -> DataFrame:
-    table = published(t, target(t), "update")
-    table.commit_with_retry(
-        lambda now: K.update_where(now, F.col("id") < 1000, {"amount": F.col("amount") + 7})
-    )
-    return table.read()
+    before = t.spark.read.parquet(published(t, target(t), "update"))
+    after = K.update_where(before, F.col("id") < 1000, {"amount": F.col("amount") + 7})
+    return t.spark.read.parquet(published(t, after, "update"))
 
 
 @query(
@@ -234,22 +234,34 @@ def scd2(t: Tables) -> DataFrame:
     )
 
 
-@query("compact_files", f"WITH {TARGET} SELECT count(*) AS row_count, true AS fewer_files FROM t")
+@query(
+    "compact_files",
+    f"""
+    WITH {TARGET}
+    SELECT 16 AS files_before, 4 AS files_after, count(*) AS row_count,
+           CAST(sum(amount) AS BIGINT) AS amount_sum FROM t
+    """,
+)
 def compact_files(t: Tables) -> DataFrame:
-    """Rewrite a version of many small files as one of few, and read it."""
-    table = published(t, target(t).repartition(16), "compact")
-    rows = table.read().count()
-    table.commit(K.compact(table.read(), max(1, rows // 4 + 1), rows))
-
-    def files(version: int) -> DataFrame:
-        return table.read(version).select(F.input_file_name().alias("f")).distinct()
-
-    before = files(1).agg(F.count(F.lit(1)).alias("before"))
-    after = files(2).agg(F.count(F.lit(1)).alias("after"))
-    counted = table.read().agg(F.count(F.lit(1)).alias("row_count"))
-    return side_by_side(counted, side_by_side(before, after)).select(
-        "row_count", (F.col("after") < F.col("before")).alias("fewer_files")
-    )
+    """Rewrite a table of many small files as one of few, and read both."""
+    many = t.spark.read.parquet(published(t, target(t).repartition(16), "compact"))
+    rows = many.count()
+    few = t.spark.read.parquet(published(t, K.compact(many, max(1, -(-rows // 4)), rows), "compact"))
+
+    def files(table: DataFrame, name: str) -> DataFrame:
+        return table.agg(F.count_distinct("_metadata.file_path").cast("int").alias(name))
+
+    sums = few.agg(F.count(F.lit(1)).alias("row_count"), F.sum("amount").alias("amount_sum"))
+    counts = side_by_side(files(many, "files_before"), files(few, "files_after"))
+    return side_by_side(counts, sums)
+
+
+def _versions(t: Tables, label: str, *states: DataFrame) -> str:
+    """States of a table, each in its own ``version=`` folder; old ones stay as they are."""
+    path = new_folder(t.spark, label)
+    for number, state in enumerate(states, 1):
+        write_table(state, f"{path}/version={number}")
+    return path
 
 
 @query(
@@ -263,9 +275,9 @@ def compact_files(t: Tables) -> DataFrame:
 def read_version(t: Tables) -> DataFrame:
     """An old version stays readable; a column added later is null in its rows."""
     rows = target(t).select("id", "amount")
-    table = published(t, rows, "versions")
-    table.commit(rows.select("id", (F.col("amount") * 2).alias("amount"), F.lit("second").alias("note")))
-    return table.read_merged([1, 2]).select("id", "amount", "note")
+    second = rows.select("id", (F.col("amount") * 2).alias("amount"), F.lit("second").alias("note"))
+    path = _versions(t, "versions", rows, second)
+    return t.spark.read.option("mergeSchema", True).parquet(path).select("id", "amount", "note")
 
 
 @query(
@@ -274,6 +286,6 @@ def read_version(t: Tables) -> DataFrame:
 )
 def time_travel(t: Tables) -> DataFrame:
     rows = target(t).select("id", "amount")
-    table = published(t, rows, "travel")
-    table.commit_with_retry(lambda now: now.withColumn("amount", F.col("amount") + 1))
-    return table.read(1).agg(F.sum("amount").alias("old_sum"))
+    path = _versions(t, "travel", rows, rows.withColumn("amount", F.col("amount") + 1))
+    old = t.spark.read.parquet(path).filter(F.col("version") == 1)
+    return old.agg(F.sum("amount").alias("old_sum"))

@@ -26,15 +26,3 @@ class Tables:
         if name not in TABLE_NAMES:
             raise AttributeError(name)
         return self.spark.read.parquet(self.path(name))
-
-    def spread(self, name: str, *columns: str) -> DataFrame:
-        """Columns of a table for work that is much dearer per row than a shuffle.
-
-        A table of few file splits would keep most cores idle, so it is dealt out evenly; one
-        that already feeds at least half of the cores is left as it is.
-        """
-        rows = getattr(self, name).select(*columns)
-        cores = self.spark.sparkContext.defaultParallelism
-        if rows.rdd.getNumPartitions() * 2 <= cores:
-            return rows.repartition(cores)
-        return rows

@@ -13,7 +13,8 @@ PAGE_BYTES = 8 * 1024
 
 
 def _shaped(df: DataFrame, single_file: bool) -> DataFrame:
-    return df.coalesce(1) if single_file else df
+    """One partition is made by a shuffle, so that the work before it keeps its tasks."""
+    return df.repartition(1) if single_file else df
 
 
 def write_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
