@@ -1,15 +1,11 @@
-"""Keyed tables: merge rules, versions, conflicts and retries."""
+"""Keyed tables: merge rules, repeated keys, change data and history."""
 
 from __future__ import annotations
 
-import threading
-
 import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators import keyed as K
-from tidemark.session import new_folder
-from tidemark.sources.snapshots import CommitConflict, SnapshotTable
 
 SCHEMA = "id INT, amount INT, at INT"
 
@@ -73,56 +69,15 @@ def test_history(spark):
     assert sorted((r.id, r.at) for r in found.collect() if r.is_current) == [(1, 900), (2, 50)]
 
 
-def test_versions_stay_readable(spark):
-    table = SnapshotTable(spark, new_folder(spark, "t"))
-    assert table.versions() == [] and table.latest() == 0
-    assert table.commit(rows(spark, (1, 1, 1))) == 1
-    assert table.commit(rows(spark, (1, 2, 1), (2, 2, 2))) == 2
-    assert listed(table.read(1)) == [(1, 1, 1)]
-    assert table.read().count() == 2
-    assert 0 < table.size_mb().first().size_mb < 1
-
-
-def test_a_lost_race_is_a_conflict(spark):
-    table = SnapshotTable(spark, new_folder(spark, "t"))
-    table.commit(rows(spark, (1, 1, 1)))
-    table.commit(rows(spark, (1, 2, 1)), base=1)
-    with pytest.raises(CommitConflict):
-        table.commit(rows(spark, (1, 3, 1)), base=1)
-    assert listed(table.read()) == [(1, 2, 1)]
-
-
-def test_two_writers_both_apply_once(spark):
-    table = SnapshotTable(spark, new_folder(spark, "t"))
-    table.commit(rows(spark, (1, 100, 0), (2000, 100, 0)))
-    gate, outcomes = threading.Barrier(2), []
-
-    def write(extra):
-        waited = []
-
-        def change(now):
-            if not waited:
-                waited.append(gate.wait())
-            return K.update_where(now, F.col("id") < 1000, {"amount": F.col("amount") + extra})
-
-        outcomes.append(table.commit_with_retry(change, attempts=3, pause=0.1))
-
-    writers = [threading.Thread(target=write, args=(e,)) for e in (1, 10)]
-    for w in writers:
-        w.start()
-    for w in writers:
-        w.join()
-    assert sorted(attempt for _, attempt in outcomes) == [1, 2]
-    assert listed(table.read()) == [(1, 111, 0), (2000, 100, 0)]
-
-
-def test_retry_gives_up(spark):
-    table = SnapshotTable(spark, new_folder(spark, "t"))
-    table.commit(rows(spark, (1, 1, 1)))
+@pytest.mark.parametrize("merge", [K.merge_update, K.merge_upsert])
+def test_two_matches_are_an_error(spark, merge):
+    target, twice = rows(spark, (1, 10, 0)), rows(spark, (1, 11, 1), (1, 12, 2))
+    with pytest.raises(Exception, match=K.REPEATED):
+        merge(target, twice, ["id"], ["amount"]).collect()
+    # repeated keys that match nothing are no conflict
+    assert merge(target, rows(spark, (5, 1, 1), (5, 2, 1)), ["id"], ["amount"]).filter("id = 1").count() == 1
 
-    def overtaken(now):
-        table.commit(rows(spark, (9, 9, 9)))
-        return now
 
-    with pytest.raises(CommitConflict):
-        table.commit_with_retry(overtaken, attempts=2, pause=0.01)
+def test_upsert_does_not_sort_the_target(spark):
+    found = K.upsert_latest(rows(spark, (1, 1, 1)), rows(spark, (1, 2, 2)), ["id"], ["at"])
+    assert "SortAggregate" not in found._jdf.queryExecution().executedPlan().toString()

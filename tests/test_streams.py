@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from tidemark.operators import documents as D
 from tidemark.plans import documents as P
 from tidemark.session import new_folder
-from tidemark.sources.snapshots import SnapshotTable
 from tidemark.streaming import jobs as J
 
 
@@ -34,12 +33,13 @@ def listed(df):
 
 
 def test_split_equals_batch(spark, feed):
-    good, dead, checkpoint = (new_folder(spark, x) for x in ("good", "dead", "c"))
-    J.run_available(J.split_stream(stream(spark, feed), good, dead, checkpoint, P.MIN_CHARS))
+    path, checkpoint = new_folder(spark, "checked"), new_folder(spark, "c")
+    J.run_available(J.split_stream(stream(spark, feed), path, checkpoint, P.MIN_CHARS))
     valid, letters = D.normalize(P.raw_events(feed[1]), P.MIN_CHARS)
-    assert listed(spark.read.parquet(good).drop("batch")) == listed(valid)
-    assert listed(spark.read.parquet(dead).drop("batch")) == listed(letters)
-    assert spark.read.parquet(good).select("batch").distinct().count() == 5
+    good, dead = J.split_batches(spark, path)
+    assert listed(good) == listed(valid)
+    assert listed(dead) == listed(letters)
+    assert spark.read.parquet(path).select("batch").distinct().count() == 5
 
 
 def test_a_repeated_batch_replaces_itself(spark):
@@ -49,26 +49,39 @@ def test_a_repeated_batch_replaces_itself(spark):
     assert spark.read.parquet(path).count() == 7
 
 
-def test_state_equals_batch_and_survives_a_replay(spark, feed):
-    table = SnapshotTable(spark, new_folder(spark, "state"))
+def test_state_equals_batch_in_any_order(spark, feed):
+    path = new_folder(spark, "state")
     valid, _ = D.normalize(stream(spark, feed), P.MIN_CHARS)
-    J.run_available(J.state_stream(valid, table, new_folder(spark, "c")))
+    J.run_available(J.state_stream(valid, path, new_folder(spark, "c")))
     expected = listed(D.compacted(D.normalize(P.raw_events(feed[1]), P.MIN_CHARS)[0]))
-    assert listed(table.read()) == expected
+    assert listed(J.latest_state(spark, path)) == expected
     # all over again from a new checkpoint: older offsets do not come back
-    J.run_available(J.state_stream(valid, table, new_folder(spark, "c")))
-    assert listed(table.read()) == expected
+    J.run_available(J.state_stream(valid, path, new_folder(spark, "c")))
+    assert listed(J.latest_state(spark, path)) == expected
 
 
 def test_dedup_stream_equals_batch(spark, feed):
     path, checkpoint = new_folder(spark, "dedup"), new_folder(spark, "c")
-    # one moment for all events keeps every copy within the watermark
-    raw = stream(spark, feed).withColumn("timestamp", F.lit("2024-01-01").cast("timestamp"))
-    valid, _ = D.normalize(raw, P.MIN_CHARS)
-    fresh = J.dedup_stream(valid.filter(~F.col("tombstone")), ["event_id"])
-    J.run_available(J.to_lake(fresh, path, checkpoint, ["topic"]))
+    valid, _ = D.normalize(stream(spark, feed), P.MIN_CHARS)
+    live = valid.filter(~F.col("tombstone"))
+    J.run_available(J.dedup_stream(live, ["event_id"], ["document_id"], path, checkpoint))
     batch = D.dedup_events(D.normalize(P.raw_events(feed[1]), P.MIN_CHARS)[0], ["document_id"])
-    assert listed(spark.read.parquet(path).select("event_id")) == listed(batch.select("event_id"))
+    found = J.first_events(spark, path, ["event_id"], ["document_id"])
+    assert listed(found.select(batch.columns)) == listed(batch)
+
+
+def test_index_forgets_old_versions_and_deleted_documents(spark):
+    def event(key, offset, text):
+        return (key, offset, text is None, text)
+
+    schema = "document_id STRING, offset LONG, tombstone BOOLEAN, text STRING"
+    source, path = new_folder(spark, "in"), new_folder(spark, "index")
+    for rows in ([event("a", 1, "old words"), event("b", 2, "kept")], [event("a", 4, "new words")], [event("c", 3, "gone"), event("c", 5, None)]):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(source)
+    feed = J.file_stream(spark, source, spark.read.parquet(source).schema, files_per_batch=1)
+    J.run_available(J.index_stream(feed, path, new_folder(spark, "c")))
+    found = {(r.term, r.document_id, r.tf) for r in J.current_index(spark, path).collect()}
+    assert found == {("new", "a", 1), ("words", "a", 1), ("kept", "b", 1)}
 
 
 def test_groups_read_independently(spark, feed):
@@ -82,18 +95,19 @@ def test_groups_read_independently(spark, feed):
     assert spark.read.parquet(first).count() == spark.read.parquet(second).count() == count
 
 
-def test_window_totals_equal_batch(spark, small):
+def test_window_totals_count_every_row_in_any_order(spark, small):
     events = spark.read.parquet(f"{small}/events.parquet")
     source = new_folder(spark, "events")
-    events.repartitionByRange(4, "ts").sortWithinPartitions("ts").write.parquet(source)
+    for part in (3, 0, 2, 1):  # the latest events come first
+        events.filter(F.floor((F.dayofmonth("ts") - 1) / 8) == part).coalesce(1).write.mode("append").parquet(source)
     path = new_folder(spark, "totals")
-    feed = J.file_stream(spark, source, events.schema).select(
+    feed = J.file_stream(spark, source, events.schema, files_per_batch=1).select(
         F.col("ts").cast("timestamp").alias("ts"), "event_type", "event_id"
     )
     history = events.groupBy("event_type").agg(F.count(F.lit(1)).alias("seen"))
-    totals = J.windowed_totals(feed, history, ["event_type"], "ts", "event_id", "1 day")
-    J.run_available(J.updates_to(totals, path, new_folder(spark, "c")))
-    found = J.latest_update(spark, path, ["window_start", "event_type"])
+    J.run_available(J.window_stream(feed, ["event_type"], "ts", "event_id", "1 day", path, new_folder(spark, "c")))
+    found = J.window_totals(spark, path, ["event_type"], history)
+    assert found.agg(F.sum("n")).first()[0] == events.count()
     batch = (
         events.groupBy(F.date_trunc("day", F.col("ts").cast("timestamp")).alias("w"), "event_type")
         .agg(F.count(F.lit(1)).alias("n"), F.sum("event_id").alias("total"))
@@ -103,25 +117,6 @@ def test_window_totals_equal_batch(spark, small):
     assert listed(found.select("window_start", "event_type", "n", "total", "seen")) == listed(batch)
 
 
-def test_episodes_across_batches(spark, small):
-    events = spark.read.parquet(f"{small}/events.parquet").select(
-        "user_id", "event_id", "ts", "event_type"
-    )
-    source = new_folder(spark, "events")
-    for part in range(6):
-        events.filter(F.dayofmonth("ts").between(part * 6, part * 6 + 5)).coalesce(1).write.mode(
-            "append"
-        ).parquet(source)
-    found, tails = new_folder(spark, "found"), new_folder(spark, "tails")
-    feed = J.file_stream(spark, source, events.schema, files_per_batch=1)
-    J.run_available(
-        J.episode_stream(feed, found, tails, new_folder(spark, "c"), P.PATTERN, P.MAX_GAP)
-    )
-    batch = D.sequence_episodes(events, "user_id", "ts", "event_type", P.PATTERN, P.MAX_GAP)
-    got = spark.read.parquet(found).select(*batch.columns)
-    assert listed(got) == listed(batch) and batch.count() > 0
-
-
 def test_order_within_keys(spark, feed):
     ordered = D.in_key_order(P.raw_events(feed[1]), "key", "offset", 6)
     rows = ordered.select("key", "offset").collect()

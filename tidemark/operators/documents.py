@@ -238,17 +238,12 @@ def sequence_episodes(
     state: str,
     pattern: list[str],
     max_gap_seconds: int,
-    last_event: Column | None = None,
-    extra: list[str] | None = None,
 ) -> DataFrame:
-    """Runs of consecutive events of a key that spell ``pattern`` without a longer pause (batch).
-
-    ``last_event`` is a condition on the event that ends a run; it may use the ``extra`` columns.
-    """
+    """Runs of consecutive events of a key that spell ``pattern`` without a longer pause (batch)."""
     steps = len(pattern) - 1
     order = [moment, "event_id"]
     rows = G.segmented(
-        events.select(key, "event_id", moment, state, *(extra or [])),
+        events.select(key, "event_id", moment, state),
         [key],
         F.to_date(moment),
         order,
@@ -262,8 +257,6 @@ def sequence_episodes(
         columns[f"_time{i}"] = G.earlier_value(moment, window, i)
     rows = rows.withColumns(columns)
     found = F.col(state) == pattern[-1]
-    if last_event is not None:
-        found = found & last_event
     later = F.unix_micros(F.col(moment).cast("timestamp"))
     for i in range(1, steps + 1):
         earlier = F.unix_micros(F.col(f"_time{i}").cast("timestamp"))

@@ -1,53 +1,67 @@
 """Keyed mutable tables: merge, upsert, update, change data and history.
 
-Each operator is DataFrame in, DataFrame out; :mod:`tidemark.sources.snapshots` publishes the
-result as the next version of a table.
+Each operator is DataFrame in, DataFrame out; the caller writes the result as the table's next state.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemark.operators import segments as G
 from tidemark.operators.relational import latest_per_key
 
 
+REPEATED = "several source rows match one target row"
+
+
 def _tagged(source: DataFrame, keys: list[str]) -> DataFrame:
+    """Source rows with their number per key, counted along the exchange of the join."""
     rest = [F.col(c).alias(f"_new_{c}") for c in source.columns if c not in keys]
-    return source.select(*keys, *rest, F.lit(True).alias("_matched"))
+    rows = F.count(F.lit(1)).over(Window.partitionBy(*keys))
+    return source.select(*keys, *rest, rows.alias("_rows"))
+
+
+def _taken(c: str, matched: Column, kept: Column, kind: str) -> Column:
+    """The new value of a matching row, the kept one else; a second match is an error."""
+    twice = F.when(F.col("_rows") > 1, F.raise_error(F.lit(REPEATED)).cast(kind))
+    return F.when(matched, twice.otherwise(F.col(f"_new_{c}"))).otherwise(kept).alias(c)
 
 
 def merge_update(
     target: DataFrame, source: DataFrame, keys: list[str], columns: list[str]
 ) -> DataFrame:
-    """Take ``columns`` from the matching source row; other source rows are ignored."""
+    """Take ``columns`` from the matching source row; other source rows are ignored.
+
+    Two source rows for one target row are an error, as in a MERGE statement.
+    """
+    kinds = dict(target.dtypes)
     joined = target.join(_tagged(source.select(*keys, *columns), keys), keys, "left")
+    matched = F.col("_rows").isNotNull()
     return joined.select(
-        *(
-            F.when(F.col("_matched"), F.col(f"_new_{c}")).otherwise(F.col(c)).alias(c)
-            if c in columns
-            else F.col(c)
-            for c in target.columns
-        )
+        *(_taken(c, matched, F.col(c), kinds[c]) if c in columns else F.col(c) for c in target.columns)
     )
 
 
 def merge_upsert(
     target: DataFrame, source: DataFrame, keys: list[str], columns: list[str]
 ) -> DataFrame:
-    """Update matching rows and insert the source rows that match nothing."""
+    """Update matching rows and insert the source rows that match nothing.
+
+    Two source rows for one target row are an error; repeated new keys are inserted as they are.
+    """
+    kinds = dict(target.dtypes)
     joined = target.withColumn("_known", F.lit(True)).join(
         _tagged(source, keys), keys, "full_outer"
     )
+    known, fresh = F.col("_known").isNotNull(), F.col("_known").isNull()
 
     def pick(c: str) -> Column:
-        if c in keys:
-            return F.col(c)
-        if c not in source.columns:
+        if c in keys or c not in source.columns:
             return F.col(c)
+        kept = F.when(fresh, F.col(f"_new_{c}")).otherwise(F.col(c))
         if c in columns:
-            return F.when(F.col("_matched"), F.col(f"_new_{c}")).otherwise(F.col(c)).alias(c)
-        return F.when(F.col("_known"), F.col(c)).otherwise(F.col(f"_new_{c}")).alias(c)
+            return _taken(c, known & F.col("_rows").isNotNull(), kept, kinds[c])
+        return kept.alias(c)
 
     return joined.select(*(pick(c) for c in target.columns))
 
@@ -55,11 +69,21 @@ def merge_upsert(
 def upsert_latest(
     target: DataFrame, source: DataFrame, keys: list[str], order_by: list[str]
 ) -> DataFrame:
-    """The newest row per key of target and source; at equal age the source row wins."""
-    both = target.withColumn("_side", F.lit(0)).unionByName(
-        source.select(*target.columns).withColumn("_side", F.lit(1))
-    )
-    return latest_per_key(both, keys, [*order_by, "_side"]).select(*target.columns)
+    """The newest row per key of target and source; at equal age the source row wins.
+
+    ``target`` has one row per key. Only the source is reduced to its newest rows; the target is
+    joined as it is.
+    """
+    order = [F.col(c).desc() for c in order_by]
+    first = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+    newest = source.select(*target.columns).withColumn("_n", first).filter("_n = 1").drop("_n")
+    rest = [c for c in target.columns if c not in keys]
+    new = newest.select(*keys, F.struct(*rest).alias("_new"))
+    joined = target.withColumn("_old", F.struct(*rest)).join(new, keys, "full_outer")
+    newer = F.struct(*(F.col(f"_new.{c}") for c in order_by)) >= F.struct(*(F.col(f"_old.{c}") for c in order_by))
+    chosen = F.when(F.col("_new").isNull() | (F.col("_old").isNotNull() & ~newer), F.col("_old"))
+    picked = joined.select(*keys, chosen.otherwise(F.col("_new")).alias("_row"))
+    return picked.select(*keys, "_row.*").select(*target.columns)
 
 
 def update_where(target: DataFrame, predicate: Column, changes: dict[str, Column]) -> DataFrame:

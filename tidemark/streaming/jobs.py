@@ -1,7 +1,9 @@
 """Structured Streaming jobs of the document flow.
 
 Each job is one query with its own checkpoint. Sinks keyed by the batch number overwrite their
-own folder, so a batch that runs again after a failure leaves no second copy.
+own folder, so a batch that runs again after a failure leaves no second copy. What spans batches
+(totals, first and last events, the index) is written per batch as a part that can be merged and is
+put together by a reader: no state store, no watermark, and no event is too late.
 """
 
 from __future__ import annotations
@@ -13,11 +15,6 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from tidemark.operators import documents as D
-from tidemark.operators.keyed import upsert_latest
-from tidemark.operators.relational import top_n_per_group
-from tidemark.sources.snapshots import SnapshotTable
-
-WATERMARK = "10 minutes"
 
 
 def file_stream(
@@ -63,112 +60,99 @@ def write_batch(df: DataFrame, path: str, batch_id: int) -> None:
     df.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
 
 
-def split_stream(raw: DataFrame, valid_path: str, dead_path: str, checkpoint: str, min_chars: int = 1):
-    """Normalize and split one stream into a valid and a dead-letter sink."""
+def batches(spark: SparkSession, path: str) -> DataFrame:
+    """All batches of a folder, without their numbers."""
+    return spark.read.parquet(path).drop("batch")
+
+
+def split_stream(raw: DataFrame, checked_path: str, checkpoint: str, min_chars: int = 1):
+    """Normalize a stream into one sink; :func:`split_batches` reads its two sides."""
 
     def split(batch: DataFrame, batch_id: int) -> None:
-        seen = D.checked(batch, min_chars).persist()
-        try:
-            write_batch(D.valid_events(seen), valid_path, batch_id)
-            write_batch(D.dead_letters(seen), dead_path, batch_id)
-        finally:
-            seen.unpersist()
+        seen = D.checked(batch, min_chars)
+        good = F.col("reason").isNull().cast("int")
+        folder = f"{checked_path}/batch={batch_id}"
+        seen.withColumn("good", good).write.mode("overwrite").partitionBy("good").parquet(folder)
 
     return per_batch(raw, checkpoint, split)
 
 
-def dedup_stream(valid: DataFrame, keys: list[str]) -> DataFrame:
-    """First event per key within the watermark; state is dropped when the watermark passes."""
-    return valid.withWatermark("timestamp", WATERMARK).dropDuplicatesWithinWatermark(keys)
+def split_batches(spark: SparkSession, checked_path: str) -> tuple[DataFrame, DataFrame]:
+    """(valid events, dead letters) of all batches; each side reads its own folders."""
+    seen = spark.read.parquet(checked_path)
+    good = seen.filter("good = 1").drop("batch", "good")
+    dead = seen.filter("good = 0").drop("batch", "good")
+    return D.valid_events(good), D.dead_letters(dead)
 
 
-def state_stream(valid: DataFrame, table: SnapshotTable, checkpoint: str):
-    """Publish the current state after each batch.
+def dedup_stream(valid: DataFrame, keys: list[str], keep: list[str], path: str, checkpoint: str):
+    """The first event per key of each batch; :func:`first_events` reads them."""
 
-    A batch is reduced to its last event per document and merged by offset, so older events that
-    come late, or a batch that runs again, change nothing. Tombstones stay in the table, as
-    :func:`tidemark.operators.documents.compacted` keeps them; readers filter them out.
-    """
+    def reduce(batch: DataFrame, batch_id: int) -> None:
+        write_batch(D.first_per(batch, keys, "offset", keep), path, batch_id)
 
-    def publish(batch: DataFrame, batch_id: int) -> None:
-        newest = D.compacted(batch)
-        if table.latest() == 0:
-            table.commit(newest)
-        else:
-            table.commit_with_retry(
-                lambda now: upsert_latest(now, newest, ["document_id"], ["offset"])
-            )
+    return per_batch(valid, checkpoint, reduce)
 
-    return per_batch(valid, checkpoint, publish)
 
+def first_events(spark: SparkSession, path: str, keys: list[str], keep: list[str]) -> DataFrame:
+    return D.first_per(batches(spark, path), keys, "offset", keep)
 
-def index_stream(valid: DataFrame, path: str, checkpoint: str):
-    """Add the terms of each batch to the index, one folder per batch."""
 
-    def add(batch: DataFrame, batch_id: int) -> None:
-        fresh = batch.filter(~F.col("tombstone"))
-        write_batch(D.inverted_index(fresh, "offset", "text"), path, batch_id)
+def state_stream(valid: DataFrame, path: str, checkpoint: str):
+    """The last event per document of each batch; :func:`latest_state` reads them.
 
-    return per_batch(valid, checkpoint, add)
+    Events count by offset, so late ones, or a batch that runs again, change nothing.
+    """
 
+    def reduce(batch: DataFrame, batch_id: int) -> None:
+        write_batch(D.compacted(batch), path, batch_id)
 
-def windowed_totals(
-    events: DataFrame, history: DataFrame, keys: list[str], moment: str, value: str, width: str
-) -> DataFrame:
-    """Totals per time window next to the figures of ``history`` for the same keys."""
-    return (
-        events.withWatermark(moment, WATERMARK)
-        .groupBy(F.window(moment, width).alias("window"), *keys)
-        .agg(F.count(F.lit(1)).alias("n"), F.sum(value).alias("total"))
-        .join(history, keys)
-        .select(F.col("window.start").alias("window_start"), *keys, "n", "total", *[
-            c for c in history.columns if c not in keys
-        ])
-    )
+    return per_batch(valid, checkpoint, reduce)
 
 
-def updates_to(stream: DataFrame, path: str, checkpoint: str):
-    """Write every changed aggregate with its batch number; :func:`latest_update` reads them."""
+def latest_state(spark: SparkSession, path: str) -> DataFrame:
+    """The last event per document, tombstones included."""
+    return D.compacted(batches(spark, path))
 
-    def write(batch: DataFrame, batch_id: int) -> None:
-        write_batch(batch, path, batch_id)
 
-    return per_batch(stream, checkpoint, write, "update")
+def index_stream(valid: DataFrame, path: str, checkpoint: str):
+    """The terms of each batch's documents, and which events there were."""
 
+    def add(batch: DataFrame, batch_id: int) -> None:
+        events = batch.select("document_id", "offset", "tombstone")
+        write_batch(events, f"{path}/events", batch_id)
+        live = batch.filter(~F.col("tombstone"))
+        write_batch(D.inverted_index(live, "offset", "text"), f"{path}/terms", batch_id)
 
-def latest_update(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
-    updates = spark.read.parquet(path)
-    rest = [c for c in updates.columns if c not in [*keys, "batch"]]
-    return (
-        updates.groupBy(*keys)
-        .agg(F.max_by(F.struct(*rest), "batch").alias("_last"))
-        .select(*keys, "_last.*")
+    return per_batch(valid, checkpoint, add)
+
+
+def current_index(spark: SparkSession, path: str) -> DataFrame:
+    """(term, document_id, tf) of the last version of every document that is not deleted."""
+    last = batches(spark, f"{path}/events").groupBy("document_id").agg(
+        F.max(F.struct("offset", "tombstone")).alias("last")
     )
+    live = last.filter(~F.col("last.tombstone")).select("document_id", F.col("last.offset").alias("doc_id"))
+    return batches(spark, f"{path}/terms").join(live, "doc_id").select("term", "document_id", "tf")
 
 
-def episode_stream(
-    events: DataFrame, found_path: str, tails_path: str, checkpoint: str, pattern: list[str],
-    max_gap_seconds: int,
+def window_stream(
+    events: DataFrame, keys: list[str], moment: str, value: str, width: str, path: str, checkpoint: str
 ):
-    """:func:`tidemark.operators.documents.sequence_episodes` on a stream of user events.
+    """Count and sum per time window and keys of each batch; :func:`window_totals` adds them up."""
 
-    A batch is read together with the last ``len(pattern) - 1`` events that the batches before
-    left of each user, so episodes may span batches and a busy user is still cut into segments.
-    Events have to arrive in order from batch to batch.
-    """
-
-    def work(batch: DataFrame, batch_id: int) -> None:
-        columns = ["user_id", "event_id", "ts", "event_type"]
-        rows = batch.select(*columns, F.lit(True).alias("fresh"))
-        if batch_id > 0:
-            carried = batch.sparkSession.read.parquet(f"{tails_path}/batch={batch_id - 1}")
-            rows = rows.unionByName(carried.select(*columns, F.lit(False).alias("fresh")))
-        found = D.sequence_episodes(
-            rows, "user_id", "ts", "event_type", pattern, max_gap_seconds, F.col("fresh"), ["fresh"]
+    def reduce(batch: DataFrame, batch_id: int) -> None:
+        parts = batch.groupBy(F.window(moment, width)["start"].alias("window_start"), *keys).agg(
+            F.count(F.lit(1)).alias("n"), F.sum(value).alias("total")
         )
-        write_batch(found, found_path, batch_id)
-        order = rows.withColumn("_order", F.struct("ts", "event_id"))
-        tails = top_n_per_group(order, ["user_id"], "_order", [], len(pattern) - 1)
-        write_batch(tails.select(*columns), tails_path, batch_id)
+        write_batch(parts, path, batch_id)
+
+    return per_batch(events, checkpoint, reduce)
 
-    return per_batch(events, checkpoint, work)
+
+def window_totals(spark: SparkSession, path: str, keys: list[str], history: DataFrame) -> DataFrame:
+    """Totals per time window next to the figures of ``history`` for the same keys."""
+    totals = batches(spark, path).groupBy("window_start", *keys).agg(
+        F.sum("n").alias("n"), F.sum("total").alias("total")
+    )
+    return totals.join(history, keys)
