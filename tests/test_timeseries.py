@@ -161,3 +161,33 @@ def test_metric_lines(spark):
         ("gauge", {}, math.inf),
         ("odd", {"q": 'a"b\\c\n'}, -2500.0),
     ]
+
+
+def test_ranges_from_buckets_equal_single_ranges(spark):
+    """Every moment of a stepped evaluation equals the range taken for that moment alone."""
+    import random
+
+    rng = random.Random(7)
+    points = sorted({rng.randrange(0, 4000) for _ in range(150)} | {600, 900, 1200})
+    series = [({"a": "1"}, [(s, rng.randrange(0, 50)) for s in points]), ({"a": "2"}, [(1000, 5), (3700, 2)])]
+    vector = samples(spark, *series)
+    for seconds, step in ((300, 300), (900, 400), (700, 300), (100, 600)):
+        for function in (M.increase, M.delta, M.instant):
+            name = "lookback" if function is M.instant else "seconds"
+            found = {}
+            for r in function(vector, step=step, **{name: seconds}).collect():
+                found[tuple(r.labels.items()), int((r.at - START).total_seconds())] = r.value
+            want = {}
+            for t in range(0, 5400, step):
+                for r in function(vector, at=START + timedelta(seconds=t), **{name: seconds}).collect() if t % 1200 == 0 else ():
+                    want[tuple(r.labels.items()), t] = r.value
+            assert {k: v for k, v in found.items() if k[1] % 1200 == 0} == want
+
+
+def test_samples_are_not_copied_before_a_shuffle(spark):
+    vector = samples(spark, ({"a": "1"}, [(60, 10), (120, 15)]))
+    plan = M.increase(vector, 7 * 86_400, step=60)._jdf.queryExecution().executedPlan().toString()
+    lines = plan.splitlines()
+    generated = [i for i, line in enumerate(lines) if "Generate" in line]
+    exchanged = [i for i, line in enumerate(lines) if "Exchange" in line]
+    assert generated and max(generated) < min(exchanged)

@@ -1,12 +1,14 @@
 """Queries on metric samples ``(metric, labels MAP, ts TIMESTAMP, value DOUBLE)``.
 
-A range query is evaluated at one moment (``at``) or at every multiple of ``step`` seconds. Work
-is grouped by (series, evaluation moment), so a long series is spread over its moments; a group
-holds the samples of one series in one range, at most one per scrape.
+A range query is evaluated at one moment (``at``) or at every multiple of ``step`` seconds. In the
+second case samples are summed up once, per series and bucket of the widest span that divides both
+the range and the step; ranges are then put together from the buckets of a series, whatever their
+number, as differences of running totals.
 """
 
 from __future__ import annotations
 
+import math
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -39,49 +41,28 @@ def matching(samples: DataFrame, metric: str | None = None, **conditions: str) -
     return kept
 
 
-def in_range(
-    samples: DataFrame, seconds: int, at: datetime | None = None, step: int | None = None
-) -> DataFrame:
-    """Add ``at``: every evaluation moment t with ``t - seconds < ts <= t``."""
-    if (at is None) == (step is None):
-        raise ValueError("give either at or step")
-    if at is not None:
-        moment = F.lit(at).cast("timestamp")
-        since = moment - F.expr(f"INTERVAL {seconds} SECONDS")
-        return samples.filter((F.col("ts") > since) & (F.col("ts") <= moment)).withColumn(
-            "at", moment
-        )
-    micros = F.unix_micros("ts")
-    width, grid = seconds * MICROS, step * MICROS
-    first = micros + F.pmod(-micros, F.lit(grid))
-    ahead = micros + width - 1
-    last = ahead - F.pmod(ahead, F.lit(grid))
-    moments = F.when(first <= last, F.sequence(first, last, F.lit(grid).cast("bigint")))
-    return samples.withColumn("_at", F.explode(moments)).select(
-        *samples.columns, F.timestamp_micros("_at").alias("at")
-    )
+def in_range(samples: DataFrame, seconds: int, at: datetime) -> DataFrame:
+    """The samples with ``at - seconds < ts <= at``, and ``at``."""
+    moment = F.lit(at).cast("timestamp")
+    since = moment - F.expr(f"INTERVAL {seconds} SECONDS")
+    return samples.filter((F.col("ts") > since) & (F.col("ts") <= moment)).withColumn("at", moment)
 
 
 def _series() -> Column:
     return F.array_sort(F.map_entries("labels")).alias("series")
 
 
-def _range_summary(
-    samples: DataFrame, seconds: int, at: datetime | None, step: int | None
-) -> DataFrame:
-    """Per (metric, series, at): number of samples, ends of the range and the increase.
+def _step(value: Column, before: Column) -> Column:
+    """Growth from one sample to the next; a counter that falls was reset and counts from zero."""
+    return F.when(before.isNull(), 0.0).otherwise(F.when(value < before, value).otherwise(value - before))
 
-    A counter that falls was reset; from there it counts from zero.
-    """
-    ranged = in_range(samples, seconds, at, step).select("metric", _series(), "at", "ts", "value")
-    order = Window.partitionBy("metric", "series", "at").orderBy("ts")
-    before = F.lag("value").over(order)
-    grown = F.when(before.isNull(), 0.0).otherwise(
-        F.when(F.col("value") < before, F.col("value")).otherwise(F.col("value") - before)
-    )
+
+def _summed(samples: DataFrame, keys: list[str]) -> DataFrame:
+    """Per keys: number of samples, first and last one, and the growth between them."""
+    order = Window.partitionBy(*keys).orderBy("ts")
     return (
-        ranged.withColumn("grown", grown)
-        .groupBy("metric", "series", "at")
+        samples.withColumn("grown", _step(F.col("value"), F.lag("value").over(order)))
+        .groupBy(*keys)
         .agg(
             F.count(F.lit(1)).alias("n"),
             F.sum("grown").alias("grown"),
@@ -90,7 +71,63 @@ def _range_summary(
             F.min_by("value", "ts").alias("first_value"),
             F.max_by("value", "ts").alias("last_value"),
         )
-        .filter(F.col("n") >= 2)
+    )
+
+
+def _range_summary(
+    samples: DataFrame, seconds: int, at: datetime | None, step: int | None
+) -> DataFrame:
+    """Per (metric, series, at) with a sample: their number, the first and last one, the growth."""
+    if (at is None) == (step is None):
+        raise ValueError("give either at or step")
+    names = ["n", "grown", "first_ts", "last_ts", "first_value", "last_value"]
+    if at is not None:
+        ranged = in_range(samples, seconds, at).select("metric", _series(), "at", "ts", "value")
+        return _summed(ranged, ["metric", "series", "at"])
+    width = math.gcd(seconds, step) * MICROS
+    micros = F.unix_micros("ts")
+    end = (micros + F.pmod(-micros, F.lit(width))).alias("end")
+    buckets = _summed(samples.select("metric", _series(), end, "ts", "value"), ["metric", "series", "end"])
+
+    along = Window.partitionBy("metric", "series").orderBy("end")
+    so_far = along.rowsBetween(Window.unboundedPreceding, 0)
+    jump = _step(F.col("first_value"), F.lag("last_value").over(along))
+    chained = (
+        buckets.withColumn("_gained", F.col("grown") + jump)
+        .withColumn("_total_n", F.sum("n").over(so_far))
+        .withColumn("_total", F.sum("_gained").over(so_far))
+        .withColumn("_next", F.lead("end").over(along))
+    )
+    # A moment belongs to the last bucket that ends by then; its range starts after ``end`` below.
+    grid, reach = F.lit(step * MICROS), F.lit(seconds * MICROS)
+    first = F.col("end") + F.pmod(-F.col("end"), grid)
+    ahead = F.least(F.col("end") + reach, F.coalesce("_next", F.col("end") + reach)) - 1
+    last = ahead - F.pmod(ahead, grid)
+    moments = F.when(first <= last, F.sequence(first, last, grid)).otherwise(F.array().cast("array<bigint>"))
+    bucket = F.struct(F.lit(None).cast("bigint").alias("at"), F.col("end").alias("place"))
+    asked = F.transform(moments, lambda t: F.struct(t.alias("at"), (t - reach).alias("place")))
+    rows = chained.select(
+        "metric", "series", *names, "_total_n", "_total", F.inline(F.concat(F.array(bucket), asked))
+    )
+    # From the end, the last bucket passed is the first one of a range; one that ends where the
+    # range begins lies outside and comes after it.
+    back = Window.partitionBy("metric", "series").orderBy(F.desc("place"), F.desc_nulls_last("at"))
+    held = F.when(F.col("at").isNull(), F.struct("n", "grown", "first_ts", "first_value", "_total_n", "_total"))
+    opening = F.last(held, ignorenulls=True).over(back.rowsBetween(Window.unboundedPreceding, 0))
+    return (
+        rows.withColumn("_first", opening)
+        .filter(F.col("at").isNotNull())
+        .select(
+            "metric",
+            "series",
+            F.timestamp_micros("at").alias("at"),
+            (F.col("_total_n") - F.col("_first._total_n") + F.col("_first.n")).alias("n"),
+            (F.col("_total") - F.col("_first._total") + F.col("_first.grown")).alias("grown"),
+            F.col("_first.first_ts").alias("first_ts"),
+            "last_ts",
+            F.col("_first.first_value").alias("first_value"),
+            "last_value",
+        )
     )
 
 
@@ -128,7 +165,7 @@ def increase(
     """Growth of each counter over the range; series with fewer than two samples vanish."""
     grown = F.col("grown")
     value = grown * _stretch(seconds, grown, True) if extrapolate else grown
-    return _vector(_range_summary(samples, seconds, at, step), value)
+    return _vector(_range_summary(samples, seconds, at, step).filter("n >= 2"), value)
 
 
 def rate(
@@ -155,19 +192,7 @@ def delta(
     extrapolate: bool = False,
 ) -> DataFrame:
     """Last minus first value of each gauge over the range."""
-    summary = (
-        in_range(samples, seconds, at, step)
-        .select("metric", _series(), "at", "ts", "value")
-        .groupBy("metric", "series", "at")
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.min("ts").alias("first_ts"),
-            F.max("ts").alias("last_ts"),
-            F.min_by("value", "ts").alias("first_value"),
-            F.max_by("value", "ts").alias("last_value"),
-        )
-        .filter(F.col("n") >= 2)
-    )
+    summary = _range_summary(samples, seconds, at, step).filter("n >= 2")
     change = F.col("last_value") - F.col("first_value")
     return _vector(summary, change * _stretch(seconds, change, False) if extrapolate else change)
 
@@ -176,13 +201,8 @@ def instant(
     samples: DataFrame, at: datetime | None = None, step: int | None = None, lookback: int = 300
 ) -> DataFrame:
     """The latest value of each series within the lookback."""
-    summary = (
-        in_range(samples, lookback, at, step)
-        .select("metric", _series(), "at", "ts", "value")
-        .groupBy("metric", "series", "at")
-        .agg(F.max_by("value", "ts").alias("latest"))
-    )
-    return _vector(summary, F.col("latest"))
+    summary = _range_summary(samples, lookback, at, step)
+    return _vector(summary, F.col("last_value"))
 
 
 def sum_by(vector: DataFrame, labels: list[str]) -> DataFrame:
