@@ -173,16 +173,22 @@ def edition_history(valid: DataFrame, width: int = 1024) -> DataFrame:
     )
 
 
-# Fixed value: how a link is written in a page.
-LINK = 'href="([^"]*)"'
+# How links, court cases and acts are written in a text.
+REFERENCES = {
+    "link": 'href="([^"]*)"',
+    "case": r"([A-ZА-Я][0-9]{1,3}-[0-9]+/[0-9]{4})",
+    "act": r"№ ?([0-9]+-[A-ZА-Я]+)",
+}
 
 
 def references(pages: DataFrame, key: str, text: str) -> DataFrame:
-    """(source, target) for every link in ``text``."""
-    return pages.select(
-        F.col(key).alias("source_document_id"),
-        F.explode(F.regexp_extract_all(F.col(text), F.lit(LINK), 1)).alias("target"),
-    )
+    """(source, kind, target) for every link, cited case and cited act in ``text``."""
+
+    def found(kind: str, pattern: str) -> Column:
+        targets = F.regexp_extract_all(F.col(text), F.lit(pattern), 1)
+        return F.transform(targets, lambda target: F.struct(F.lit(kind).alias("kind"), target.alias("target")))
+
+    return pages.select(F.col(key).alias("source_document_id"), F.inline(F.concat(*(found(k, p) for k, p in REFERENCES.items()))))
 
 
 def inverted_index(docs: DataFrame, key: str, text: str) -> DataFrame:

