@@ -45,10 +45,10 @@ def item_windows(items: DataFrame, item_id: str, text: str, length: int) -> Data
 
 
 def in_blocks(rows: DataFrame, size: Column, by: str) -> Iterator[DataFrame]:
-    """``rows`` as broadcasts of at most about ``BLOCK_BYTES``, dealt by a column's digest."""
+    """``rows`` in parts of at most about ``BLOCK_BYTES`` by a column's digest, to be broadcast."""
     blocks = pieces(rows.agg(F.sum(size)).first()[0] or 0, BLOCK_BYTES)
     for k in range(blocks):
-        yield F.broadcast(rows.where(F.pmod(F.xxhash64(by), F.lit(blocks)) == k))
+        yield rows.where(F.pmod(F.xxhash64(by), F.lit(blocks)) == k)
 
 
 def _union(frames: Iterator[DataFrame]) -> DataFrame:
@@ -62,10 +62,10 @@ def rarest_words(windows: DataFrame, docs: DataFrame, text: str) -> DataFrame:
     """Each window with ``rare``, its word that the corpus has least often (ties: the first in code
     point order), and ``offset``, its first place in the window; counts are over all documents."""
     vocabulary = stored(windows.select(F.explode("words").alias("word")).distinct(), "vocabulary")
-    tokens = docs.select(F.explode(word_list(F.col(text))).alias("raw")).select(F.lower("raw").alias("raw"))
+    tokens = docs.select(F.explode_outer(word_list(F.col(text))).alias("raw")).select(F.lower("raw").alias("raw"))
     held = vocabulary.withColumn("key", F.lower("word"))
     counted = _union(
-        tokens.join(block, F.col("raw") == F.col("key")).groupBy("word").agg(F.count("*").alias("n"))
+        tokens.join(F.broadcast(block), F.col("raw") == F.col("key")).groupBy("word").agg(F.count("*").alias("n"))
         for block in in_blocks(held, 2 * F.octet_length("word") + 16, "word")
     )
     counts = stored(counted, "counts")
@@ -85,17 +85,19 @@ def occurrences(docs: DataFrame, windows: DataFrame, key: list[str], text: str)
     """``key, start, length, items`` for every place where a window occurs; places count from 1 in
     the entries of ``word_list``."""
     parted = docs.select(*key, word_list(F.col(text)).alias("_all"))
-    tokens = parted.select(*key, "_all", F.posexplode("_all").alias("_at", "_raw"))
+    tokens = parted.select(*key, "_all", F.posexplode_outer("_all").alias("_at", "_raw"))
     start = F.col("_at") + 2 - F.col("offset")
-    size = F.size("words")
-    here = F.transform(F.slice("_all", F.col("_start"), size), ascii_lower)
+    # Words hold no space, so that phrases are equal if and only if their words are. Only functions
+    # with generated code: explode and join then run as one loop that never copies a word list.
+    here = ascii_lower(F.array_join(F.slice("_all", start, F.col("length")), " "))
 
     def met(block: DataFrame) -> DataFrame:
-        joined = tokens.join(block, F.lower("_raw") == F.lower("rare")).withColumn("_start", start.cast("int"))
-        bounded = joined.where((F.col("_start") >= 1) & (F.col("_start") + size - 1 <= F.size("_all")))
-        return bounded.where(here == F.col("words")).select(*key, F.col("_start").alias("start"), size.alias("length"), "items")
+        lookup = block.select(F.lower("rare").alias("rare"), "offset", F.size("words").alias("length"), F.array_join("words", " ").alias("phrase"), "items")
+        joined = tokens.join(F.broadcast(lookup), F.lower("_raw") == F.col("rare"))
+        bounded = joined.where((start >= 1) & (start + F.col("length") - 1 <= F.size("_all")) & (here == F.col("phrase")))
+        return bounded.select(*key, start.alias("start"), "length", "items")
 
-    weight = F.octet_length(F.array_join("words", " ")) + 16 * size + 40 * F.size("items") + 64
+    weight = F.octet_length(F.array_join("words", " ")) + 16 * F.size("words") + 40 * F.size("items") + 64
     return _union(met(block) for block in in_blocks(windows, weight, "rare"))
 
 
