@@ -82,8 +82,9 @@ def exact_top_k(queries: DataFrame, data: DataFrame, id_column: str, vector: str
     spark = data.sparkSession
     kind = lambda df: df.where(F.col(vector).isNotNull() & F.col(id_column).isNotNull()).select(F.col(id_column).cast("long").alias("id"), F.col(vector).cast("array<long>").alias("v"))
     points = kind(data)
-    # Pivots: a fixed number of vectors, the same in every run.
-    chosen = points.select("id", "v").distinct().orderBy(F.xxhash64("id", "v"), "id").limit(pivots).collect()
+    # Pivots: at most a fixed number of different vectors, the same in every run.
+    drawn = points.orderBy(F.xxhash64("id", "v"), "id").limit(pivots).select("v").collect()
+    chosen = [list(v) for v in dict.fromkeys(tuple(r.v) for r in drawn)]
     width = points.agg(F.max(F.size("v"))).first()[0] or 0
     if not chosen or not width:
         pairs = "query_id long, rank int, vec_id long, score long"
@@ -91,8 +92,8 @@ def exact_top_k(queries: DataFrame, data: DataFrame, id_column: str, vector: str
             return spark.createDataFrame([], pairs)
         chosen, width = chosen[:1], max(width, 1)
     centers = np.zeros((len(chosen), width))
-    for i, row in enumerate(chosen):
-        centers[i, : len(row.v)] = row.v
+    for i, v in enumerate(chosen):
+        centers[i, : len(v)] = v
 
     def placed(rows: DataFrame) -> DataFrame:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -111,7 +111,12 @@ def fit(labelled: DataFrame, lang: str = "lang", text: str = "text", id_column:
     rows = labelled.where(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(F.col(id_column).alias("id"), F.col(lang).alias("lang"), F.col(text).alias("text"))
     by = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
     first = lambda df: df.withColumn("n", F.row_number().over(by)).where(F.col("n") <= sample).drop("n")
-    chosen = first(rows.select("id", "lang")).distinct().withColumnRenamed("lang", "chosen_lang").withColumnRenamed("id", "chosen")
+    # Twice the sample by the digest first, so that a frequent language is not ranked in one task;
+    # the counts are one row per language, as the model is.
+    counts = rows.groupBy("lang").agg(F.count("*").alias("rows"))
+    drawn = F.pmod(F.xxhash64("id"), F.lit(1 << 32)) * F.col("rows") < F.lit((1 << 32) * 2.0 * sample)
+    thinned = rows.select("id", "lang").join(F.broadcast(counts), "lang").where(drawn).select("id", "lang")
+    chosen = first(thinned).distinct().withColumnRenamed("lang", "chosen_lang").withColumnRenamed("id", "chosen")
     same = F.col("id").eqNullSafe(F.col("chosen")) & (F.col("lang") == F.col("chosen_lang"))
     texts = first(rows.join(F.broadcast(chosen), same, "left_semi"))
 
