@@ -35,7 +35,27 @@ def op8(spark: SparkSession, folder: str) -> DataFrame:
     return groups.select("doc_id", hex64(groups.fingerprint).alias("fingerprint"), "component_id")
 
 
-@query("op3_substring_dedup")
+OP3_SQL = r"""
+with texts as (
+  select row_number() over () as n, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as words from documents
+), places as (
+  select n, unnest(range(1, len(words) + 1)) as i, unnest(words) as word, len(words) as size, words from texts
+), windows as (
+  select n, i, word, case when i + 34 <= size then hash(array_to_string(words[i : i + 34], chr(32))) end as win from places
+), counted as (
+  select n, i, word, win is not null and count(*) over (partition by win) > 1 as repeated from windows
+), covered as (
+  select n, i, word, bool_or(repeated) over (partition by n order by i rows between 34 preceding and current row) as gone from counted
+), kept as (
+  select n, count(*) filter (where gone) as n_removed, string_agg(word, ' ' order by i) filter (where not gone) as kept
+  from covered group by n
+)
+select doc_id, len(words)::bigint as n_words, coalesce(n_removed, 0)::bigint as n_removed, sha256(coalesce(kept, '')) as kept_sha256
+from texts left join kept using (n)
+"""
+
+
+@query("op3_substring_dedup", OP3_SQL)
 def op3(spark: SparkSession, folder: str) -> DataFrame:
     found = substrings.remove_repeated_passages(table(spark, folder, "documents"), length=35)
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
@@ -206,7 +226,23 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
     return extraction.extract_main_text(table(spark, folder, "pages"), ["page_id", "url"])
 
 
-@query("op2_exact_top_k")
+OP2_SQL = r"""
+with usable as (
+  select vec_id, list_transform(embedding, lambda x: floor(x::double * 256)::bigint) as v from embeddings
+  where vec_id is not null and embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+), scored as (
+  select q.vec_id as query_id, d.vec_id,
+    coalesce(list_sum(list_transform(range(1, least(len(q.v), len(d.v)) + 1), lambda i: q.v[i] * d.v[i])), 0)::bigint as score
+  from usable q join usable d on q.vec_id <> d.vec_id where q.vec_id % 50 = 0
+), ranked as (
+  select *, row_number() over (partition by query_id order by score desc, vec_id)::int as rank from scored
+)
+select query_id, rank, vec_id, score from ranked where rank <= 5
+"""
+
+
+@query("op2_exact_top_k", OP2_SQL)
 def op2(spark: SparkSession, folder: str) -> DataFrame:
     rows = table(spark, folder, "embeddings").select("vec_id", knn.quantized(F.col("embedding")).alias("v"))
     return knn.exact_top_k(rows.where(F.col("vec_id") % 50 == 0), rows, "vec_id", "v", k=5)
