@@ -76,13 +76,15 @@ class Rule:
     """``window`` symbols must repeat; anchors are grams of ``gram`` symbols.
 
     ``earlier``: a window counts if a text of a smaller id has it; else if it starts anywhere else.
-    ``symbols``: the identifiers of a text's symbols.
+    ``symbols`` cuts a text into an array of symbols, and ``identify`` gives such arrays their
+    identifiers; texts are held as the former, the latter are made for a part at a time.
     """
 
     window: int
     gram: int
     earlier: bool
     symbols: Callable[[bytes], np.ndarray]
+    identify: Callable[[np.ndarray], np.ndarray]
 
 
 @dataclass
@@ -135,8 +137,8 @@ def _windows(ids: np.ndarray, owner: np.ndarray, place: np.ndarray, rule: Rule):
 
 def find_runs(texts: list[np.ndarray], rule: Rule) -> Runs:
     found = []
-    for ids, owner, place in _segments(texts, rule.window):
-        first, at, grams, contents = _windows(ids, owner, place, rule)
+    for symbols, owner, place in _segments(texts, rule.window):
+        first, at, grams, contents = _windows(rule.identify(symbols), owner, place, rule)
         if len(first):
             head = np.flatnonzero(np.concatenate([[True], (at[1:] != at[:-1]) | (np.diff(first) != 1)]))
             tail = np.concatenate([head[1:], [len(first)]]) - 1
@@ -162,7 +164,8 @@ def window_ids(texts: list[np.ndarray], runs: Runs, rule: Rule) -> tuple[np.ndar
         return run, start, np.zeros(0, U)
     offset = np.cumsum([0, *map(len, texts)])[runs.text]
     size = runs.count + rule.window - 1
-    ids = gram_ids(np.concatenate(texts)[_ranges(runs.start + offset, size)], 1, rule.window)
+    symbols = np.concatenate(texts)[_ranges(runs.start + offset, size)]
+    ids = gram_ids(rule.identify(symbols), 1, rule.window)
     return run, start, ids[_ranges(np.cumsum(size) - size, runs.count)]
 
 
@@ -369,10 +372,10 @@ class Search:
         cuts = np.searchsorted(text[by], np.arange(len(chunk.texts) + 1))
         for k, row in enumerate(chunk.rows):
             mine = by[cuts[k] : cuts[k + 1]]
-            change = np.zeros(len(chunk.texts[k]) + 1, np.int64)
+            change = np.zeros(len(chunk.texts[k]) + 1, np.int32)
             np.add.at(change, start[mine], 1)
             np.add.at(change, stop[mine] + self.rule.window - 1, -1)
-            yield row, np.cumsum(change[:-1]) > 0
+            yield row, np.cumsum(change[:-1], dtype=np.int32) > 0
 
     # -- the buckets' side ------------------------------------------------------------------
 

@@ -61,4 +61,4 @@ def remove_repeated_passages(docs: DataFrame, id_column: str = "doc_id", text: s
         names = [id_column, "n_words", "n_removed", "kept", "starts", "stops"]
         return pa.table([*counts, pa.array(kept, pa.binary()), lists(starts), lists(stops)], names=names)
 
-    return covered_texts(docs, Rule(length, min(seed, length), False, word_symbols), id_column, text, schema, finish)
+    return covered_texts(docs, Rule(length, min(seed, length), False, word_symbols, lambda ids: ids), id_column, text, schema, finish)

@@ -23,7 +23,11 @@ _BYTES = mix(mix(np.arange(256, dtype=np.uint64), np.ones(256, np.uint64)), np.o
 
 
 def byte_symbols(text: bytes) -> np.ndarray:
-    return _BYTES[np.frombuffer(text, np.uint8)]
+    return np.frombuffer(text, np.uint8)
+
+
+def byte_ids(symbols: np.ndarray) -> np.ndarray:
+    return _BYTES[symbols]
 
 
 def remove_earlier_strings(docs: DataFrame, id_column: str = "doc_id", text: str = "text", length: int = 50) -> DataFrame:
@@ -52,4 +56,4 @@ def remove_earlier_strings(docs: DataFrame, id_column: str = "doc_id", text: str
         names = [id_column, "n_bytes", "n_removed", "n_spans", "kept", "starts", "stops"]
         return pa.table([*counts, pa.array(kept, pa.binary()), lists(starts), lists(stops)], names=names)
 
-    return covered_texts(docs, Rule(length, (length + 1) // 2, True, byte_symbols), id_column, text, schema, finish)
+    return covered_texts(docs, Rule(length, (length + 1) // 2, True, byte_symbols, byte_ids), id_column, text, schema, finish)
