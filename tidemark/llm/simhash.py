@@ -238,12 +238,11 @@ def drop_near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str =
     """
     groups = simhash_groups(docs, id_column, text, shingle, distance)
     first = F.min(F.struct(F.col(id_column).isNull().alias("no_id"), F.col(id_column).alias("id"), F.col("text_digest").alias("digest")))
-    keep = (
-        groups.groupBy(F.col("component_id").alias("_group"), F.when(F.col("component_id").isNull(), F.col("fingerprint")).alias("_print"))
-        .agg(first.alias("_first"))
-        .select(F.col("_first.id").alias("_id"), F.col("_first.digest").alias("_digest"))
-        .distinct()
-    )
+    by = [F.col("component_id").alias("_group"), F.when(F.col("component_id").isNull(), F.col("fingerprint")).alias("_print")]
+    keep = groups.groupBy(*by).agg(first.alias("_first")).select("_first.id", "_first.digest")
+    # Keys without nulls: one shuffle of the documents then serves the join and the dropping of copies.
+    key = [F.coalesce(F.col("id"), F.lit(0)).alias("_id"), F.col("id").isNull().alias("_none"), F.col("digest").alias("_digest")]
     rows = docs.select(whole_row(docs), F.col(id_column).alias("id"), F.xxhash64(F.col(text)).alias("digest"))
-    kept = rows.join(keep, F.col("id").eqNullSafe(F.col("_id")) & (F.col("digest") == F.col("_digest")), "left_semi")
-    return kept.dropDuplicates(["id", "digest"]).select("row.*")
+    names = ["_id", "_none", "_digest"]
+    kept = rows.select("row", *key).join(keep.select(*key).distinct(), names, "left_semi")
+    return kept.dropDuplicates(names).select("row.*")
