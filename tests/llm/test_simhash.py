@@ -83,3 +83,20 @@ def test_one_of_each_group_stays(spark):
     assert (prints[0] ^ prints[1]).bit_count() <= 3
     assert sorted(map(tuple, kept.collect()), key=str) == sorted([rows[1], rows[5], rows[6], rows[7]], key=str)
     assert S.drop_near_duplicates(docs.limit(0)).collect() == []
+
+
+def test_groups_are_not_joined_or_split_by_their_ids(spark):
+    rng = random.Random(6)
+
+    def near():
+        """Two texts with different fingerprints within the distance."""
+        while True:
+            base = " ".join(rng.choice("abcdefgh") + str(rng.randrange(1000)) for _ in range(400))
+            if 0 < (simhash(base) ^ simhash(base + " end")).bit_count() <= 3:
+                return base, base + " end"
+
+    (a, a_near), (b, b_near), (c, c_near) = near(), near(), near()
+    docs = spark.createDataFrame([(1, a), (4, a_near), (1, b), (5, b_near), (None, c), (None, c_near)], "doc_id long, text string")
+    kept = [tuple(r) for r in S.drop_near_duplicates(docs).collect()]
+    assert len(kept) == 3 and {(1, a), (1, b)} < set(kept)
+    assert [t for i, t in kept if i is None][0] in (c, c_near)

@@ -202,6 +202,13 @@ def _signed(value: int) -> int:
     return value - (1 << 64) if value >> 63 else value
 
 
+def rooted(distinct: DataFrame, distance: int = 3, posting_bytes: int = 3) -> DataFrame:
+    """``distinct``, which holds each fingerprint once, with ``_root``: a fingerprint of its group,
+    the same for the whole group and for no other, whatever the ids of the rows are."""
+    roots = connected_components(links(distinct, distance, posting_bytes)).withColumnRenamed("node", "fingerprint")
+    return distinct.join(roots, "fingerprint", "left").withColumn("_root", F.coalesce("root", "fingerprint")).drop("root")
+
+
 def near_duplicates(prints: DataFrame, id_column: str = "doc_id", distance: int = 3, posting_bytes: int = 3) -> DataFrame:
     """The rows of ``prints`` (``id_column``, ``fingerprint`` and more) with ``component_id``.
 
@@ -209,37 +216,37 @@ def near_duplicates(prints: DataFrame, id_column: str = "doc_id", distance: int
     joins them; ``component_id`` is the smallest id of the group. Equal fingerprints are one
     member of the index whatever their number. A group whose ids are all null has no id.
     """
-    firsts = prints.groupBy("fingerprint").agg(F.min(id_column).alias("_first"))
-    roots = connected_components(links(firsts, distance, posting_bytes))
-    placed = firsts.join(roots.withColumnRenamed("node", "fingerprint"), "fingerprint", "left").select(
-        "fingerprint", "_first", F.coalesce("root", "fingerprint").alias("_root")
-    )
+    placed = rooted(prints.groupBy("fingerprint").agg(F.min(id_column).alias("_first")), distance, posting_bytes)
     smallest = placed.groupBy("_root").agg(F.min("_first").alias("component_id"))
     names = placed.join(smallest, "_root").select("fingerprint", "component_id")
     return prints.join(names, "fingerprint")
 
 
+def _stored_prints(docs: DataFrame, id_column: str, text: str, shingle: int) -> DataFrame:
+    rows = docs.select(F.col(id_column), F.xxhash64(F.col(text)).alias("text_digest"), F.col(text).alias("_body"))
+    return stored(fingerprints(rows, [id_column, "text_digest"], "_body", shingle), "simhash")
+
+
 def simhash_groups(docs: DataFrame, id_column: str = "doc_id", text: str = "text", shingle: int = 3, distance: int = 3) -> DataFrame:
     """``id_column``, ``text_digest``, ``fingerprint`` and ``component_id`` for every row.
 
     The id and the digest of the text together name a row; rows that are equal in both are copies
     of each other and stay apart in the result. Nulls and empty texts: see ``fingerprints``.
     """
-    rows = docs.select(F.col(id_column), F.xxhash64(F.col(text)).alias("text_digest"), F.col(text).alias("_body"))
-    prints = stored(fingerprints(rows, [id_column, "text_digest"], "_body", shingle), "simhash")
-    return near_duplicates(prints, id_column, distance)
+    return near_duplicates(_stored_prints(docs, id_column, text, shingle), id_column, distance)
 
 
 def drop_near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "text", shingle: int = 3, distance: int = 3) -> DataFrame:
     """One row of ``docs`` for each near-duplicate group, with all its columns.
 
     The row with the smallest id stays (a null id is larger than any other); of rows that share
-    the id the one with the smallest digest of its text, and of full copies one.
+    the id the one with the smallest digest of its text, and of full copies one. Groups go by their
+    fingerprints: one id given to unrelated texts does not join their groups.
     """
-    groups = simhash_groups(docs, id_column, text, shingle, distance)
+    prints = _stored_prints(docs, id_column, text, shingle)
     first = F.min(F.struct(F.col(id_column).isNull().alias("no_id"), F.col(id_column).alias("id"), F.col("text_digest").alias("digest")))
-    by = [F.col("component_id").alias("_group"), F.when(F.col("component_id").isNull(), F.col("fingerprint")).alias("_print")]
-    keep = groups.groupBy(*by).agg(first.alias("_first")).select("_first.id", "_first.digest")
+    firsts = rooted(prints.groupBy("fingerprint").agg(first.alias("_first")), distance)
+    keep = firsts.groupBy("_root").agg(F.min("_first").alias("_first")).select("_first.id", "_first.digest")
     # Keys without nulls: one shuffle of the documents then serves the join and the dropping of copies.
     key = [F.coalesce(F.col("id"), F.lit(0)).alias("_id"), F.col("id").isNull().alias("_none"), F.col("digest").alias("_digest")]
     rows = docs.select(whole_row(docs), F.col(id_column).alias("id"), F.xxhash64(F.col(text)).alias("digest"))
