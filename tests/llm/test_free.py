@@ -146,6 +146,39 @@ def test_article(around):
     assert main_text(PAGE % (around % BODY)) == TEXT
 
 
+LONG = "a sentence of the text itself that goes on for a good while, number %d of them"
+NESTED = [
+    "<section><p>0</p></section><section><p>1</p></section>",
+    "<p>0</p><blockquote><p>1 1</p></blockquote><p>2</p>",
+    "<p>0</p><ul><li>1 1<li>2</ul><p>3</p>",
+    "<p>0</p><table><tr><td>1 1<td>2<tr><td>3</table><div><div><p>4</p></div></div>",
+]
+
+
+@pytest.mark.parametrize("body", NESTED)
+def test_text_across_nesting_without_article(body):
+    import re
+
+    numbers = re.findall(r">([0-9 ]+)", body)
+    said = {n: " ".join(LONG % int(k) for k in n.split()) for n in numbers}
+    page = re.sub(r">([0-9 ]+)", lambda m: ">" + said[m[1]], body)
+    assert main_text(PAGE % f'<div class="content">{page}</div>').split("\n") == [said[n] for n in numbers]
+
+
+def test_links_and_the_dive_without_article():
+    text = "<p>" + LONG % 1 + "</p>"
+    menu = "<ul>" + "<li><a>some link of the menu</a>" * 4 + "</ul>"
+    link = "<p><a>only a link</a></p>"
+    want = "only a link\n" + LONG % 1 + "\nonly a link"
+    assert main_text(link + text + link) == want
+    assert main_text(f"<p>Site</p>{menu}{text}{link}") == LONG % 1 + "\nonly a link"
+    assert main_text(f"<p>Site</p>{menu}<div>{text}</div>{menu}<p>2020 Inc</p>") == LONG % 1
+    both = main_text(f"<div>{text}</div>{menu}<div><div>{text}</div></div>")
+    assert both.split("\n") == [LONG % 1, *["some link of the menu"] * 4, LONG % 1]
+    assert main_text(f"<article>{link}{link}</article>{menu}") == "only a link\nonly a link"
+    assert main_text(menu) == ""
+
+
 def test_odd_pages(spark):
     long = "<article>" + "<p>word &amp; word</p>" * 20_000
     pages = ["", None, "<p", "<nav>menu</nav>", "plain text", "<article><p>a</article>", "<script>never closed <p>x</p>", "<!-- never closed <p>x</p>", '<p title="open>text', "</p></div><p>x", long]

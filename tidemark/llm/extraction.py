@@ -45,6 +45,8 @@ ATTRIBUTE = re.compile(r"""\b(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""",
 WORDS = re.compile(r"[a-z]+")
 CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 WINDOW = 3
+#: Characters outside of links that make a window's sum a surge.
+SURGE = 50
 
 
 @dataclass(eq=False)
@@ -71,6 +73,7 @@ class Line:
     holder: Element
     parts: list[str] = field(default_factory=list)
     length: int = 0
+    linked: int = 0
 
     def text(self) -> str:
         return " ".join("".join(self.parts).split())
@@ -101,8 +104,11 @@ def lines_of(html: str) -> list[Line]:
         if text and not here.aside:
             text = unescape(text)
             line.parts.append(text)
-            if not here.link:
-                line.length += len("".join(text.split()))
+            size = len("".join(text.split()))
+            if here.link:
+                line.linked += size
+            else:
+                line.length += size
 
     def cut() -> None:
         nonlocal line
@@ -156,22 +162,41 @@ def lines_of(html: str) -> list[Line]:
     return lines
 
 
+def surge_and_dive(lengths: list[int], sums: list[int], peak: int) -> tuple[int, int]:
+    """The first line of the main text and the one behind its last.
+
+    A window without text separates stretches; the main text goes from the first to the last
+    stretch that holds the peak or surges. Fewer lines without text than a window separate nothing.
+    """
+    texty = [i for i, x in enumerate(lengths) if x]
+    stretches = [[texty[0], texty[0]]]
+    for i in texty[1:]:
+        if i - stretches[-1][1] > WINDOW:
+            stretches.append([i, i])
+        stretches[-1][1] = i
+    kept = [(a, b) for a, b in stretches if a <= peak + WINDOW - 1 and b >= peak or max(sums[a : b + 1]) >= SURGE]
+    first, behind = kept[0][0], kept[-1][1] + 1
+    before = next((first - 1 - i for i in range(first - 1, -1, -1) if lengths[i]), first)
+    after = next((i - behind for i in range(behind, len(lengths)) if lengths[i]), len(lengths) - behind)
+    return first - (before if before < WINDOW else 0), behind + (after if after < WINDOW else 0)
+
+
 def main_text(html: str) -> str:
     lines = [x for x in lines_of(html) if x.text()]
-    if not any(x.length for x in lines):
+    lengths = [x.length for x in lines]
+    if not any(lengths):  # an article may be made of links, a page outside of articles is a menu then
+        lengths = [x.linked if any(e.name in CONTENT for e in x.holder.chain()) else 0 for x in lines]
+    if not any(lengths):
         return ""
-    sums = [sum(x.length for x in lines[i : i + WINDOW]) for i in range(len(lines))]
+    sums = [sum(lengths[i : i + WINDOW]) for i in range(len(lines))]
     peak = max(range(len(lines)), key=lambda i: (sums[i], -i))
-    core = max(lines[peak : peak + WINDOW], key=lambda x: x.length)
-    chain = list(core.holder.chain())
-    content = [e for e in chain if e.name in CONTENT]
+    core = max(range(peak, min(peak + WINDOW, len(lines))), key=lambda i: lengths[i])
+    content = [e for e in lines[core].holder.chain() if e.name in CONTENT]
     if content:
         held = content[-1] if content[-1].name == "article" or len(content) == 1 else content[-2]
-    else:
-        held = core.holder.parent or core.holder
-    within = [any(e is held for e in x.holder.chain()) for x in lines]
-    texty = [i for i, x in enumerate(lines) if within[i] and (x.length or content)]
-    return "\n".join(lines[i].text() for i in range(texty[0], texty[-1] + 1) if within[i])
+        return "\n".join(x.text() for x in lines if any(e is held for e in x.holder.chain()))
+    first, behind = surge_and_dive(lengths, sums, peak)
+    return "\n".join(x.text() for x in lines[first:behind])
 
 
 def extract_main_text(pages: DataFrame, keys: list[str], html: str = "html") -> DataFrame:
