@@ -179,6 +179,14 @@ def test_links_and_the_dive_without_article():
     assert main_text(menu) == ""
 
 
+@pytest.mark.parametrize("around", ["<article>%s</article>", "%s"])
+def test_names_of_headings_and_sections_are_no_adverts(around):
+    long = LONG % 1
+    body = f"""<p>{long}</p><h2 id=related-work>Related</h2><section id="search-methods"><h3 id=warning-signs>Signs</h3><p>{long}</p></section>
+<div class="social-history"><p>{long}</p></div><p class="foot-note">{long}</p><div class="related-links"><a>More of it</a></div><div class="share">Share</div><p>{long}</p>"""
+    assert main_text(around % body).split("\n") == [long, "Related", "Signs", long, long, long, long]
+
+
 def test_odd_pages(spark):
     long = "<article>" + "<p>word &amp; word</p>" * 20_000
     pages = ["", None, "<p", "<nav>menu</nav>", "plain text", "<article><p>a</article>", "<script>never closed <p>x</p>", "<!-- never closed <p>x</p>", '<p title="open>text', "</p></div><p>x", long]

@@ -1,16 +1,18 @@
 """Main text of web pages by the distribution of text over line blocks.
 
 Markup is stripped to lines, one for each block of the page. What the markup itself names as a
-menu, advert, form and the like leaves empty lines. Text lengths, links not counted, are summed
-over a window sliding along the lines; the window with the most text lies in the article. From
-there the text is followed up to the surge before and the dive behind it: the first and last line
-with text of the element that holds the peak, an article or main element if there is one, lines
-of other elements counting as empty. Everything between is kept.
+menu, advert, form and the like is blanked; blocks named so in part are decided by how much of
+their text lies outside of links. Text lengths, links not counted, are summed over a window sliding
+along the lines; the window with the most text lies in the main text. If that is in an article or
+main element, the element's lines are the result. If not, the main text goes from the surge, where
+the sums first rise above nothing on the way to ``SURGE``, to the dive, where they have last been
+above it and fall to nothing, whatever elements the lines are nested in.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from html import unescape
@@ -37,15 +39,15 @@ CLASS_WORDS = frozenset(
 )
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 CONTENT = frozenset({"article", "main"})
-#: Elements that a rule on class words never empties.
-PAGE = frozenset({"html", "body", "article", "main", "h1"})
+#: Elements that a rule on class words never blanks.
+PAGE = frozenset({"html", "body", "article", "main", "h1", "h2", "h3", "h4", "h5", "h6"})
 
 MARKUP = re.compile(r"""<(?:!--.*?(?:--!?>|\Z)|(/?)([A-Za-z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*'|["'])*+)>|[!?][^>]*>)""", re.S)
 ATTRIBUTE = re.compile(r"""\b(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
 WORDS = re.compile(r"[a-z]+")
 CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 WINDOW = 3
-#: Characters outside of links that make a window's sum a surge.
+#: Characters outside of links that make a window's sum a surge, and a doubtful block text.
 SURGE = 50
 
 
@@ -56,10 +58,14 @@ class Element:
     aside: bool = False
     link: bool = False
     inside: bool = False
+    doubtful: bool = False
 
     def __post_init__(self) -> None:
         #: The nearest block, this element or one around it.
         self.block: Element = self.parent.block if self.parent and self.name in INLINE else self
+        #: The nearest doubtful block, this element or one around it.
+        around = self.parent.doubt if self.parent else None
+        self.doubt: Element | None = self if self.doubtful and self.block is self else around
 
     def chain(self) -> Iterator[Element]:
         own: Element | None = self
@@ -79,20 +85,32 @@ class Line:
         return " ".join("".join(self.parts).split())
 
 
-def _named_aside(name: str, attributes: str, inside: bool) -> bool:
+def _named_aside(name: str, attributes: str, inside: bool) -> tuple[bool, bool]:
+    """Whether an element is named as no part of the text, and whether that is in doubt.
+
+    Inside an article or main only a role or a whole class is sure, elsewhere a class or id made of
+    the listed words alone; one that holds a listed word besides others is doubtful.
+    """
     if name in ASIDE or name == "header" and not inside:
-        return True
+        return True, False
     if name in PAGE or not attributes:
-        return False
+        return False, False
+    doubtful = False
     for key, value in ATTRIBUTE.findall(attributes):
-        value = value.strip("\"'")
-        words = set(WORDS.findall(CAMEL.sub(" ", value).lower()))
-        if key.lower() == "role":
-            if words & ROLES:
-                return True
-        elif (words - {"head", "header"} if inside else words) & CLASS_WORDS:
-            return True
-    return False
+        for token in value.strip("\"'").split():
+            if key.lower() == "role":
+                if token.lower() in ROLES:
+                    return True, False
+                continue
+            words = set(WORDS.findall(CAMEL.sub(" ", token).lower()))
+            if inside:
+                words -= {"head", "header"}
+            if not words & CLASS_WORDS:
+                continue
+            if key.lower() == "class" and token.lower() in CLASS_WORDS if inside else words <= CLASS_WORDS:
+                return True, False
+            doubtful = True
+    return False, doubtful
 
 
 def lines_of(html: str) -> list[Line]:
@@ -153,8 +171,8 @@ def lines_of(html: str) -> list[Line]:
             if name not in INLINE:
                 cut()
             continue
-        aside = here.aside or _named_aside(name, found[3], here.inside)
-        here = Element(name, here, aside, here.link or name == "a", here.inside or name in CONTENT)
+        aside, doubtful = (True, False) if here.aside else _named_aside(name, found[3], here.inside)
+        here = Element(name, here, aside, here.link or name == "a", here.inside or name in CONTENT, doubtful)
         if name not in INLINE:
             cut()
     add(html[at:])
@@ -162,6 +180,26 @@ def lines_of(html: str) -> list[Line]:
     return lines
 
 
+def _doubts(line: Line) -> Iterator[Element]:
+    own = line.holder.doubt
+    while own:
+        yield own
+        own = own.parent.doubt if own.parent else None
+
+
+def without_doubtful(lines: list[Line]) -> list[Line]:
+    """Blanks doubtful blocks with more text in links than outside, and those that are outside of
+    articles and have less text than a surge."""
+    free: Counter[Element] = Counter()
+    linked: Counter[Element] = Counter()
+    for line in lines:
+        for e in _doubts(line):
+            free[e] += line.length
+            linked[e] += line.linked
+    blank = {e for e in free if linked[e] > free[e] or not e.inside and free[e] < SURGE}
+    return [x for x in lines if not any(e in blank for e in _doubts(x))]
+
+
 def surge_and_dive(lengths: list[int], sums: list[int], peak: int) -> tuple[int, int]:
     """The first line of the main text and the one behind its last.
 
@@ -182,7 +220,7 @@ def surge_and_dive(lengths: list[int], sums: list[int], peak: int) -> tuple[int,
 
 
 def main_text(html: str) -> str:
-    lines = [x for x in lines_of(html) if x.text()]
+    lines = without_doubtful([x for x in lines_of(html) if x.text()])
     lengths = [x.length for x in lines]
     if not any(lengths):  # an article may be made of links, a page outside of articles is a menu then
         lengths = [x.linked if any(e.name in CONTENT for e in x.holder.chain()) else 0 for x in lines]
