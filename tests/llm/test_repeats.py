@@ -101,3 +101,27 @@ def test_smallest_is_leftmost():
     for width in (1, 2, 3, 7, 26):
         want = [i + int(values[i : i + width].argmin()) for i in range(200 - width + 1)]
         assert repeats.smallest_in(values, width).tolist() == want
+
+
+def test_windows_of_one_anchor_spread_over_buckets():
+    """A phrase with another context in each text: its windows must not meet in one bucket."""
+    import pyarrow as pa
+    from tidemark.llm.suffixes import byte_ids, byte_symbols
+
+    rng = random.Random(7)
+    context = lambda: bytes(rng.choices(range(97, 123), k=80))
+    texts = [context() + b"THE ONE PHRASE THAT ALL OF THEM HAVE" + context() for _ in range(200)]
+    search = repeats.Search(repeats.Rule(50, 25, True, byte_symbols, byte_ids), 16)
+    table = pa.table({"_id": list(range(200)), "_chunk": [0] * 200, "_text": texts})
+
+    def judged(messages, verdicts):
+        rows = messages.to_pylist()
+        parts = [messages.filter(pa.array([r["bucket"] == b for r in rows])) for b in sorted({r["bucket"] for r in rows})]
+        return pa.concat_tables([search.judge(part, verdicts) for part in parts])
+
+    runs = judged(search.send_anchors(table), search.judge_anchors)
+    sent = search.send_windows(table, judged(search.send_runs(table, runs), search.judge_runs))
+    sizes = [len(r["body"]) for r in sent.to_pylist() if r["bucket"] >= 0]
+    assert sum(sizes) > 24 * 1000 and max(sizes) < sum(sizes) / 4
+    got = judged(sent, search.judge_windows)
+    assert not any(covered.any() for _, covered in search.covered(table, got))

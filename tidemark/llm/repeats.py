@@ -12,9 +12,11 @@ with one anchor form a run. Texts are dealt into chunks by row, and four rounds
 4. covered spans of each text.
 
 Rounds 1 to 3 send each distinct identifier of a chunk once, whatever the number of copies in it,
-to the bucket of its anchor, sized by the bytes of the corpus, and get a verdict back. Nothing is
-capped, no list of occurrences is ever built, and verdicts go by identifiers of 64 bits twice over
-(anchor and content).
+to a bucket and get a verdict back. The number of buckets goes by the bytes of the corpus. Anchors
+and runs are dealt by anchor, windows by anchor and content: the runs of one anchor, 24 bytes for
+each context it has in a chunk, meet in one bucket, which is not split; its windows spread. Nothing
+is capped, no list of occurrences is ever built, and verdicts go by identifiers of 64 bits twice
+over (anchor and content).
 """
 
 from __future__ import annotations
@@ -304,12 +306,13 @@ class Search:
         return runs, first, weight, which, verdict
 
     def _open_windows(self, chunk: Chunk, runs: Runs, first: np.ndarray, weight: np.ndarray, verdict: np.ndarray):
-        """Windows that are asked for, by anchor and identifier, with their weights, and the runs
-        and places they stand for."""
+        """Windows that are asked for, by key and identifier, with their weights, and the runs and
+        places they stand for. The key is of anchor and identifier, and with the identifier it tells
+        the anchor; only equal windows meet, whatever the number of windows with one anchor."""
         asked = np.flatnonzero(verdict & (OPEN | NEEDED))
         run, start, ids = window_ids(chunk.texts, runs.take(first[asked]), self.rule)
-        anchor = runs.anchor[first[asked]][run] if len(run) else np.zeros(0, U)
-        order, head = _group(anchor, ids)
+        key = mix(runs.anchor[first[asked]][run], ids) if len(run) else np.zeros(0, U)
+        order, head = _group(key, ids)
         value = weight[asked][run][order] if len(run) else np.zeros(0, np.int64)
         if not len(head):
             total = value
@@ -317,7 +320,7 @@ class Search:
             total = np.minimum.reduceat(value, head)
         else:
             total = np.minimum(np.add.reduceat(np.minimum(value, 2), head), 2)
-        return asked[run] if len(run) else run, start, order, head, anchor[order][head], ids[order][head], total
+        return asked[run] if len(run) else run, start, order, head, key[order][head], ids[order][head], total
 
     def send_windows(self, table: pa.Table, got: pa.Table) -> pa.Table:
         if not table.num_rows:
@@ -327,8 +330,8 @@ class Search:
         answers = dict(zip(buckets, bodies, strict=True))
         live = answers.pop(self._own(number))
         runs, first, weight, _, verdict = self._verdicts(chunk, answers, live)
-        _, _, _, _, anchor, ids, total = self._open_windows(chunk, runs, first, weight, verdict)
-        out = [(b, number, _body(anchor[s], ids[s], total[s])) for b, s in _sliced(anchor, self.buckets)]
+        _, _, _, _, key, ids, total = self._open_windows(chunk, runs, first, weight, verdict)
+        out = [(b, number, _body(key[s], ids[s], total[s])) for b, s in _sliced(key, self.buckets)]
         return _messages([*out, (self._own(number), number, len(live).to_bytes(8, "big") + live + verdict.tobytes())])
 
     def covered(self, table: pa.Table, got: pa.Table) -> Iterator[tuple[int, np.ndarray]]:
@@ -347,9 +350,9 @@ class Search:
             whole |= chunk.owner[runs.text] > weight[which]
         text, start, stop = [runs.text[whole]], [runs.start[whole]], [(runs.start + runs.count)[whole]]
 
-        klass, place, order, head, anchor, _, total = self._open_windows(chunk, runs, first, weight, verdict)
+        klass, place, order, head, key, _, total = self._open_windows(chunk, runs, first, weight, verdict)
         hit = np.zeros(len(head), np.uint8)
-        for b, s in _sliced(anchor, self.buckets):
+        for b, s in _sliced(key, self.buckets):
             hit[s] = np.unpackbits(np.frombuffer(answers[b], np.uint8), count=s.stop - s.start)
         of = _members(order, head)
         if len(of):
@@ -431,9 +434,9 @@ class Search:
         return [x.tobytes() for x in np.split(out, np.cumsum(sizes)[:-1])]
 
     def judge_windows(self, bodies: list[bytes]) -> list[bytes]:
-        sizes, (anchor, ids, weight) = self._columns(bodies)
+        sizes, (key, ids, weight) = self._columns(bodies)
         weight = weight.view(np.int64)
-        order, head = _group(anchor, ids)
+        order, head = _group(key, ids)
         number = np.diff(np.append(head, len(order)))
         if self.rule.earlier:
             hit = weight[order] > np.repeat(np.minimum.reduceat(weight[order], head), number)
