@@ -6,8 +6,11 @@ import math
 import re
 from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 #: The words of a text are the runs without a space or the controls tab to return.
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
@@ -49,3 +52,8 @@ def whole_row(docs: DataFrame) -> Column:
     """All columns of ``docs`` as one struct named ``row``, whatever they are called; ``row.*``
     unpacks it again."""
     return F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+
+
+def arrow_schema(ddl: str) -> pa.Schema:
+    """The Arrow schema of a table that is described as in SQL."""
+    return to_arrow_schema(StructType.fromDDL(ddl))

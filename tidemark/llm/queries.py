@@ -4,10 +4,25 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontamination, extraction, knn, language, mixing, sharding, simhash, substrings, suffixes, urls
+from tidemark.llm import (
+    conversations,
+    decontamination,
+    extraction,
+    infill,
+    knn,
+    language,
+    mixing,
+    sharding,
+    simhash,
+    substrings,
+    suffixes,
+    tokens,
+    urls,
+)
 from tidemark.llm.common import hex64
 from tidemark.session import new_folder, stored
 
@@ -263,3 +278,69 @@ def op4(spark: SparkSession, folder: str) -> DataFrame:
     rows = docs.select("doc_id", F.coalesce(held_out(), F.lit(False)).alias("held_out"), "text")
     found = language.identify(rows, language_model(docs), ["doc_id", "held_out"])
     return found.select("doc_id", "held_out", "lang_pred", "score")
+
+
+def damaged(rows: DataFrame) -> DataFrame:
+    """Conversations with one of five faults in a quarter of the rows, by the checksum of id and turn."""
+    spaced = [F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn")]
+    fault = F.crc32(F.concat(spaced[0], F.lit(":"), spaced[1]).cast("binary")) % 20
+    role, text = F.coalesce("role", F.lit(" ")), F.coalesce("text", F.lit(" "))
+    hit = rows.select("conv_id", "turn", role.alias("role"), text.alias("text"), fault.alias("fault")).where("fault <> 0")
+    shown = F.when(F.col("fault") == 1, "").when(F.col("fault") == 2, F.translate("text", ".!?", "")).otherwise(F.col("text"))
+    return hit.select(
+        "conv_id",
+        "turn",
+        F.when(F.col("fault") == 4, "user").otherwise(F.col("role")).alias("role"),
+        shown.alias("text"),
+        F.explode(F.sequence(F.lit(1), F.when(F.col("fault") == 3, 2).otherwise(1))).alias("copy"),
+    ).drop("copy")
+
+
+@query("op11_conversation_structure_repair")
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, "conversations")
+    repaired = conversations.repair(damaged(rows))
+    ids = rows.select("conv_id").distinct()
+    summary = repaired.summary.withColumnRenamed("conv_id", "of")
+    texts = conversations.digests(repaired.blocks).withColumnRenamed("conv_id", "by")
+    found = ids.join(summary, F.col("conv_id").eqNullSafe(F.col("of")), "left").join(texts, F.col("conv_id").eqNullSafe(F.col("by")), "left")
+    counts = [F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    nothing = F.sha2(F.lit("").cast("binary"), 256)
+    return found.select(
+        "conv_id", *counts, F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("repaired_sha256", nothing).alias("repaired_sha256")
+    )
+
+
+@query("op12_token_id_binary_output")
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    path = new_folder(spark, "token-ids")
+    tokens.write_token_ids(docs, path, public_tokenizers.path("word_bpe_49k.json"), end_id=1)
+    return tokens.token_documents(tokens.read_token_ids(spark, path, tokens.token_schema(docs)))
+
+
+OP13_SQL = r"""
+with docs as (
+  select doc_id, coalesce(text, '') as text, regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') as lines,
+    sha256('7:' || coalesce(doc_id::varchar, '')) as hex from documents
+), cuts as (
+  select *, len(lines)::bigint as n, ('0x' || substr(hex, 1, 8))::bigint % (len(lines) + 1) as a,
+    ('0x' || substr(hex, 9, 8))::bigint % (len(lines) + 1) as b, ('0x' || substr(hex, 25, 8))::bigint % 100 as h4 from docs
+), parts as (
+  select *, array_to_string(lines[1 : least(a, b)], '') as p, array_to_string(lines[least(a, b) + 1 : greatest(a, b)], '') as m,
+    array_to_string(lines[greatest(a, b) + 1 : n], '') as s,
+    case when text = '' or contains(text, '<P>') or contains(text, '<S>') or contains(text, '<M>') then 'plain'
+      when h4 < 50 then 'spm' else 'psm' end as form from cuts
+)
+select doc_id, n, form, case when form <> 'plain' then length(p)::bigint end as prefix_chars,
+  case when form <> 'plain' then length(m)::bigint end as middle_chars,
+  sha256(case form when 'plain' then text when 'psm' then '<P>' || p || '<S>' || s || '<M>' || m
+    else '<S>' || s || '<P>' || p || '<M>' || m end) as output_sha256, sha256(text) as restored_sha256
+from parts
+"""
+
+
+@query("op13_fill_in_middle", OP13_SQL)
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    framed = stored(infill.in_frames(table(spark, folder, "documents").select("doc_id", "text")), "frames")
+    return infill.digests(infill.fill_in_middle(framed, seed=7, rate=100, spm=50))
