@@ -195,3 +195,52 @@ def test_random_texts_equal_the_line_model(spark, batch):
             for rows in (searches, opens, warnings)
         )
         assert mine == line_model(text), text
+
+
+def in_blocks(spark, texts_, size):
+    rows = []
+    for i, text in enumerate(texts_):
+        lines = text.split("\n")
+        rows += [(f"f{i}", at // size, "\n".join(lines[at : at + size])) for at in range(0, len(lines), size)]
+    return S.block_context(spark.createDataFrame(rows, "source_file STRING, block INT, content STRING"))
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+@given(texts, st.integers(1, 5))
+def test_blocks_of_any_size_give_the_same_events(spark, batch, size):
+    whole = [sorted(map(str, frame)) for frame in parsed(spark, *batch)]
+    cut = [sorted(map(str, frame.collect())) for frame in S.parse_sessions(in_blocks(spark, batch, size))]
+    assert cut == whole
+    cards = sorted(map(str, S.card_searches(files_of(spark, *batch)).collect()))
+    assert sorted(map(str, S.card_searches(in_blocks(spark, batch, size)).collect())) == cards
+
+
+def test_card_over_many_blocks(spark):
+    text = "QS 01.01.2020_00:00:00 {q}\n7 A\nCARD_SEARCH_START 02.01.2020_00:00:00\n" + "$0 x\nDOC_OPEN 7 A\n" * 20
+    text += "CARD_SEARCH_START soon\nCARD_SEARCH_END\n9 B\nDOC_OPEN 9 B\nCARD_SEARCH_START 03.01.2020_00:00:00\n$1 y\nDOC_OPEN 7 A\n"
+    want = [[tuple(r) for r in frame.orderBy("line_number").collect()] for frame in S.parse_sessions(files_of(spark, text))]
+    assert [r[1] for r in want[0]] == ["7", "9"] and len(want[2]) == 1
+    for size in (1, 2, 3, 7):
+        got = [[tuple(r) for r in frame.orderBy("line_number").collect()] for frame in S.parse_sessions(in_blocks(spark, [text], size))]
+        assert got == want
+
+
+def test_large_files_are_read_in_blocks(spark, tmp_path):
+    """A file over many splits gives the events of the whole file."""
+    from tidemark.sources.readers import read_session_blocks, read_session_files
+
+    session = "QS 01.01.2020_00:00:00 {q}\n%d A\nCARD_SEARCH_START 02.01.2020_00:00:00\n$0 x\nDOC_OPEN 7 A\nCARD_SEARCH_END\n%d B\nDOC_OPEN %d A\n"
+    (tmp_path / "one").write_text("".join(session % (i, -i, i) for i in range(3000)))
+    (tmp_path / "two").write_text("DOC_OPEN 1\n")
+    kept = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        blocks = read_session_blocks(spark, str(tmp_path), 64)
+        assert blocks.select("block.split").distinct().count() > 5
+        got = [sorted(map(tuple, frame.collect()), key=str) for frame in S.parse_sessions(S.block_context(blocks))]
+        lines = S.session_lines(S.block_context(blocks)).where("line = 'DOC_OPEN 2999 A'").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", kept)
+    want = [sorted(map(tuple, frame.collect()), key=str) for frame in S.parse_sessions(read_session_files(spark, str(tmp_path)))]
+    assert got == want and len(got[0]) == 6000
+    assert [r.line_number for r in lines] == [24_000]

@@ -40,6 +40,27 @@ def read_session_files(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def read_session_blocks(spark: SparkSession, path: str, lines: int = 1 << 14) -> DataFrame:
+    """(source_file, block, content): text files of any size in blocks of at most ``lines`` lines.
+
+    Files are read by splits, so that a large one is read by many tasks and never is one row. ``lines``
+    is a power of two; rows are numbered within their split, and blocks never cross splits.
+    """
+    bits = lines.bit_length() - 1
+    if lines != 1 << bits:
+        raise ValueError("the number of lines has to be a power of two")
+    rows = spark.read.option("lineSep", "\n").text(path)
+    placed = rows.select(
+        F.col("_metadata.file_path").alias("source_file"),
+        F.col("_metadata.file_block_start").alias("split"),
+        F.monotonically_increasing_id().alias("id"),
+        "value",
+    ).withColumn("part", F.shiftright("id", bits))
+    grouped = placed.groupBy("source_file", "split", "part").agg(F.sort_array(F.collect_list(F.struct("id", "value"))).alias("rows"))
+    content = F.array_join(F.transform("rows", lambda row: row["value"]), "\n")
+    return grouped.select("source_file", F.struct("split", "part").alias("block"), content.alias("content"))
+
+
 def read_csv(
     spark: SparkSession, path: str, schema: str | StructType | None = None, infer: bool = False
 ) -> DataFrame:
