@@ -160,17 +160,12 @@ def current_state(valid: DataFrame) -> DataFrame:
     return compacted(valid).filter(~F.col("tombstone"))
 
 
-def edition_history(valid: DataFrame, width: int = 1024) -> DataFrame:
-    """Versions of each document with the time each was in force (batch).
-
-    A history is worked on in pieces of ``width`` version numbers.
-    """
+def edition_history(valid: DataFrame) -> DataFrame:
+    """Versions of each document with the time each was in force (batch)."""
     rows = valid.filter(~F.col("tombstone")).select(
         "document_id", "version", "offset", F.col("timestamp").alias("valid_from")
     )
-    return scd2(
-        rows, ["document_id"], "valid_from", F.floor(F.col("version") / width), ["version", "offset"]
-    )
+    return scd2(rows, ["document_id"], "valid_from", ["version", "offset"])
 
 
 # How links, court cases and acts are written in a text.
@@ -251,12 +246,11 @@ def sequence_episodes(
     rows = G.segmented(
         events.select(key, "event_id", moment, state),
         [key],
-        F.to_date(moment),
         order,
         keep=[moment, state],
         tail=steps,
     )
-    window = G.inside([key], order)
+    window = G.inside(order)
     columns = {}
     for i in range(1, steps + 1):
         columns[f"_state{i}"] = G.earlier_value(state, window, i)

@@ -122,16 +122,14 @@ def cdc_apply(
     )
 
 
-def scd2(
-    versions: DataFrame, keys: list[str], valid_from: str, segment: Column, order: list[str]
-) -> DataFrame:
+def scd2(versions: DataFrame, keys: list[str], valid_from: str, order: list[str]) -> DataFrame:
     """History rows with ``valid_to`` and ``is_current``.
 
-    A version ends where the next one of its key begins. ``segment`` cuts a key's history into
-    bounded pieces along ``order`` (see :mod:`tidemark.operators.segments`).
+    A version ends where the next one of its key begins. A long history is cut into pieces along
+    ``order`` (see :mod:`tidemark.operators.segments`).
     """
-    rows = G.segmented(versions, keys, segment, order, keep=[valid_from], reverse=True)
-    following = G.earlier_value(valid_from, G.inside(keys, order, reverse=True))
+    rows = G.segmented(versions, keys, order, keep=[valid_from], reverse=True)
+    following = G.earlier_value(valid_from, G.inside(order, reverse=True))
     return (
         rows.withColumn("valid_to", following)
         .withColumn("is_current", F.col("valid_to").isNull())

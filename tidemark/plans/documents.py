@@ -208,7 +208,7 @@ def current_state(t: Tables) -> DataFrame:
     """,
 )
 def edition_history(t: Tables) -> DataFrame:
-    return D.edition_history(valid(t), width=64).select(
+    return D.edition_history(valid(t)).select(
         "document_id",
         "version",
         F.unix_seconds("valid_from").alias("valid_from"),

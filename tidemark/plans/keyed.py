@@ -229,9 +229,7 @@ def scd2(t: Tables) -> DataFrame:
         F.col("o_orderkey").alias("version"),
         F.to_date("o_orderdate").alias("valid_from"),
     )
-    return K.scd2(
-        versions, ["customer"], "valid_from", F.trunc("valid_from", "month"), ["valid_from", "version"]
-    )
+    return K.scd2(versions, ["customer"], "valid_from", ["valid_from", "version"])
 
 
 @query(

@@ -336,19 +336,15 @@ def window_patterns(t: Tables) -> DataFrame:
         F.round(F.col("o_totalprice") * 100).cast("bigint").alias("c"),
     )
     keys, order = ["o_custkey"], ["d", "o_orderkey"]
-    # the first order of a day counts the day, so their running total is the dense rank
-    day = Window.partitionBy("o_custkey", "d").orderBy("o_orderkey")
-    marked = orders.withColumn("first", (F.row_number().over(day) == 1).cast("bigint"))
     rows = G.segmented(
-        marked,
+        orders,
         keys,
-        F.trunc("d", "month"),
         order,
         keep=["c"],
         tail=2,
-        totals={"total": F.col("c"), "days": F.col("first")},
+        totals={"total": F.sum("c"), "days": F.size(F.collect_set("d"))},
     )
-    w = G.inside(keys, order)
+    w = G.inside(order)
     one, two = G.earlier_value("c", w, 1), G.earlier_value("c", w, 2)
     spread = F.lit(1) + one.isNotNull().cast("int") + two.isNotNull().cast("int")
     moving = (F.col("c") + F.coalesce(one, F.lit(0)) + F.coalesce(two, F.lit(0))).cast("double")
@@ -359,8 +355,8 @@ def window_patterns(t: Tables) -> DataFrame:
         F.round(moving / spread / 100, 4).alias("moving_avg"),
         ((F.col("c") - one).cast("double") / 100).alias("change"),
         G.position(w).alias("place"),
-        G.rank_position(keys, ["d"]).alias("day_rank"),
-        G.running_total("days", F.col("first"), w).cast("bigint").alias("day_dense_rank"),
+        G.rank_position(["d"]).alias("day_rank"),
+        G.dense_rank_position("days", ["d"]).alias("day_dense_rank"),
     )
 
 
