@@ -81,3 +81,45 @@ def test_two_matches_are_an_error(spark, merge):
 def test_upsert_does_not_sort_the_target(spark):
     found = K.upsert_latest(rows(spark, (1, 1, 1)), rows(spark, (1, 2, 2)), ["id"], ["at"])
     assert "SortAggregate" not in found._jdf.queryExecution().executedPlan().toString()
+
+
+def final_plan(frame):
+    frame.collect()
+    return frame._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+
+
+def in_buckets(spark, folder, rows, buckets):
+    from tidemark.sources.bucketed import read_bucketed, write_bucketed
+
+    write_bucketed(rows, folder, ["id"], buckets)
+    return read_bucketed(spark, folder, rows.schema, ["id"], buckets)
+
+
+@pytest.mark.parametrize("buckets", [3, 16])
+def test_merges_leave_a_bucketed_target_where_it_is(spark, tmp_path, buckets):
+    from tidemark.sources.bucketed import read_bucketed, write_bucketed
+
+    rows = spark.range(5000).select("id", (F.col("id") * 2).alias("v"), F.lit(1).alias("at"))
+    changes = spark.range(4990, 5020).select("id", F.lit(7).cast("long").alias("v"), F.lit(2).alias("at"))
+    target = in_buckets(spark, f"{tmp_path}/t", rows, buckets)
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        merged = {
+            "upsert": K.merge_upsert(target, changes, ["id"], ["v", "at"], buckets),
+            "update": K.merge_update(target, changes, ["id"], ["v", "at"], buckets),
+            "latest": K.upsert_latest(target, changes, ["id"], ["at"], buckets),
+        }
+        for name, frame in merged.items():
+            text = final_plan(frame)
+            assert text.count("Exchange hashpartitioning") == 1 and f", {buckets})" in text, text
+            assert f"SelectedBucketsCount: {buckets} out of {buckets}" in text
+            got = {r.id: (r.v, r.at) for r in frame.collect()}
+            want = {i: (2 * i, 1) for i in range(5000)} | {i: (7, 2) for i in range(4990, 5000 if name == "update" else 5020)}
+            assert got == want
+        write_bucketed(merged["latest"], f"{tmp_path}/n", ["id"], buckets, dealt=True)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+    after = read_bucketed(spark, f"{tmp_path}/n", rows.schema, ["id"], buckets)
+    assert len(after.inputFiles()) == buckets
+    assert "Exchange" not in final_plan(after.groupBy("id").agg(F.sum("v")))

@@ -1,6 +1,9 @@
 """Keyed mutable tables: merge, upsert, update, change data and history.
 
 Each operator is DataFrame in, DataFrame out; the caller writes the result as the table's next state.
+If the target is read from buckets (:mod:`tidemark.sources.bucketed`) and ``buckets`` gives their
+number, the source is exchanged once into the same buckets, for its windows and the join; the target
+stays where it is, and the result lies in the buckets of the next state.
 """
 
 from __future__ import annotations
@@ -14,8 +17,13 @@ from tidemark.operators.relational import latest_per_key
 REPEATED = "several source rows match one target row"
 
 
-def _tagged(source: DataFrame, keys: list[str]) -> DataFrame:
+def _dealt(source: DataFrame, keys: list[str], buckets: int | None) -> DataFrame:
+    return source.repartition(buckets, *keys) if buckets else source
+
+
+def _tagged(source: DataFrame, keys: list[str], buckets: int | None) -> DataFrame:
     """Source rows with their number per key, counted along the exchange of the join."""
+    source = _dealt(source, keys, buckets)
     rest = [F.col(c).alias(f"_new_{c}") for c in source.columns if c not in keys]
     rows = F.count(F.lit(1)).over(Window.partitionBy(*keys))
     return source.select(*keys, *rest, rows.alias("_rows"))
@@ -28,14 +36,14 @@ def _taken(c: str, matched: Column, kept: Column, kind: str) -> Column:
 
 
 def merge_update(
-    target: DataFrame, source: DataFrame, keys: list[str], columns: list[str]
+    target: DataFrame, source: DataFrame, keys: list[str], columns: list[str], buckets: int | None = None
 ) -> DataFrame:
     """Take ``columns`` from the matching source row; other source rows are ignored.
 
     Two source rows for one target row are an error, as in a MERGE statement.
     """
     kinds = dict(target.dtypes)
-    joined = target.join(_tagged(source.select(*keys, *columns), keys), keys, "left")
+    joined = target.join(_tagged(source.select(*keys, *columns), keys, buckets), keys, "left")
     matched = F.col("_rows").isNotNull()
     return joined.select(
         *(_taken(c, matched, F.col(c), kinds[c]) if c in columns else F.col(c) for c in target.columns)
@@ -43,7 +51,7 @@ def merge_update(
 
 
 def merge_upsert(
-    target: DataFrame, source: DataFrame, keys: list[str], columns: list[str]
+    target: DataFrame, source: DataFrame, keys: list[str], columns: list[str], buckets: int | None = None
 ) -> DataFrame:
     """Update matching rows and insert the source rows that match nothing.
 
@@ -51,7 +59,7 @@ def merge_upsert(
     """
     kinds = dict(target.dtypes)
     joined = target.withColumn("_known", F.lit(True)).join(
-        _tagged(source, keys), keys, "full_outer"
+        _tagged(source, keys, buckets), keys, "full_outer"
     )
     known, fresh = F.col("_known").isNotNull(), F.col("_known").isNull()
 
@@ -67,7 +75,7 @@ def merge_upsert(
 
 
 def upsert_latest(
-    target: DataFrame, source: DataFrame, keys: list[str], order_by: list[str]
+    target: DataFrame, source: DataFrame, keys: list[str], order_by: list[str], buckets: int | None = None
 ) -> DataFrame:
     """The newest row per key of target and source; at equal age the source row wins.
 
@@ -76,7 +84,7 @@ def upsert_latest(
     """
     order = [F.col(c).desc() for c in order_by]
     first = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
-    newest = source.select(*target.columns).withColumn("_n", first).filter("_n = 1").drop("_n")
+    newest = _dealt(source.select(*target.columns), keys, buckets).withColumn("_n", first).filter("_n = 1").drop("_n")
     rest = [c for c in target.columns if c not in keys]
     new = newest.select(*keys, F.struct(*rest).alias("_new"))
     joined = target.withColumn("_old", F.struct(*rest)).join(new, keys, "full_outer")

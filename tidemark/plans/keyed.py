@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, functions as F
 
 from tidemark.operators import keyed as K
 from tidemark.operators.benchmarks import side_by_side
 from tidemark.plans.catalog import query
 from tidemark.session import new_folder
+from tidemark.sources.bucketed import read_bucketed, table_size, write_bucketed
 from tidemark.sources.tables import Tables
 from tidemark.sources.writers import write_sorted, write_table
 
@@ -140,10 +143,49 @@ def upsert_latest(t: Tables) -> DataFrame:
         {"amount": F.col("amount") - 1, "updated_at": F.date_add("updated_at", -9)},
     )
     changes = source(t, 5).unionByName(stale)
-    schema = target(t).schema
-    before = t.spark.read.schema(schema).parquet(published(t, target(t), "upsert", ["partition_key"]))
-    after = K.upsert_latest(before, changes, ["id"], ["updated_at"])
-    return t.spark.read.schema(schema).parquet(published(t, after, "upsert", ["partition_key"]))
+    return next_state(t, lambda before, n: K.upsert_latest(before, changes, ["id"], ["updated_at"], n))
+
+
+def next_state(t: Tables, change: Callable[[DataFrame, int], DataFrame]) -> DataFrame:
+    """The target as a table in buckets, changed into its next state, in the same buckets."""
+    spark, schema, keys = t.spark, target(t).schema, ["id"]
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    before, after = new_folder(spark, "state"), new_folder(spark, "state")
+    write_bucketed(target(t), before, keys, buckets)
+    write_bucketed(change(read_bucketed(spark, before, schema, keys, buckets), buckets), after, keys, buckets, dealt=True)
+    return read_bucketed(spark, after, schema, keys, buckets)
+
+
+@query(
+    "merge_bucketed",
+    f"""
+    WITH {TARGET}
+    SELECT id, CASE WHEN id % 10 < 3 THEN amount + 100 ELSE amount END AS amount,
+           CASE WHEN id % 10 < 3 THEN updated_at + 1 ELSE updated_at END AS updated_at, partition_key
+    FROM t
+    UNION ALL SELECT -id - 1, amount + 100, updated_at + 1, partition_key FROM t WHERE id % 10 < 3
+    """,
+)
+def merge_bucketed(t: Tables) -> DataFrame:
+    """A merge with updates and inserts, written as the table's next state."""
+    changes = source(t, 3).unionByName(source(t, 3).withColumn("id", -F.col("id") - 1))
+    return next_state(t, lambda before, n: K.merge_upsert(before, changes, ["id"], ["amount", "updated_at"], n))
+
+
+@query(
+    "table_size",
+    f"WITH {TARGET} SELECT 4 AS files, true AS has_bytes, true AS mb_agrees, count(*) AS row_count FROM t",
+)
+def table_size_of(t: Tables) -> DataFrame:
+    """Files and megabytes of a table, and its rows; bytes depend on the writer and are only checked."""
+    path = published(t, target(t).repartition(4), "size")
+    rows = t.spark.read.parquet(path).agg(F.count(F.lit(1)).alias("row_count"))
+    found = table_size(t.spark, path).select(
+        F.col("files").cast("int").alias("files"),
+        (F.col("bytes") > 0).alias("has_bytes"),
+        (F.abs(F.col("mb") - F.col("bytes") / (1 << 20)) <= 0.005).alias("mb_agrees"),
+    )
+    return side_by_side(found, rows)
 
 
 @query(
