@@ -191,3 +191,33 @@ def test_samples_are_not_copied_before_a_shuffle(spark):
     generated = [i for i, line in enumerate(lines) if "Generate" in line]
     exchanged = [i for i, line in enumerate(lines) if "Exchange" in line]
     assert generated and max(generated) < min(exchanged)
+
+
+def test_long_fractional_counters_are_added_exactly(spark):
+    """Ranges from totals equal single ranges and the direct sum to the last digit, however long the series."""
+    from decimal import Decimal
+
+    count, low, high = 300_000, 0.1, 1e12 / 3
+    rows = spark.range(count).select(
+        F.lit("m").alias("metric"),
+        F.expr("map('a', '1')").alias("labels"),
+        F.timestamp_seconds(F.lit(START.timestamp()) + F.col("id")).alias("ts"),
+        F.when(F.col("id") % 2 == 0, low).otherwise(high).alias("value"),
+    )
+    at = START + timedelta(seconds=count - 1)
+    moment = F.lit(at).cast("timestamp")
+    stepped = M.increase(rows, 300, step=1).where(F.col("at") == moment).collect()
+    single = M.increase(rows, 300, at=at).collect()
+    # 300 samples that begin with an even one: 150 rises, and 149 resets that count from zero
+    direct = 150 * (Decimal(repr(high)) - Decimal(repr(low))) + 149 * Decimal(repr(low))
+    assert [r.value for r in stepped] == [r.value for r in single] == [float(direct)]
+
+
+def test_no_number_in_a_range_gives_none(spark):
+    nan = float("nan")
+    vector = samples(spark, ({"a": "1"}, [(10, 1), (60, nan), (120, 5), (400, 6), (500, 8), (560, 9)]), ({"a": "2"}, [(10, 0.1), (20, 0.3)]))
+    for found in (M.increase(vector, 300, at=AT), M.increase(vector, 300, step=300).where(F.col("at") == F.lit(AT).cast("timestamp"))):
+        got = dict(values(found))
+        assert math.isnan(got[(("a", "1"),)]) and got[(("a", "2"),)] == 0.2
+    later = M.increase(vector, 300, step=300).where(F.col("at") == F.lit(START + timedelta(seconds=600)).cast("timestamp"))
+    assert values(later) == [((("a", "1"),), 3.0)]

@@ -52,20 +52,32 @@ def _series() -> Column:
     return F.array_sort(F.map_entries("labels")).alias("series")
 
 
+#: Growth is added as decimals, so that no sum depends on its order and totals can be taken from each
+#: other. A counter beyond 10**23 is an error; digits beyond the 15th decimal place are rounded off.
+EXACT = "decimal(38,15)"
+
+
 def _step(value: Column, before: Column) -> Column:
     """Growth from one sample to the next; a counter that falls was reset and counts from zero."""
-    return F.when(before.isNull(), 0.0).otherwise(F.when(value < before, value).otherwise(value - before))
+    grown = F.when(value < before, value.cast(EXACT)).otherwise((value.cast(EXACT) - before.cast(EXACT)).cast(EXACT))
+    return F.when(before.isNull() | ~_finite(value) | ~_finite(before), F.lit(0).cast(EXACT)).otherwise(grown)
+
+
+def _finite(value: Column) -> Column:
+    return F.abs(value) < float("inf")  # NaN is larger than any number
 
 
 def _summed(samples: DataFrame, keys: list[str]) -> DataFrame:
-    """Per keys: number of samples, first and last one, and the growth between them."""
+    """Per keys: number of samples and of those that are no number, first and last one, and the
+    growth between them."""
     order = Window.partitionBy(*keys).orderBy("ts")
     return (
         samples.withColumn("grown", _step(F.col("value"), F.lag("value").over(order)))
         .groupBy(*keys)
         .agg(
             F.count(F.lit(1)).alias("n"),
-            F.sum("grown").alias("grown"),
+            F.count_if(~_finite(F.col("value"))).alias("odd"),
+            F.sum("grown").cast(EXACT).alias("grown"),
             F.min("ts").alias("first_ts"),
             F.max("ts").alias("last_ts"),
             F.min_by("value", "ts").alias("first_value"),
@@ -80,7 +92,7 @@ def _range_summary(
     """Per (metric, series, at) with a sample: their number, the first and last one, the growth."""
     if (at is None) == (step is None):
         raise ValueError("give either at or step")
-    names = ["n", "grown", "first_ts", "last_ts", "first_value", "last_value"]
+    names = ["n", "odd", "grown", "first_ts", "last_ts", "first_value", "last_value"]
     if at is not None:
         ranged = in_range(samples, seconds, at).select("metric", _series(), "at", "ts", "value")
         return _summed(ranged, ["metric", "series", "at"])
@@ -93,9 +105,10 @@ def _range_summary(
     so_far = along.rowsBetween(Window.unboundedPreceding, 0)
     jump = _step(F.col("first_value"), F.lag("last_value").over(along))
     chained = (
-        buckets.withColumn("_gained", F.col("grown") + jump)
+        buckets.withColumn("_gained", (F.col("grown") + jump).cast(EXACT))
         .withColumn("_total_n", F.sum("n").over(so_far))
-        .withColumn("_total", F.sum("_gained").over(so_far))
+        .withColumn("_total_odd", F.sum("odd").over(so_far))
+        .withColumn("_total", F.sum("_gained").over(so_far).cast(EXACT))
         .withColumn("_next", F.lead("end").over(along))
     )
     # A moment belongs to the last bucket that ends by then; its range starts after ``end`` below.
@@ -107,12 +120,12 @@ def _range_summary(
     bucket = F.struct(F.lit(None).cast("bigint").alias("at"), F.col("end").alias("place"))
     asked = F.transform(moments, lambda t: F.struct(t.alias("at"), (t - reach).alias("place")))
     rows = chained.select(
-        "metric", "series", *names, "_total_n", "_total", F.inline(F.concat(F.array(bucket), asked))
+        "metric", "series", *names, "_total_n", "_total_odd", "_total", F.inline(F.concat(F.array(bucket), asked))
     )
     # From the end, the last bucket passed is the first one of a range; one that ends where the
     # range begins lies outside and comes after it.
     back = Window.partitionBy("metric", "series").orderBy(F.desc("place"), F.desc_nulls_last("at"))
-    held = F.when(F.col("at").isNull(), F.struct("n", "grown", "first_ts", "first_value", "_total_n", "_total"))
+    held = F.when(F.col("at").isNull(), F.struct("n", "odd", "grown", "first_ts", "first_value", "_total_n", "_total_odd", "_total"))
     opening = F.last(held, ignorenulls=True).over(back.rowsBetween(Window.unboundedPreceding, 0))
     return (
         rows.withColumn("_first", opening)
@@ -122,7 +135,8 @@ def _range_summary(
             "series",
             F.timestamp_micros("at").alias("at"),
             (F.col("_total_n") - F.col("_first._total_n") + F.col("_first.n")).alias("n"),
-            (F.col("_total") - F.col("_first._total") + F.col("_first.grown")).alias("grown"),
+            (F.col("_total_odd") - F.col("_first._total_odd") + F.col("_first.odd")).alias("odd"),
+            (F.col("_total") - F.col("_first._total") + F.col("_first.grown")).cast(EXACT).alias("grown"),
             F.col("_first.first_ts").alias("first_ts"),
             "last_ts",
             F.col("_first.first_value").alias("first_value"),
@@ -163,7 +177,7 @@ def increase(
     extrapolate: bool = False,
 ) -> DataFrame:
     """Growth of each counter over the range; series with fewer than two samples vanish."""
-    grown = F.col("grown")
+    grown = F.when(F.col("odd") > 0, F.lit(float("nan"))).otherwise(F.col("grown").cast("double"))
     value = grown * _stretch(seconds, grown, True) if extrapolate else grown
     return _vector(_range_summary(samples, seconds, at, step).filter("n >= 2"), value)
 
