@@ -32,16 +32,21 @@ FILE, SLICE = 32 << 20, 4 << 20
 KNOWN = 600_000
 #: Long texts are cut at these, the tokenizer's words end at them all.
 _GAP = re.compile(rb"[\x20\x09-\x0D]")
-#: A word and punctuation at its end, which the tokenizer takes apart there.
-_TAIL = re.compile(r"(.*[A-Za-z0-9À-ÖØ-öø-ÿ])([!-&(-/:-@\[-`{-~]+)", re.S)
-_UPPER = {c: c + 32 for c in range(65, 91)}
+# Lower-case letters and digits of Latin texts; ASCII punctuation but for the apostrophe.
+_LETTERS, _MARKS = "a-zà-öø-ÿ", r"!-&(-/:-@\[-`{-~"
+#: A word that is not looked up as it is, apart from its end: it has no clitic and no name of a special id.
+_CORE = rf"(?s)^[^']*[{_LETTERS}0-9]"
+_ENDED = rf"{_CORE}[{_MARKS}]+$"
+_PUNCTUATION = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum() and c != "'")
+_ONE_WORD = re.compile(f"[{_LETTERS}]+")
 
 
 class Encoder:
     """Ids of texts by a file of the tokenizers library that splits at white space.
 
     Every distinct word of a slice is looked up once, in lower case and without the punctuation at its
-    end where the tokenizer splits it there anyway; unknown ones go to the library in one batch.
+    end, which the tokenizer splits off anyway. Words of letters alone go to the library as one text,
+    told apart by the ids that end a word, all others one by one.
     """
 
     def __init__(self, path: str):
@@ -50,42 +55,55 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[str, bytes] = {}
-
-    @staticmethod
-    def parts(word: str) -> tuple[str, ...]:
-        if "'" in word or "<|" in word:  # clitics, and names of special ids, are looked up as they are
-            return (word,)
-        found = _TAIL.fullmatch(word)
-        if found:
-            return (found[1].translate(_UPPER), found[2])
-        return (word.translate(_UPPER),)
-
-    def ids(self, words: list[str]) -> list[bytes]:
-        """The ids of each word as 32-bit integers."""
-        split = [self.parts(w) for w in words]
-        known = self.known
-        if len(known) > KNOWN:
-            known.clear()
-        unknown = list({p for parts in split for p in parts if p not in known})
-        for start in range(0, len(unknown), 10_000):
-            some = unknown[start : start + 10_000]
-            for part, found in zip(some, self.tokenizer.encode_batch(some, add_special_tokens=False), strict=True):
-                known[part] = np.array(found.ids, dtype=np.int32).tobytes()
-        return [known[parts[0]] if len(parts) == 1 else known[parts[0]] + known[parts[1]] for parts in split]
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends_word = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.ends_word[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+
+    def learn(self, parts: list[str]) -> None:
+        """Looks ``parts`` up in the library."""
+        for start in range(0, len(parts), 10_000):
+            some = parts[start : start + 10_000]
+            plain = [p for p in some if _ONE_WORD.fullmatch(p)]
+            ids = np.array(self.tokenizer.encode(" ".join(plain), add_special_tokens=False).ids, dtype=np.int32)
+            ends = 4 * (np.flatnonzero(self.ends_word[ids]) + 1)
+            if len(ends) != len(plain):
+                plain, ends = [], []
+            raw, at = ids.tobytes(), 0
+            for part, end in zip(plain, ends, strict=True):
+                self.known[part] = raw[at:end]
+                at = end
+            rest = [p for p in some if p not in self.known]
+            for part, found in zip(rest, self.tokenizer.encode_batch(rest, add_special_tokens=False), strict=True):
+                self.known[part] = np.array(found.ids, dtype=np.int32).tobytes()
+
+    def ids(self, parts: list[str]) -> pa.ListArray:
+        """The ids of each part."""
+        if len(self.known) > KNOWN:
+            self.known.clear()
+        self.learn([p for p in parts if p not in self.known])
+        found = [self.known[p] for p in parts]
+        offsets = np.zeros(len(found) + 1, dtype=np.int32)
+        np.cumsum([len(x) // 4 for x in found], out=offsets[1:])
+        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(found), dtype=np.int32)))
 
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """How many ids each text has, and the ids of all of them."""
         lists = pc.ascii_split_whitespace(pa.array(texts, pa.binary()).cast(pa.string()))
         coded = lists.values.dictionary_encode()
-        ids = self.ids(coded.dictionary.to_pylist())
-        sizes = np.array([len(x) // 4 for x in ids], dtype=np.int64)
-        every, starts = np.frombuffer(b"".join(ids), dtype=np.int32), np.cumsum(sizes) - sizes
-        codes = coded.indices.to_numpy(zero_copy_only=False)
-        lengths = sizes[codes]
-        ends = np.cumsum(lengths)
-        place = np.repeat(starts[codes] - (ends - lengths), lengths) + np.arange(ends[-1] if len(ends) else 0)
-        borders = np.concatenate([[0], ends])[lists.offsets.to_numpy()]
-        return np.diff(borders), every[place]
+        words = coded.dictionary
+        special = pc.match_substring(words, "<|")
+        words = pc.if_else(special, words, pc.ascii_lower(words))
+        ended = pc.and_(pc.invert(special), pc.match_substring_regex(words, _ENDED))
+        tails = pc.if_else(ended, pc.replace_substring_regex(words, _CORE, ""), "")
+        cores = pc.if_else(ended, pc.utf8_rtrim(words, _PUNCTUATION), words)
+        parts = pa.concat_arrays([cores, tails]).dictionary_encode()
+        ids = self.ids(parts.dictionary.to_pylist())
+        both = np.stack([parts.indices.to_numpy()[: len(words)], parts.indices.to_numpy()[len(words) :]], axis=1).reshape(-1)
+        halves = ids.take(pa.array(both))
+        whole = pa.ListArray.from_arrays(pa.array(halves.offsets.to_numpy()[::2]), halves.values)
+        taken = whole.take(coded.indices)
+        borders = taken.offsets.to_numpy()[lists.offsets.to_numpy()]
+        return np.diff(borders), taken.values.to_numpy()[borders[0] : borders[-1]]
 
 
 def cut(text: bytes, size: int = SLICE) -> Iterator[bytes]:
