@@ -115,6 +115,21 @@ def test_op6(spark, odd):
         assert abs(taken[s] - targets[s]) <= (2_600 if s == "b" else 64 * 3)
 
 
+def test_op6_without_or_with_repeated_ids(spark, tmp_path):
+    """Rows without an id, or of one id, that differ in words do not move through the threshold together."""
+    rng = random.Random(6)
+    rows = [(None, rng.randint(1, 4000), "a") for _ in range(300)] + [(7, rng.randint(1, 4000), "b") for _ in range(300)]
+    rows += [(1000 + i, rng.randint(1, 4000), "c") for i in range(300)]
+    documents([(k, "w " * n, "en", s, 1) for k, n, s in rows], spark).repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    sizes = {s: sum(n for _, n, x in rows if x == s) for s in "abc"}
+    targets, taken = water(sizes), dict.fromkeys("abc", 0)
+    of = {None: "a", 7: "b"}
+    for g in QUERIES["op6_mixing_sources"](spark, str(tmp_path)).collect():
+        taken[of.get(g.doc_id, "c")] += g.taken
+    for s in "abc":
+        assert abs(taken[s] - targets[s]) <= 0.01 * sizes[s]
+
+
 def test_targets(spark):
     rng = random.Random(2)
     for _ in range(4):

@@ -118,7 +118,7 @@ with sized as (
 ), numbered as (
   select *, (row_number() over (partition by doc_id, source, size) - 1) // 64 as block from sized
 ), hashed as (
-  select *, ('0x' || left(md5(coalesce('=' || doc_id, '') || '|=' || block), 15))::bigint as h from numbered
+  select *, ('0x' || left(md5(coalesce('=' || doc_id, '') || '|=' || size || '|=' || block), 15))::bigint as h from numbered
 ), sources as (
   select source, sum(size)::bigint as source_size from sized group by source
 ), weighed as (
@@ -156,7 +156,7 @@ from sums
 def op6(spark: SparkSession, folder: str) -> DataFrame:
     sizes = table(spark, folder, "documents").select("doc_id", "source", mixing.word_count(F.col("text")).alias("words"))
     units = sharding.copies_in_blocks(sizes, ["doc_id", "source", "words"], block=64)
-    rows = stored(units.withColumn("hash", sharding.digest60(F.col("doc_id"), F.col("block"))), "units")
+    rows = stored(units.withColumn("hash", sharding.digest60(F.col("doc_id"), F.col("words"), F.col("block"))), "units")
     plan = mixing.mix_plan(rows.select("source", "hash", (F.col("words") * F.col("copies")).alias("size")), (5, 2, 1), 1.5, 2)
     each = mixing.planned(rows, plan).withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
     return each.select("doc_id", F.col("words").alias("size"), "source_size", "target", (F.col("words") * F.col("times")).alias("taken"))
