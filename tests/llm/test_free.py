@@ -187,6 +187,49 @@ def test_names_of_headings_and_sections_are_no_adverts(around):
     assert main_text(around % body).split("\n") == [long, "Related", "Signs", long, long, long, long]
 
 
+def test_all_parts_of_a_main_text_stay():
+    long = LONG % 1
+    links = "<p><a>one link</a></p>" * 4
+    assert main_text(f"<p>{long}</p>{links}<p>Short tail.</p>").split("\n") == [long, *["one link"] * 4, "Short tail."]
+    menu = "<ul>" + "<li><a>some link of the menu</a>" * 4 + "</ul>"
+    parts = f"<article><p>a {long}</p></article><article><p>b {long} {long}</p></article>"
+    want = [f"a {long}", f"b {long} {long}"]
+    assert main_text(f"{menu}<main>{parts}</main>{menu}").split("\n") == want
+    assert main_text(f"{menu}<div>{parts}</div><p>Footer of {long}</p>").split("\n") == want
+    nested = f"<article><p>a</p><article><p>{long}</p></article><section><p>b</p></section></article>"
+    assert main_text(menu + nested).split("\n") == ["a", long, "b"]
+
+
+def test_formulas_and_broken_graphics():
+    body = f"<p>{LONG % 1}</p><p>Energy <math><mi>E</mi>=<mi>m</mi></math> is <noscript>here</noscript>.</p>"
+    assert main_text(f"<article>{body}</article>").split("\n")[1] == "Energy E=m is here."
+    assert main_text(f"<article><p>a</p><svg><path d=x><text>b</text><p>{LONG % 1}</article>").split("\n") == ["a", LONG % 1]
+    assert main_text(f"<article><svg><path d=x /><text>b</text></svg><p>{LONG % 1}</article>") == LONG % 1
+
+
+BROKEN = {
+    "div": "<div>",
+    "inline": "<b>x</i></u>",
+    "quotes": """<a x="'""",
+    "paragraphs": "<b><p>",
+    "declarations": "<!",
+    "doubtful": "<div class='ad-x'>a",
+    "articles": "<article>a",
+    "graphics": "<svg><a>",
+    "lists": "<ul><li>a",
+}
+
+
+@pytest.mark.parametrize("name", BROKEN)
+def test_broken_pages_take_time_in_proportion(name):
+    """400,000 characters; work that grows with the square would take minutes."""
+    import time
+
+    start = time.process_time()
+    main_text(BROKEN[name] * (400_000 // len(BROKEN[name])))
+    assert time.process_time() - start < 6
+
+
 def test_odd_pages(spark):
     long = "<article>" + "<p>word &amp; word</p>" * 20_000
     pages = ["", None, "<p", "<nav>menu</nav>", "plain text", "<article><p>a</article>", "<script>never closed <p>x</p>", "<!-- never closed <p>x</p>", '<p title="open>text', "</p></div><p>x", long]

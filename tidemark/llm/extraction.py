@@ -2,19 +2,20 @@
 
 Markup is stripped to lines, one for each block of the page. What the markup itself names as a
 menu, advert, form and the like is blanked; blocks named so in part are decided by how much of
-their text lies outside of links. Text lengths, links not counted, are summed over a window sliding
-along the lines; the window with the most text lies in the main text. If that is in an article or
-main element, the element's lines are the result. If not, the main text goes from the surge, where
-the sums first rise above nothing on the way to ``SURGE``, to the dive, where they have last been
-above it and fall to nothing, whatever elements the lines are nested in.
+their text lies outside of links. Text lengths, links outside of paragraphs not counted, are summed
+over a window sliding along the lines; the window with the most text lies in the main text, which
+goes from the surge, where the sums first rise above nothing on the way to ``SURGE``, to the dive,
+where they have last been above it and fall to nothing, whatever elements the lines are nested in.
+Article and main elements are bounds: if the peak lies in one, lines outside of them are nothing,
+and no line of the outermost element around the peak is lost.
+
+A page is read once; the work is in proportion to its length, whatever is not closed in it.
 """
 
 from __future__ import annotations
 
 import re
-from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass, field
 from html import unescape
 
 import pyarrow as pa
@@ -24,11 +25,12 @@ from pyspark.sql import functions as F
 # Names of elements, attributes and usual class words.
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark nobr q rp rt ruby s samp small span strike strong sub sup "
-    "time tt u var wbr br".split()
+    "time tt u var wbr br noscript".split()
 )
 VOID = frozenset("area base basefont br col embed frame hr img input keygen link meta param source track wbr".split())
-RAW = frozenset("script style noscript template svg math iframe object textarea select title canvas audio video noframes".split())
-ASIDE = frozenset("nav footer aside form menu dialog button fieldset head".split())
+RAW = frozenset("script style textarea title iframe noframes xmp".split())
+FOREIGN = frozenset(("svg", "math"))
+ASIDE = frozenset("nav footer aside form menu dialog button fieldset head select svg template object canvas audio video".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alertdialog alert menu menubar toolbar note".split())
 CLASS_WORDS = frozenset(
     "ad ads adv advert adverts advertisement advertising adsense banner breadcrumb breadcrumbs comment comments consent cookie cookies "
@@ -39,50 +41,48 @@ CLASS_WORDS = frozenset(
 )
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 CONTENT = frozenset({"article", "main"})
+#: Elements that end an svg or math element which is not closed.
+BREAKOUT = frozenset("article main section div p ul ol li dl table pre blockquote h1 h2 h3 h4 h5 h6 hr nav footer header body".split())
 #: Elements that a rule on class words never blanks.
 PAGE = frozenset({"html", "body", "article", "main", "h1", "h2", "h3", "h4", "h5", "h6"})
 
-MARKUP = re.compile(r"""<(?:!--.*?(?:--!?>|\Z)|(/?)([A-Za-z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*'|["'])*+)>|[!?][^>]*>)""", re.S)
+OPENING = re.compile(r"<(?:(!--)|([!?])|(/?)([A-Za-z][^\s/>]*))")
+COMMENT_END = re.compile(r"--!?>")
+TAG_STOP = re.compile(r"""[>"']""")
 ATTRIBUTE = re.compile(r"""\b(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
 WORDS = re.compile(r"[a-z]+")
 CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 WINDOW = 3
-#: Characters outside of links that make a window's sum a surge, and a doubtful block text.
+#: Characters that make a window's sum a surge.
 SURGE = 50
 
 
-@dataclass(eq=False)
 class Element:
-    name: str
-    parent: Element | None
-    aside: bool = False
-    link: bool = False
-    inside: bool = False
-    doubtful: bool = False
-
-    def __post_init__(self) -> None:
-        #: The nearest block, this element or one around it.
-        self.block: Element = self.parent.block if self.parent and self.name in INLINE else self
-        #: The nearest doubtful block, this element or one around it.
-        around = self.parent.doubt if self.parent else None
-        self.doubt: Element | None = self if self.doubtful and self.block is self else around
+    __slots__ = ("name", "parent", "inline", "aside", "link", "length", "linked", "blank", "block", "content", "foreign", "outer", "doubt")
 
-    def chain(self) -> Iterator[Element]:
-        own: Element | None = self
-        while own:
-            yield own
-            own = own.parent
+    def __init__(self, name: str, parent: Element | None, inline: bool = False, aside: bool = False, link: bool = False, doubtful: bool = False):
+        self.name, self.parent, self.inline, self.aside, self.link = name, parent, inline, aside, link
+        #: Characters outside of links and in links, of a doubtful block and all blocks in it.
+        self.length = self.linked = 0
+        self.blank = False
+        #: The nearest block, this element or one around it.
+        self.block: Element = parent.block if parent and inline else self
+        #: The outermost article or main element around this one.
+        self.content: Element | None = parent.content if parent else None
+        if not self.content and name in CONTENT:
+            self.content = self
+        #: The nearest svg or math element.
+        self.foreign: Element | None = self if name in FOREIGN else parent.foreign if parent else None
+        #: The nearest doubtful block, this element or one around it, and the next one around that.
+        self.outer: Element | None = parent.doubt if parent else None
+        self.doubt: Element | None = self if doubtful and not inline else self.outer
 
 
-@dataclass
 class Line:
-    holder: Element
-    parts: list[str] = field(default_factory=list)
-    length: int = 0
-    linked: int = 0
+    __slots__ = ("holder", "parts", "length", "linked", "text")
 
-    def text(self) -> str:
-        return " ".join("".join(self.parts).split())
+    def __init__(self, holder: Element):
+        self.holder, self.parts, self.length, self.linked, self.text = holder, [], 0, 0, ""
 
 
 def _named_aside(name: str, attributes: str, inside: bool) -> tuple[bool, bool]:
@@ -113,16 +113,59 @@ def _named_aside(name: str, attributes: str, inside: bool) -> tuple[bool, bool]:
     return False, doubtful
 
 
-def lines_of(html: str) -> list[Line]:
-    """The page's blocks in order; a block ends where a block element starts or ends."""
+class Tags:
+    """The markup of a page in order; every search goes on where the last one ended."""
+
+    def __init__(self, html: str):
+        self.html = html
+        self.ended = False  # no tag is closed from here on
+        self.missing: set[str] = set()  # quotes of which there is no further one
+
+    def _end(self, at: int) -> int:
+        """Where the tag ends whose attributes begin at ``at``: behind a ``>`` outside of quotes."""
+        while stop := TAG_STOP.search(self.html, at):
+            at, quote = stop.end(), stop[0]
+            if quote == ">":
+                return at
+            if quote not in self.missing:
+                closed = self.html.find(quote, at)
+                if closed < 0:
+                    self.missing.add(quote)
+                else:
+                    at = closed + 1
+        self.ended = True
+        return -1
+
+    def next(self, at: int) -> tuple[int, int, bool, str, str] | None:
+        """Start and end of the next markup at or behind ``at``, whether it ends an element, name, attributes."""
+        while not self.ended and (found := OPENING.search(self.html, at)):
+            if found[1]:
+                close = COMMENT_END.search(self.html, found.end())
+                return found.start(), close.end() if close else len(self.html), False, "", ""
+            if found[2]:
+                end = self.html.find(">", found.end()) + 1
+                self.ended = not end
+            else:
+                end = self._end(found.end())
+            if end > 0:
+                return found.start(), end, bool(found[3]), (found[4] or "").lower(), self.html[found.end() : end - 1]
+            at = found.end()
+        return None
+
+
+def lines_of(html: str) -> tuple[list[Line], list[Element]]:
+    """The page's blocks in order, and its doubtful elements; a block ends where a block element
+    starts or ends."""
     here = Element("", None)
-    line, lines, at = Line(here), [], 0
+    root = here
+    line, lines, at, doubtful = Line(here), [], 0, []
+    opened: dict[str, int] = {}
 
     def add(text: str) -> None:
         if text and not here.aside:
             text = unescape(text)
             line.parts.append(text)
-            size = len("".join(text.split()))
+            size = sum(map(len, text.split()))
             if here.link:
                 line.linked += size
             else:
@@ -131,73 +174,94 @@ def lines_of(html: str) -> list[Line]:
     def cut() -> None:
         nonlocal line
         if line.parts:
-            lines.append(line)
-        line = Line(here.block)
-
-    def leave(to: Element | None) -> None:
+            line.text = " ".join("".join(line.parts).split())
+            if line.text:
+                lines.append(line)
+            line = Line(here.block)
+        elif line.holder is not here.block:
+            line.holder = here.block
+
+    def leave(last: Element) -> None:
         nonlocal here
-        here = to or root
-    root = here
-    while found := MARKUP.search(html, at):
-        add(html[at : found.start()])
-        at = found.end()
-        name = (found[2] or "").lower()
+        while True:
+            opened[here.name] -= 1
+            done, here = here is last, here.parent or root
+            if done:
+                return
+
+    tags = Tags(html)
+    while found := tags.next(at):
+        start, end, closes, name, attributes = found
+        add(html[at:start])
+        at = end
         if not name:
             continue
-        if name not in INLINE and name not in RAW:
+        inline = name in INLINE or name in FOREIGN or here.foreign is not None and name not in BREAKOUT
+        if not inline and name not in RAW:
             cut()
-        if found[1]:
-            match = next((e for e in here.chain() if e.name == name), None)
-            if match:
-                leave(match.parent)
-                if name not in INLINE:
+        if closes:
+            if opened.get(name):
+                last = here
+                while last.name != name:
+                    last = last.parent
+                leave(last)
+                if not inline:
                     cut()
             continue
         if name in RAW:
-            if not found[3].endswith("/"):
-                end = re.compile(rf"</{re.escape(name)}\b[^>]*>", re.I).search(html, at)
-                at = end.end() if end else len(html)
+            if not attributes.endswith("/"):
+                close = re.compile(rf"</{re.escape(name)}\b[^>]*>", re.I).search(html, at)
+                at = close.end() if close else len(html)
             continue
-        if name not in INLINE:
-            ends = CLOSES.get(name, set())
-            for e in here.chain():
-                if e.name == "p" or e.name in ends:
-                    leave(e.parent)
-                    break
-                if e.name not in INLINE:
-                    break
+        if not inline:
+            if here.foreign:
+                leave(here.foreign)
+            if here.block.name == "p" or here.block.name in CLOSES.get(name, ()):
+                leave(here.block)
+                cut()
         if name in VOID:
             add(" ")
-            if name not in INLINE:
+            if not inline:
                 cut()
             continue
-        aside, doubtful = (True, False) if here.aside else _named_aside(name, found[3], here.inside)
-        here = Element(name, here, aside, here.link or name == "a", here.inside or name in CONTENT, doubtful)
-        if name not in INLINE:
+        if here.foreign and attributes.endswith("/"):
+            continue
+        aside, doubt = (True, False) if here.aside else _named_aside(name, attributes, here.content is not None)
+        here = Element(name, here, inline, aside, here.link or name == "a", doubt)
+        opened[name] = opened.get(name, 0) + 1
+        if here.doubt is here:
+            doubtful.append(here)
+        if not inline:
             cut()
     add(html[at:])
     cut()
-    return lines
+    return lines, doubtful
 
 
-def _doubts(line: Line) -> Iterator[Element]:
-    own = line.holder.doubt
-    while own:
-        yield own
-        own = own.parent.doubt if own.parent else None
+def without_doubtful(lines: list[Line], doubtful: list[Element]) -> list[Line]:
+    """Blanks doubtful blocks with more text in links than outside; what lies in one goes with it."""
+    for line in lines:
+        if own := line.holder.doubt:
+            own.length += line.length
+            own.linked += line.linked
+    for own in reversed(doubtful):
+        if own.outer:
+            own.outer.length += own.length
+            own.outer.linked += own.linked
+    for own in doubtful:
+        own.blank = own.linked > own.length or own.outer is not None and own.outer.blank
+    return [x for x in lines if not (x.holder.doubt and x.holder.doubt.blank)]
 
 
-def without_doubtful(lines: list[Line]) -> list[Line]:
-    """Blanks doubtful blocks with more text in links than outside, and those that are outside of
-    articles and have less text than a surge."""
-    free: Counter[Element] = Counter()
-    linked: Counter[Element] = Counter()
-    for line in lines:
-        for e in _doubts(line):
-            free[e] += line.length
-            linked[e] += line.linked
-    blank = {e for e in free if linked[e] > free[e] or not e.inside and free[e] < SURGE}
-    return [x for x in lines if not any(e in blank for e in _doubts(x))]
+def window_sums(lengths: list[int]) -> list[int]:
+    return [sum(lengths[i : i + WINDOW]) for i in range(len(lengths))]
+
+
+def peak_of(lengths: list[int]) -> tuple[int, int]:
+    """The window with the most text, the first of equal ones, and its longest line."""
+    sums = window_sums(lengths)
+    peak = max(range(len(sums)), key=lambda i: (sums[i], -i))
+    return peak, max(range(peak, min(peak + WINDOW, len(lengths))), key=lambda i: lengths[i])
 
 
 def surge_and_dive(lengths: list[int], sums: list[int], peak: int) -> tuple[int, int]:
@@ -220,21 +284,21 @@ def surge_and_dive(lengths: list[int], sums: list[int], peak: int) -> tuple[int,
 
 
 def main_text(html: str) -> str:
-    lines = without_doubtful([x for x in lines_of(html) if x.text()])
-    lengths = [x.length for x in lines]
+    lines, doubtful = lines_of(html)
+    lines = without_doubtful(lines, doubtful)
+    lengths = [x.length + (x.linked if x.holder.name == "p" else 0) for x in lines]
     if not any(lengths):  # an article may be made of links, a page outside of articles is a menu then
-        lengths = [x.linked if any(e.name in CONTENT for e in x.holder.chain()) else 0 for x in lines]
+        lengths = [x.linked if x.holder.content else 0 for x in lines]
     if not any(lengths):
         return ""
-    sums = [sum(lengths[i : i + WINDOW]) for i in range(len(lines))]
-    peak = max(range(len(lines)), key=lambda i: (sums[i], -i))
-    core = max(range(peak, min(peak + WINDOW, len(lines))), key=lambda i: lengths[i])
-    content = [e for e in lines[core].holder.chain() if e.name in CONTENT]
-    if content:
-        held = content[-1] if content[-1].name == "article" or len(content) == 1 else content[-2]
-        return "\n".join(x.text() for x in lines if any(e is held for e in x.holder.chain()))
-    first, behind = surge_and_dive(lengths, sums, peak)
-    return "\n".join(x.text() for x in lines[first:behind])
+    peak, core = peak_of(lengths)
+    held = lines[core].holder.content
+    if held:
+        lengths = [n if x.holder.content else 0 for n, x in zip(lengths, lines, strict=True)]
+        peak, core = peak_of(lengths)
+    first, behind = surge_and_dive(lengths, window_sums(lengths), peak)
+    kept = (x for i, x in enumerate(lines) if (held is not None and x.holder.content is held) or first <= i < behind and (not held or x.holder.content))
+    return "\n".join(x.text for x in kept)
 
 
 def extract_main_text(pages: DataFrame, keys: list[str], html: str = "html") -> DataFrame:
