@@ -143,3 +143,55 @@ def test_replay_keeps_what_cannot_be_repaired(spark):
         ("k2", 0),
     ]
     assert sorted(r.offset for r in still.collect()) == [3, 5]
+
+
+def test_cover_is_short():
+    from tidemark.streaming.parts import BASE, cover
+
+    for n in range(1, 1025):
+        found = cover(n)
+        ends = [first + BASE**level for level, first in found]
+        assert [first for _, first in found] == [0, *ends[:-1]] and ends[-1] == n
+        assert len(found) <= 12 if n <= 100 else len(found) <= 16
+
+
+def test_parts_are_merged_and_a_repeated_batch_changes_nothing(spark):
+    from tidemark.streaming.parts import add_part, cover, folders, parts
+
+    path = new_folder(spark, "parts")
+
+    def total(rows):
+        return rows.groupBy("k").agg(F.sum("n").alias("n"))
+
+    def batch(i):
+        return total(spark.createDataFrame([(k, i) for k in range(3)], "k INT, n LONG").coalesce(1))
+
+    for i in range(17):
+        add_part(batch(i), path, i, total)
+        assert len(folders(spark, path)) == len(cover(i + 1)) <= 6
+    expected = [(k, sum(range(17))) for k in range(3)]
+    assert sorted(map(tuple, total(parts(spark, path)).collect())) == expected
+    for i in (15, 16, 3):  # again, as after a failure, and from an older checkpoint
+        add_part(batch(i), path, i, total)
+        assert sorted(map(tuple, total(parts(spark, path)).collect())) == expected
+
+
+def test_episodes_over_batches_in_any_order(spark):
+    import random
+    from datetime import datetime, timedelta
+
+    from tidemark.streaming.episodes import episode_stream, episodes
+
+    rng = random.Random(4)
+    rows = [(rng.choice((1, 1, 1, 2, 3)), i, datetime(2024, 1, 1) + timedelta(seconds=rng.randrange(4000)), rng.choice("abc")) for i in range(300)]
+    schema = "user INT, id LONG, ts TIMESTAMP, kind STRING"
+    path = new_folder(spark, "shuffled")
+    rng.shuffle(rows)
+    for at in range(0, 300, 100):  # some events arrive twice
+        spark.createDataFrame(rows[at : at + 120], schema).coalesce(1).write.mode("append").parquet(path)
+    out, checkpoint = new_folder(spark, "out"), new_folder(spark, "c")
+    stream_ = J.file_stream(spark, path, spark.createDataFrame(rows[:1], schema).schema, files_per_batch=1)
+    job = J.run_available(episode_stream(stream_, "user", "id", "ts", "kind", ["a", "b", "c"], 30, out, checkpoint))
+    assert len([p for p in job.recentProgress if p["numInputRows"]]) == 3
+    expected = D.sequence_episodes(spark.createDataFrame(rows, schema).withColumnRenamed("id", "event_id"), "user", "ts", "kind", ["a", "b", "c"], 30)
+    assert listed(episodes(spark, out, "user")) == listed(expected) != []

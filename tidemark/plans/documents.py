@@ -11,6 +11,7 @@ from tidemark.plans.catalog import query
 from tidemark.session import new_folder, stored
 from tidemark.sources.tables import Tables
 from tidemark.streaming import jobs as J
+from tidemark.streaming.episodes import episode_stream, episodes
 
 NOW = datetime(2024, 7, 19)
 MIN_CHARS = 20
@@ -507,11 +508,8 @@ def stream_window_agg(t: Tables) -> DataFrame:
 
 @query("stream_episodes", EPISODE_SQL)
 def stream_episodes(t: Tables) -> DataFrame:
-    """Events that arrive as a stream in any order; episodes are found over all that has come."""
-    path, checkpoint = new_folder(t.spark, "arrived"), new_folder(t.spark, "arrived-checkpoint")
-    events = _stream(t, "events").select("user_id", "event_id", "ts", "event_type", F.to_date("ts").alias("day"))
-    J.run_available(J.to_lake(events, path, checkpoint, ["day"]))
-    arrived = t.spark.read.parquet(path)
-    return _episodes(
-        D.sequence_episodes(arrived, "user_id", "ts", "event_type", PATTERN, MAX_GAP)
-    )
+    """Events that arrive as a stream in any order; a batch works on the keys it has events for."""
+    path, checkpoint = new_folder(t.spark, "episodes"), new_folder(t.spark, "episodes-checkpoint")
+    events = _stream(t, "events").select("user_id", "event_id", "ts", "event_type")
+    J.run_available(episode_stream(events, "user_id", "event_id", "ts", "event_type", PATTERN, MAX_GAP, path, checkpoint))
+    return _episodes(episodes(t.spark, path, "user_id"))

@@ -2,8 +2,8 @@
 
 Each job is one query with its own checkpoint. Sinks keyed by the batch number overwrite their
 own folder, so a batch that runs again after a failure leaves no second copy. What spans batches
-(totals, first and last events, the index) is written per batch as a part that can be merged and is
-put together by a reader: no state store, no watermark, and no event is too late.
+(totals, first and last events, the index) is written per batch as a part, merged with earlier parts
+(:mod:`tidemark.streaming.parts`) and put together by a reader: no watermark, and no event is too late.
 """
 
 from __future__ import annotations
@@ -15,6 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from tidemark.operators import documents as D
+from tidemark.streaming.parts import add_part, parts
 
 
 def file_stream(
@@ -89,13 +90,14 @@ def dedup_stream(valid: DataFrame, keys: list[str], keep: list[str], path: str,
     """The first event per key of each batch; :func:`first_events` reads them."""
 
     def reduce(batch: DataFrame, batch_id: int) -> None:
-        write_batch(D.first_per(batch, keys, "offset", keep), path, batch_id)
+        first = D.first_per(batch, keys, "offset", keep)
+        add_part(first, path, batch_id, lambda some: D.first_per(some, keys, "offset", keep))
 
     return per_batch(valid, checkpoint, reduce)
 
 
 def first_events(spark: SparkSession, path: str, keys: list[str], keep: list[str]) -> DataFrame:
-    return D.first_per(batches(spark, path), keys, "offset", keep)
+    return D.first_per(parts(spark, path), keys, "offset", keep)
 
 
 def state_stream(valid: DataFrame, path: str, checkpoint: str):
@@ -105,35 +107,37 @@ def state_stream(valid: DataFrame, path: str, checkpoint: str):
     """
 
     def reduce(batch: DataFrame, batch_id: int) -> None:
-        write_batch(D.compacted(batch), path, batch_id)
+        add_part(D.compacted(batch), path, batch_id, D.compacted)
 
     return per_batch(valid, checkpoint, reduce)
 
 
 def latest_state(spark: SparkSession, path: str) -> DataFrame:
     """The last event per document, tombstones included."""
-    return D.compacted(batches(spark, path))
+    return D.compacted(parts(spark, path))
 
 
 def index_stream(valid: DataFrame, path: str, checkpoint: str):
     """The terms of each batch's documents, and which events there were."""
 
     def add(batch: DataFrame, batch_id: int) -> None:
-        events = batch.select("document_id", "offset", "tombstone")
-        write_batch(events, f"{path}/events", batch_id)
         live = batch.filter(~F.col("tombstone"))
-        write_batch(D.inverted_index(live, "offset", "text"), f"{path}/terms", batch_id)
+        add_part(D.inverted_index(live, "offset", "text"), f"{path}/terms", batch_id, lambda some: some)
+        events = batch.select("document_id", F.struct("offset", "tombstone").alias("last"))
+        add_part(_last_events(events), f"{path}/events", batch_id, _last_events)
 
     return per_batch(valid, checkpoint, add)
 
 
+def _last_events(events: DataFrame) -> DataFrame:
+    return events.groupBy("document_id").agg(F.max("last").alias("last"))
+
+
 def current_index(spark: SparkSession, path: str) -> DataFrame:
     """(term, document_id, tf) of the last version of every document that is not deleted."""
-    last = batches(spark, f"{path}/events").groupBy("document_id").agg(
-        F.max(F.struct("offset", "tombstone")).alias("last")
-    )
+    last = _last_events(parts(spark, f"{path}/events"))
     live = last.filter(~F.col("last.tombstone")).select("document_id", F.col("last.offset").alias("doc_id"))
-    return batches(spark, f"{path}/terms").join(live, "doc_id").select("term", "document_id", "tf")
+    return parts(spark, f"{path}/terms").join(live, "doc_id").select("term", "document_id", "tf")
 
 
 def window_stream(
@@ -142,17 +146,19 @@ def window_stream(
     """Count and sum per time window and keys of each batch; :func:`window_totals` adds them up."""
 
     def reduce(batch: DataFrame, batch_id: int) -> None:
-        parts = batch.groupBy(F.window(moment, width)["start"].alias("window_start"), *keys).agg(
+        counted = batch.groupBy(F.window(moment, width)["start"].alias("window_start"), *keys).agg(
             F.count(F.lit(1)).alias("n"), F.sum(value).alias("total")
         )
-        write_batch(parts, path, batch_id)
+        add_part(counted, path, batch_id, lambda some: _added(some, keys))
 
     return per_batch(events, checkpoint, reduce)
 
 
 def window_totals(spark: SparkSession, path: str, keys: list[str], history: DataFrame) -> DataFrame:
     """Totals per time window next to the figures of ``history`` for the same keys."""
-    totals = batches(spark, path).groupBy("window_start", *keys).agg(
-        F.sum("n").alias("n"), F.sum("total").alias("total")
-    )
-    return totals.join(history, keys)
+    return _added(parts(spark, path), keys).join(history, keys)
+
+
+def _added(counted: DataFrame, keys: list[str]) -> DataFrame:
+    total = F.sum("total").cast(counted.schema["total"].dataType)
+    return counted.groupBy("window_start", *keys).agg(F.sum("n").alias("n"), total.alias("total"))
