@@ -195,3 +195,31 @@ def test_episodes_over_batches_in_any_order(spark):
     assert len([p for p in job.recentProgress if p["numInputRows"]]) == 3
     expected = D.sequence_episodes(spark.createDataFrame(rows, schema).withColumnRenamed("id", "event_id"), "user", "ts", "kind", ["a", "b", "c"], 30)
     assert listed(episodes(spark, out, "user")) == listed(expected) != []
+
+
+def test_rows_of_a_crashed_batch_are_not_there_until_it_is_committed(spark, feed):
+    from tidemark.streaming import publish as U
+
+    path, checkpoint = new_folder(spark, "published"), new_folder(spark, "c")
+    events, seen = stream(spark, feed), []
+
+    def work(batch):
+        if len(seen) == 2:
+            seen.append("crash")
+            U.write_rows(batch.select("topic", "offset"), path, 2)  # written, never committed
+            raise RuntimeError("lost")
+        seen.append("done")
+        return batch.select("topic", "offset")
+
+    with pytest.raises(Exception, match="lost"):
+        J.run_available(U.publish_stream(events, path, checkpoint, work))
+    assert U.commits(spark, path).select("batch").distinct().count() == 2
+    committed = U.committed(spark, path).count()
+    assert committed == U.commits(spark, path).agg(F.sum("rows")).first()[0] < spark.read.parquet(f"{path}/rows").count()
+    J.run_available(U.publish_stream(events, path, checkpoint, work))
+    everything = P.raw_events(feed[1])
+    assert U.committed(spark, path).count() == everything.count() == U.commits(spark, path).agg(F.sum("rows")).first()[0]
+    # another group starts from the beginning, with its own checkpoint
+    other = new_folder(spark, "other")
+    J.run_available(U.publish_stream(events, other, new_folder(spark, "c"), lambda batch: batch.filter("value IS NULL")))
+    assert U.committed(spark, other).count() == everything.filter("value IS NULL").count()

@@ -185,3 +185,12 @@ def kpi_daily(orders: DataFrame) -> DataFrame:
         F.sum("orders_total").alias("orders_total"),
         first.alias("top_product"),
     )
+
+
+def pivot_filled(df: DataFrame, keys: list[str], column: str, values: list[str], measure: str) -> DataFrame:
+    """One row per ``keys`` and a column per given value, ``measure`` summed; 0 where there is none.
+
+    The values are given, so no job looks for them and the columns are known beforehand.
+    """
+    wide = df.groupBy(*keys).pivot(column, values).agg(F.sum(measure))
+    return wide.fillna(0, subset=values)

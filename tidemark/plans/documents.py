@@ -12,6 +12,7 @@ from tidemark.session import new_folder, stored
 from tidemark.sources.tables import Tables
 from tidemark.streaming import jobs as J
 from tidemark.streaming.episodes import episode_stream, episodes
+from tidemark.streaming.publish import commits, committed, publish_stream
 
 NOW = datetime(2024, 7, 19)
 MIN_CHARS = 20
@@ -513,3 +514,31 @@ def stream_episodes(t: Tables) -> DataFrame:
     events = _stream(t, "events").select("user_id", "event_id", "ts", "event_type")
     J.run_available(episode_stream(events, "user_id", "event_id", "ts", "event_type", PATTERN, MAX_GAP, path, checkpoint))
     return _episodes(episodes(t.spark, path, "user_id"))
+
+
+@query(
+    "stream_groups",
+    f"""
+    WITH {RAW},
+    g AS (SELECT 'audit' AS consumer, topic, "offset" FROM e
+          UNION ALL SELECT 'lake', topic, "offset" FROM e WHERE NOT tombstone)
+    SELECT g.consumer, g.topic, count(*) AS events, max(read.rows) AS read_rows,
+           max(read.first_offset) AS first_offset, max(read.last_offset) AS last_offset
+    FROM g JOIN (SELECT topic, count(*) AS rows, min("offset") AS first_offset, max("offset") AS last_offset
+                 FROM e GROUP BY 1) read ON g.topic = read.topic
+    GROUP BY 1, 2
+    """,
+)
+def stream_groups(t: Tables) -> DataFrame:
+    """Two groups read the raw topics on their own; rows and offsets of a batch are committed together."""
+    works = {"audit": lambda batch: batch.select("topic", "offset"), "lake": lambda batch: batch.filter("value IS NOT NULL").select("topic", "offset")}
+    found = []
+    for name, work in works.items():
+        path, checkpoint = new_folder(t.spark, f"group-{name}"), new_folder(t.spark, f"group-{name}-checkpoint")
+        J.run_available(publish_stream(raw_events(_stream(t, "documents")), path, checkpoint, work))
+        read = commits(t.spark, path).groupBy("topic").agg(
+            F.sum("rows").alias("read_rows"), F.min("first_offset").alias("first_offset"), F.max("last_offset").alias("last_offset")
+        )
+        counted = committed(t.spark, path).groupBy("topic").agg(F.count(F.lit(1)).alias("events"))
+        found.append(counted.join(read, "topic").select(F.lit(name).alias("consumer"), "topic", "events", "read_rows", "first_offset", "last_offset"))
+    return found[0].unionByName(found[1])

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tidemark.functions.numbers import exact
+from tidemark.operators import aggregates as A
 from tidemark.operators import relational as R
 from tidemark.operators import segments as G
 from tidemark.plans.catalog import query
@@ -372,3 +373,36 @@ def top_documents(t: Tables) -> DataFrame:
         F.concat(F.lit("PART_"), F.col("l_partkey")).alias("document_id"), "total_open_count"
     )
     return R.global_top(counted, "total_open_count", ["document_id"], 30)
+
+
+@query(
+    "custom_geo_mean",
+    """
+    SELECT o_orderpriority AS product, count(*) AS n, round(exp(avg(ln(o_totalprice))), 4) AS geo_mean
+    FROM orders GROUP BY 1
+    """,
+)
+def custom_geo_mean(t: Tables) -> DataFrame:
+    """An aggregate that is written in Python: states per batch, merged by salted keys, then by key."""
+    orders = t.orders.select(F.col("o_orderpriority").alias("product"), F.col("o_totalprice").alias("price"))
+    found = A.aggregate(orders, ["product"], ["price"], A.geometric_mean("price"))
+    return found.withColumn("geo_mean", F.round("geo_mean", 4))
+
+
+SHOWN = ["AUTOMOBILE", "BUILDING", "FURNITURE", "MACHINERY", "NO SUCH SEGMENT"]
+
+
+@query(
+    "pivot_values",
+    f"""
+    SELECT CAST(o_orderdate AS DATE) AS day,
+           {", ".join(f"""CAST(coalesce(sum(CASE WHEN c_mktsegment = '{s}' THEN 1 END), 0) AS BIGINT) AS "{s}" """ for s in SHOWN)}
+    FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1
+    """,
+)
+def pivot_values(t: Tables) -> DataFrame:
+    """Orders per day, a column for each of the given segments; 0 on days and for segments without any."""
+    buyers = t.customer.select(F.col("c_custkey").alias("o_custkey"), F.col("c_mktsegment").alias("segment"))
+    days = t.orders.select("o_custkey", F.to_date("o_orderdate").alias("day")).join(buyers, "o_custkey")
+    counted = R.group_count(days, ["day", "segment"], "n")
+    return R.pivot_filled(counted, ["day"], "segment", SHOWN, "n")
