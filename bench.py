@@ -76,9 +76,9 @@ def timed(action, name: str) -> float:
 
 def published(spark: SparkSession) -> dict:
     """The published workloads at their published sizes."""
-    orders = G.country_orders(spark.range(2_000_000))
-    countries = G.country_names(G.country_orders(spark.range(200)))
-    skewed = G.hot_key_rows(spark.range(3_000_000))
+    orders = G.derived(spark.range(2_000_000), G.ORDER_COLUMNS)
+    countries = G.country_names(G.derived(spark.range(200), G.ORDER_COLUMNS))
+    skewed = G.derived(spark.range(3_000_000), G.SKEWED_COLUMNS)
     grouped = G.grouped_values(spark.range(1_000_000))
     pairs = G.key_value(spark.range(5_000_000))
     nested = G.nested_values(spark.range(5_000_000))

@@ -197,3 +197,28 @@ def test_observed_counts(spark):
     )
     watched.write.format("noop").mode("overwrite").save()
     assert seen.get == {"rows": 10, "odd": 5}
+
+
+def test_clustered_files_skip_on_either_column(spark, tmp_path):
+    import glob
+
+    import pyarrow.parquet as pq
+    from pyspark.sql import functions as F
+
+    from tidemark.sources.writers import write_clustered
+
+    rows = spark.range(40_000).select("id", F.pmod(F.xxhash64("id"), F.lit(100_000)).alias("a"), F.pmod(F.xxhash64("id", F.lit(1)), F.lit(5_000)).cast("double").alias("b"))
+    rows = rows.unionByName(spark.createDataFrame([(-1, None, None)], rows.schema))
+    path = f"{tmp_path}/clustered"
+    write_clustered(rows, path, ["a", "b"], files=256)
+    groups = []
+    for name in glob.glob(f"{path}/part-*"):
+        file = pq.ParquetFile(name).metadata
+        for i in range(file.num_row_groups):
+            groups.append({file.row_group(i).column(j).path_in_schema: file.row_group(i).column(j).statistics for j in range(3)})
+    for column, low, high in (("a", 40_000, 40_900), ("b", 1000.0, 1045.0)):
+        hit = sum(g[column].has_min_max and g[column].min <= high and g[column].max >= low for g in groups)
+        assert 0 < hit < 0.2 * len(groups)
+        kept = spark.read.parquet(path).filter(F.col(column).between(low, high))
+        assert sorted(kept.collect()) == sorted(rows.filter(F.col(column).between(low, high)).collect())
+    assert spark.read.parquet(path).count() == 40_001

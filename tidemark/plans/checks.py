@@ -9,6 +9,7 @@ from tidemark.operators import partitioning as P
 from tidemark.operators import quality as Q
 from tidemark.plans.catalog import query
 from tidemark.session import new_folder
+from tidemark.sources.readers import read_snapshot
 from tidemark.sources.tables import Tables
 
 REQUIRED = " 1-URGENT,2-HIGH, 3-MEDIUM ,,5-LOW"
@@ -187,6 +188,44 @@ def pairwise_ratio(t: Tables) -> DataFrame:
     )
 
 
+@query(
+    "result_rows",
+    f"""
+    WITH {RATIOS},
+    r AS (SELECT round(cold, 6) AS cold, round(hot, 6) AS hot, cold_wins, hot_wins FROM p)
+    SELECT 'pair' AS scenario, 'r_vs_a' AS engine, 'cold_ratio' AS metric, cold AS "value", 'x' AS unit FROM r
+    UNION ALL SELECT 'pair', 'r_vs_a', 'hot_ratio', hot, 'x' FROM r
+    UNION ALL SELECT 'pair', 'r_vs_a', 'cold_wins', CAST(cold_wins AS DOUBLE), 'count' FROM r
+    UNION ALL SELECT 'pair', 'r_vs_a', 'hot_wins', CAST(hot_wins AS DOUBLE), 'count' FROM r
+    """,
+)
+def result_rows(t: Tables) -> DataFrame:
+    """A comparison as a result record, one row per metric, written as JSON and read back."""
+    rows = B.tidy(pairwise_ratio(t), "pair", "r_vs_a")
+    path = new_folder(t.spark, "results")
+    rows.write.json(path)
+    return t.spark.read.schema(rows.schema).json(path)
+
+
+@query(
+    "snapshot_runs",
+    """
+    SELECT l_returnflag AS system, CAST(l_linenumber - 1 AS INTEGER) AS query, min(l_quantity) AS cold,
+           least(max(l_quantity), round(avg(l_discount), 4)) AS hot FROM lineitem GROUP BY 1, 2
+    """,
+)
+def snapshot_runs(t: Tables) -> DataFrame:
+    """Nested JSON snapshots of systems, written and read back; seven queries of three runs each."""
+    runs = t.lineitem.groupBy("l_returnflag", "l_linenumber").agg(
+        F.array(F.min("l_quantity").cast("double"), F.max("l_quantity").cast("double"), F.round(F.avg("l_discount"), 4).cast("double")).alias("runs")
+    )
+    listed = F.sort_array(F.collect_list(F.struct("l_linenumber", "runs")))
+    snapshots = runs.groupBy(F.col("l_returnflag").alias("system")).agg(F.transform(listed, lambda r: r["runs"]).alias("result"))
+    path = new_folder(t.spark, "snapshots")
+    snapshots.write.option("maxRecordsPerFile", 1).json(path)  # a snapshot is a file
+    return B.query_runs(read_snapshot(t.spark, path))
+
+
 @query(
     "weighted_score",
     f"""

@@ -329,7 +329,7 @@ def range_source(t: Tables) -> DataFrame:
     """,
 )
 def orders_gen(t: Tables) -> DataFrame:
-    orders = G.country_orders(_ids(t, "lineitem"), 200)
+    orders = G.derived(_ids(t, "lineitem"), G.ORDER_COLUMNS)
     return (
         R.join_broadcast(orders, G.country_names(orders), "country_id")
         .groupBy("country_name")
@@ -350,7 +350,7 @@ def orders_gen(t: Tables) -> DataFrame:
     """,
 )
 def skewed_gen(t: Tables) -> DataFrame:
-    rows = G.hot_key_rows(_ids(t, "lineitem"))
+    rows = G.derived(_ids(t, "lineitem"), G.SKEWED_COLUMNS)
     return R.salted_agg(
         rows, "key", "row_id", 10, {"cnt": ("count", "*"), "total": ("sum", "value")}
     )

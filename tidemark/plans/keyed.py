@@ -12,7 +12,7 @@ from tidemark.plans.catalog import query
 from tidemark.session import new_folder
 from tidemark.sources.bucketed import read_bucketed, table_size, write_bucketed
 from tidemark.sources.tables import Tables
-from tidemark.sources.writers import write_sorted, write_table
+from tidemark.sources.writers import write_clustered, write_sorted, write_table
 
 
 def target(t: Tables) -> DataFrame:
@@ -93,6 +93,23 @@ def sorted_write(t: Tables) -> DataFrame:
     return t.spark.read.parquet(path).filter(F.col("amount").between(10_000_000, 12_000_000))
 
 
+@query(
+    "clustered_write",
+    f"""
+    WITH {TARGET} SELECT * FROM t
+    WHERE amount BETWEEN 10000000 AND 11000000 OR updated_at BETWEEN DATE '1995-03-01' AND DATE '1995-03-20'
+    """,
+)
+def clustered_write(t: Tables) -> DataFrame:
+    """A table that skips files on either of two columns."""
+    path = new_folder(t.spark, "clustered")
+    write_clustered(target(t), path, ["amount", "updated_at"], files=16)
+    table = t.spark.read.parquet(path)
+    days = F.col("updated_at").between(F.lit("1995-03-01").cast("date"), F.lit("1995-03-20").cast("date"))
+    dear = F.col("amount").between(10_000_000, 11_000_000)
+    return table.filter(dear).unionByName(table.filter(days & ~F.coalesce(dear, F.lit(False))))
+
+
 @query(
     "merge_update",
     f"""
