@@ -221,3 +221,18 @@ def test_no_number_in_a_range_gives_none(spark):
         assert math.isnan(got[(("a", "1"),)]) and got[(("a", "2"),)] == 0.2
     later = M.increase(vector, 300, step=300).where(F.col("at") == F.lit(START + timedelta(seconds=600)).cast("timestamp"))
     assert values(later) == [((("a", "1"),), 3.0)]
+
+
+def test_distinct_values_of_a_frequent_label_spread_before_they_are_counted(spark):
+    """The values of a label are dealt by (label, value); the last step sees counts, not values."""
+    rows = spark.range(60_000).select(
+        F.expr("map('hot', string(id), 'cold', string(id % 3))").alias("labels"), F.lit("m").alias("metric")
+    )
+    found = M.label_cardinality(rows)
+    assert sorted(map(tuple, found.collect())) == [("cold", 3), ("hot", 60_000)]
+    text = found._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    deals = [line for line in text.splitlines() if "Exchange hashpartitioning(" in line]
+    assert len(deals) == 2 and "hashpartitioning(label#" in deals[0] and ", text#" in deals[1]
+    halves = M.label_sketches(rows.filter("labels['cold'] = '0'")).unionByName(M.label_sketches(rows.filter("labels['cold'] <> '0'")))
+    estimate = {r.label: r["values"] for r in M.estimated_cardinality(halves).collect()}
+    assert estimate["cold"] == 3 and abs(estimate["hot"] - 60_000) < 1800

@@ -190,6 +190,7 @@ def inverted_index(docs: DataFrame, key: str, text: str) -> DataFrame:
     """(term, document, term frequency); counted inside each task before the shuffle."""
     return (
         docs.select(F.col(key).alias("doc_id"), F.explode(terms_of(F.col(text))).alias("term"))
+        .filter("term <> ''")  # on rows, in generated code, rather than inside the array
         .groupBy("term", "doc_id")
         .agg(F.count(F.lit(1)).alias("tf"))
     )

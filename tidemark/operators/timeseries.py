@@ -351,6 +351,18 @@ def label_cardinality(samples: DataFrame) -> DataFrame:
     )
 
 
+def label_sketches(samples: DataFrame) -> DataFrame:
+    """(label, sketch) of the distinct values; sketches of parts can be stored and merged later."""
+    texts = samples.select(F.explode("labels").alias("label", "text"))
+    return texts.groupBy("label").agg(F.hll_sketch_agg("text", 14).alias("sketch"))
+
+
+def estimated_cardinality(sketches: DataFrame) -> DataFrame:
+    """Distinct values per label to about a percent, from any number of :func:`label_sketches`."""
+    merged = sketches.groupBy("label").agg(F.hll_union_agg("sketch").alias("sketch"))
+    return merged.select("label", F.hll_sketch_estimate("sketch").alias("values"))
+
+
 def jobs_without_success(status: DataFrame, successes: DataFrame, key: str) -> DataFrame:
     """Jobs reported as failed that never sent a success."""
     return status.join(successes.select(key), key, "left_anti")

@@ -433,6 +433,22 @@ def label_cardinality(t: Tables) -> DataFrame:
     return M.label_cardinality(D.HTTP.samples(t))
 
 
+@query(
+    "label_cardinality_estimate",
+    """
+    SELECT unnest(['service', 'route', 'status', 'instance']) AS label, true AS near
+    """,
+)
+def label_cardinality_estimate(t: Tables) -> DataFrame:
+    """Sketches of two halves of the samples, merged, against the exact number of values."""
+    samples = D.HTTP.samples(t)
+    late = F.second("ts") % 2 == 0
+    halves = M.label_sketches(samples.filter(late)).unionByName(M.label_sketches(samples.filter(~late)))
+    exact = M.label_cardinality(samples).withColumnRenamed("values", "exact")
+    found = M.estimated_cardinality(halves).join(exact, "label")
+    return found.select("label", (F.abs(F.col("values") - F.col("exact")) <= 0.05 * F.col("exact")).alias("near"))
+
+
 @query(
     "metrics_parse",
     """
