@@ -45,6 +45,27 @@ def test_top_k(spark, pivots, block):
     assert sorted(map(tuple, found.collect())) == best(rows, lambda i: i % 50 == 0, 5)
 
 
+def test_top_k_over_many_slots(spark, monkeypatch):
+    """One cell with a third of all rows: its work is dealt over the slots, the answers are the same."""
+    monkeypatch.setattr(knn, "SLOT_BLOCKS", 1)
+    rng = np.random.default_rng(8)
+    rows = [(i, [3, 1, 2] if i % 3 == 0 else rng.integers(-40, 40, 3).tolist()) for i in range(600)]
+    data = spark.createDataFrame(rows, "vec_id long, v array<long>")
+    got = sorted(map(tuple, knn.exact_top_k(data.where("vec_id % 20 = 0"), data, "vec_id", "v", 5, 4, 16).collect()))
+    want = []
+    for q, x in rows[::20]:
+        scored = sorted((-sum(a * b for a, b in zip(x, v, strict=True)), i) for i, v in rows if i != q)[:5]
+        want += [(q, rank, i, -score) for rank, (score, i) in enumerate(scored, 1)]
+    assert got == sorted(want)
+
+
+def test_products_beyond_64_bits_are_an_error():
+    small, large = np.array([[3, -4]]), np.array([[-(2**63), 1]])
+    assert knn._product(small, small * 2**40).tolist() == [[25 * 2**40]]
+    with pytest.raises(ValueError, match="64 bits"):
+        knn._product(small, large)
+
+
 def test_groups_far_apart_are_not_sent(spark):
     """The bounds keep the vectors of another direction away from a query group."""
     centers = np.array([[1000.0, 0.0], [-1000.0, 0.0]])

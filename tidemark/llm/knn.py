@@ -8,11 +8,14 @@ with pivots p and q, radius r of the queries and distance d of the vector,
 
 The lower bounds of the vectors nearest to their pivots give each query group a score that its k-th
 best cannot miss; a vector is sent to a query group only if its upper bound reaches that score.
-Groups are solved in blocks, and the best of a query's blocks are merged.
+Groups are solved in blocks, and the best of a query's blocks are merged. A block of vectors lies in
+one of several slots, whose number grows with the data, and meets its query groups there: the
+queries are sent to every slot, so that a group is not one task's work.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,10 +23,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import pieces
 from tidemark.session import stored
 
 #: Pivots, and rows in a block of queries or of data.
 PIVOTS, BLOCK = 32, 2048
+#: Blocks of data in a slot, if that does not send more queries than vectors.
+SLOT_BLOCKS = 16
 
 
 def quantized(vector: Column, scale: int = 256) -> Column:
@@ -45,8 +51,13 @@ def _matrix(column: pa.Array, width: int) -> np.ndarray:
 
 
 def _product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Exact integer products: in doubles as long as every partial sum fits, else in integers."""
-    if a.size and b.size and float(np.abs(a).max()) * float(np.abs(b).max()) * a.shape[1] < 2**53:
+    """Exact integer products: in doubles as long as every partial sum fits, else in integers. Sums
+    that might not fit 64 bits are an error."""
+    largest = [max(-int(x.min()), int(x.max())) if x.size else 0 for x in (a, b)]
+    bound = largest[0] * largest[1] * a.shape[1]
+    if bound >= 2**63:
+        raise ValueError("inner products of these vectors may not fit 64 bits")
+    if bound < 2**53:
         return (a.astype(np.float64) @ b.astype(np.float64).T).astype(np.int64)
     return a @ b.T
 
@@ -77,7 +88,9 @@ def exact_top_k(queries: DataFrame, data: DataFrame, id_column: str, vector: str
 
     ``vector`` holds whole numbers (see ``quantized``); rows where it is null take no part. Vectors
     of different lengths are compared as if filled up with zeros. Ids name rows: a row whose id is
-    null takes no part, and rows that share an id are one candidate each.
+    null takes no part, and rows that share an id are one candidate each. The largest components of
+    both sides times each other and the length must stay below 2**63, so that scores are exact longs;
+    other vectors are an error.
     """
     spark = data.sparkSession
     kind = lambda df: df.where(F.col(vector).isNotNull() & F.col(id_column).isNotNull()).select(F.col(id_column).cast("long").alias("id"), F.col(vector).cast("array<long>").alias("v"))
@@ -111,6 +124,8 @@ def exact_top_k(queries: DataFrame, data: DataFrame, id_column: str, vector: str
     nearest = Window.partitionBy("cell").orderBy("far", "id")
     # One more than k, as the query itself may be among them.
     near = located.select("cell", "far", "id").withColumn("n", F.row_number().over(nearest)).where(F.col("n") <= k + 1).select("cell", "far").collect()
+    n_points, n_asked = located.count(), asked.count()
+    slots = max(1, min(pieces(n_points, SLOT_BLOCKS * block), len(chosen) * n_points // max(1, n_asked)))
     needed = _bounds(centers, reach, np.array([r.cell for r in near], int), np.array([r.far for r in near]), k)
 
     def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -121,9 +136,15 @@ def exact_top_k(queries: DataFrame, data: DataFrame, id_column: str, vector: str
             for group, least in needed.items():
                 own = np.flatnonzero(far >= least[cell])
                 parts = [own[i : i + block] for i in range(0, len(own), block)]
+                slot = [zlib.crc32(ids[p].tobytes()) % slots for p in parts]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([group] * len(parts), pa.int32()), pa.array([len(p) for p in parts], pa.int32()), pa.array([_packed(ids[p], v[p]) for p in parts], pa.binary())],
-                    names=["group", "rows", "body"],
+                    [
+                        pa.array([group] * len(parts), pa.int32()),
+                        pa.array(slot, pa.int32()),
+                        pa.array([len(p) for p in parts], pa.int32()),
+                        pa.array([_packed(ids[p], v[p]) for p in parts], pa.binary()),
+                    ],
+                    names=["group", "slot", "rows", "body"],
                 )
 
     def asked_in_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -150,9 +171,12 @@ def exact_top_k(queries: DataFrame, data: DataFrame, id_column: str, vector: str
                 best = _best(*(np.concatenate(x) for x in zip(*found, strict=True)), k)
                 yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in best], names=["query_id", "vec_id", "score"])
 
-    blocks = located.mapInArrow(dealt, "group int, rows int, body binary")
-    asking = asked.repartition("cell").mapInArrow(asked_in_blocks, "group int, q_rows int, q_body binary")
-    local = blocks.join(asking, "group").select("rows", "body", "q_rows", "q_body").mapInArrow(solved, "query_id long, vec_id long, score long")
+    blocks = located.mapInArrow(dealt, "group int, slot int, rows int, body binary")
+    # Queries of a cell are gathered for full blocks; a frequent cell by several tasks.
+    gathered = asked.repartition("cell", F.pmod(F.xxhash64("id"), F.lit(pieces(n_asked, 8 * block))))
+    asking = gathered.mapInArrow(asked_in_blocks, "group int, q_rows int, q_body binary")
+    asking = asking.withColumn("slot", F.explode(F.sequence(F.lit(0), F.lit(slots - 1))))
+    local = blocks.join(asking, ["group", "slot"]).select("rows", "body", "q_rows", "q_body").mapInArrow(solved, "query_id long, vec_id long, score long")
     ranked = local.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")))
     return ranked.where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
