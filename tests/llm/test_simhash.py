@@ -40,9 +40,8 @@ def planted(rng, n):
 def test_star_links_in_a_long_list_are_those_of_a_short_one(monkeypatch):
     rng = random.Random(2)
     base = rng.getrandbits(64) & ~0xFFFFFF
-    values = np.unique(np.array([base | rng.getrandbits(24) for _ in range(600)] + [base ^ (1 << rng.randrange(40)) for _ in range(30)], dtype=np.uint64))
-    held = tuple(p for p in range(3))
-    values = values[(values >> np.uint64(40)) == (values[0] >> np.uint64(40))]
+    values = np.unique(np.array([base | rng.getrandbits(24) for _ in range(600)] + [base ^ (1 << rng.randrange(24)) for _ in range(30)], dtype=np.uint64))
+    held = tuple(p for p in range(5))
     plain = S._direct(values, 3)
     monkeypatch.setattr(S, "DIRECT", 50)
     src, dst = S.star_links(values, held, 3)
@@ -64,6 +63,49 @@ def test_groups_against_all_pairs(spark):
     assert got == {row: ids[group] for row, group in zip(rows, label, strict=True)}
 
 
+def test_frequent_keys_become_lists_by_more_bytes(spark, monkeypatch):
+    rng = random.Random(8)
+    base = rng.getrandbits(64)
+    values = [base ^ rng.getrandbits(40) for _ in range(150)] + [base ^ rng.getrandbits(14) for _ in range(80)]
+    for v in values[:60] + [rng.getrandbits(64) for _ in range(40)]:
+        for b in rng.sample(range(64), rng.randint(0, 4)):
+            v ^= 1 << b
+        values.append(v)
+    values = sorted(set(values))
+    rows = [(i, v - (1 << 64) if v >> 63 else v) for i, v in enumerate(values)]
+    monkeypatch.setattr(S, "DIRECT", 20)
+    for distance, posting_bytes in [(3, 3), (3, 5), (2, 3)]:
+        prints = spark.createDataFrame(rows, "doc_id long, fingerprint long")
+        got = {r.doc_id: r.component_id for r in S.near_duplicates(prints, distance=distance, posting_bytes=posting_bytes).collect()}
+        assert [got[i] for i in range(len(values))] == linked(values, distance), (distance, posting_bytes)
+
+
+def test_one_list_of_many_fingerprints_is_split(spark):
+    """100,000 fingerprints that share three bytes: no list that is compared has a tenth of them."""
+    rng = np.random.default_rng(9)
+    values = np.unique((np.uint64(0xABCDEF) << np.uint64(40)) | rng.integers(0, 1 << 40, 100_000, dtype=np.uint64))
+    distinct = spark.createDataFrame([(int(v),) for v in (values.view(np.int64))], "fingerprint long")
+    sizes = []
+    monkey = S._starred
+
+    def watched(posted, sets, distance):
+        sizes.append(posted.groupBy("key").count().agg({"count": "max"}).first()[0] or 0)
+        return monkey(posted, sets, distance)
+
+    S._starred = watched
+    try:
+        found = {(r.src, r.dst) for r in S.links(distinct).collect()}
+    finally:
+        S._starred = monkey
+    assert len(sizes) == 2 and max(sizes) < len(values) / 10
+    assert all(0 < (a ^ b).bit_count() for a, b in found)
+
+
+def test_near_duplicates_of_an_empty_table(spark):
+    empty = spark.createDataFrame([], "doc_id long, fingerprint long")
+    assert S.near_duplicates(empty).collect() == [] and S.links(empty.select("fingerprint")).collect() == []
+
+
 def test_long_chain_of_links(spark):
     rng = random.Random(4)
     names = rng.sample(range(10_000), 300)

@@ -4,7 +4,8 @@ Two fingerprints of 64 bits that differ in at most ``d`` bits share at least ``8
 eight bytes in place. Fingerprints are indexed under sets of positional bytes chosen so that any
 ``8 - d`` shared bytes hold one of the sets; those that meet in a posting list have their shared
 bytes tallied, pairs that reach the guaranteed number are verified bit by bit, and of each list
-only a star per linked group leaves the task, never its pairs.
+only a star per linked group leaves the task, never its pairs. Keys are counted first: the members of
+a frequent key are indexed under all ``8 - d`` bytes that hold it, as lists of their own.
 """
 
 from __future__ import annotations
@@ -24,8 +25,8 @@ from tidemark.session import stored
 
 #: Fixed value: the seed of the shingle digests.
 SEED = 42
-#: Lists up to this length are compared all against all inside their task; longer ones are split
-#: by further bytes and, if that does not help, probed bit pattern by bit pattern. Both are exact.
+#: Lists up to this length are compared all against all inside their task; a longer one, whose
+#: fingerprints then share ``8 - d`` bytes, is probed bit pattern by bit pattern. Both are exact.
 DIRECT = 2048
 
 
@@ -136,54 +137,26 @@ def _probed(values: np.ndarray, free: list[int], distance: int) -> np.ndarray:
     return labels
 
 
-def _sublists(values: np.ndarray, positions: tuple[int, ...]) -> Iterator[np.ndarray]:
-    keys = values & np.uint64(_masked(positions))
-    order = np.argsort(keys, kind="stable")
-    cuts = np.flatnonzero(np.diff(keys[order])) + 1
-    return (x for x in np.split(order, cuts) if len(x) > 1)
-
-
 def star_links(values: np.ndarray, held: tuple[int, ...], distance: int) -> tuple[np.ndarray, np.ndarray]:
     """Links that join each group of a posting list: (fingerprint, smallest of its group).
 
     ``values``: distinct fingerprints, sorted, that share the bytes at ``held``.
     """
-    if len(values) <= DIRECT:
-        labels = _direct(values, distance)
-    else:
-        labels = np.arange(len(values))
-        rest = [p for p in range(8) if p not in held]
-        stars = []
-        for more in combinations(rest, max(0, 8 - distance - len(held))):
-            for own in _sublists(values, more):
-                part = values[own]
-                free = [8 * (7 - p) + i for p in rest if p not in more for i in range(8)]
-                local = _direct(part, distance) if len(own) <= DIRECT else _probed(part, free, distance)
-                stars.append((own, own[local]))
-        while _spread(labels, iter(stars)):
-            pass
+    free = [8 * (7 - p) + i for p in range(8) if p not in held for i in range(8)]
+    labels = _direct(values, distance) if len(values) <= DIRECT else _probed(values, free, distance)
     linked = np.flatnonzero(labels != np.arange(len(values)))
     return values[linked], values[labels[linked]]
 
 
-def links(distinct: DataFrame, distance: int = 3, posting_bytes: int = 3) -> DataFrame:
-    """Links ``(src, dst)`` that connect all fingerprints within ``distance`` bits of each other.
-
-    ``distinct`` holds each fingerprint once. ``posting_bytes``: the length of an index key; with
-    more bytes the lists are shorter and there are more of them.
-    """
-    if not 0 <= distance <= 7:
-        raise ValueError("beyond 7 bits no byte needs to be shared")
-    size = min(posting_bytes, 8 - distance)
-    sets = posting_sets(8 - distance, size)
+def _posted(prints: DataFrame, sets: list[tuple[int, ...]]) -> DataFrame:
+    """``fingerprint, key``: a row for each of ``sets``, the key being its number and its bytes."""
     keys = [F.struct(F.lit(n).alias("set"), F.col("fingerprint").bitwiseAND(F.lit(_signed(_masked(s)))).alias("bytes")) for n, s in enumerate(sets)]
-    lists = (
-        distinct.select("fingerprint", F.explode(F.array(*keys)).alias("key"))
-        .groupBy("key")
-        .agg(F.collect_list("fingerprint").alias("members"))
-        .where(F.size("members") > 1)
-        .select(F.col("key.set").alias("set"), "members")
-    )
+    return prints.select("fingerprint", F.explode(F.array(*keys)).alias("key"))
+
+
+def _starred(posted: DataFrame, sets: list[tuple[int, ...]], distance: int) -> DataFrame:
+    """The links of all posting lists."""
+    lists = posted.groupBy("key").agg(F.collect_list("fingerprint").alias("members")).where(F.size("members") > 1).select(F.col("key.set").alias("set"), "members")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -195,7 +168,41 @@ def links(distinct: DataFrame, distance: int = 3, posting_bytes: int = 3) -> Dat
                 dst.append(b.view(np.int64))
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x) if x else np.zeros(0, np.int64)) for x in (src, dst)], names=["src", "dst"])
 
-    return lists.mapInArrow(run, "src long, dst long").distinct()
+    return lists.mapInArrow(run, "src long, dst long")
+
+
+def links(distinct: DataFrame, distance: int = 3, posting_bytes: int = 3) -> DataFrame:
+    """Links ``(src, dst)`` that connect all fingerprints within ``distance`` bits of each other.
+
+    ``distinct`` holds each fingerprint once. ``posting_bytes``: the length of an index key; with
+    more bytes the lists are shorter and there are more of them. A key that more than
+    ``DIRECT`` fingerprints have gets lists by all bytes that must be shared instead. Null
+    fingerprints are linked to none.
+    """
+    if not 0 <= distance <= 7:
+        raise ValueError("beyond 7 bits no byte needs to be shared")
+    shared = 8 - distance
+    size = min(posting_bytes, shared)
+    sets, wide = posting_sets(shared, size), list(combinations(range(8), shared))
+    if size == shared:
+        return _starred(_posted(distinct, wide), wide, distance).distinct()
+    posted = _posted(distinct, sets)
+    frequent = stored(posted.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > DIRECT).select("key"), "frequent")
+    # Fingerprints that share the bytes of a wide set also share those of any set in it, so a list of
+    # a wide set is whole whichever of its sets is frequent.
+    within = [[n for n, w in enumerate(wide) if set(s) <= set(w)] for s in sets]
+    wider = F.array(*[F.array(*[F.lit(n) for n in own]) for own in within])
+    kinds = (
+        posted.join(frequent, "key")
+        .select("fingerprint", F.explode(wider[F.col("key.set")]).alias("set"))
+        .groupBy("fingerprint")
+        .agg(F.collect_set("set").alias("own"))
+    )
+    kept = F.array(*[F.lit(_signed(_masked(w))) for w in wide])
+    single = kinds.select("fingerprint", F.explode("own").alias("set"))
+    split = single.select("fingerprint", F.struct("set", F.col("fingerprint").bitwiseAND(kept[F.col("set")]).alias("bytes")).alias("key"))
+    short = _starred(posted.join(frequent, "key", "left_anti"), sets, distance)
+    return short.unionAll(_starred(split, wide, distance)).distinct()
 
 
 def _signed(value: int) -> int:
