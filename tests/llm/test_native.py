@@ -167,10 +167,11 @@ def contamination_rows(seed):
     return docs, items
 
 
-@pytest.mark.parametrize("blocks", [False, True])
-def test_contamination(spark, monkeypatch, blocks):
-    if blocks:
-        monkeypatch.setattr(decontamination, "BLOCK_BYTES", 2_000)
+@pytest.mark.parametrize("blocks, size", [(8, 4 << 20), (1000, 2_000), (0, 2_000)])
+def test_contamination(spark, monkeypatch, blocks, size):
+    """In one block, in many, and shuffled."""
+    monkeypatch.setattr(decontamination, "BLOCKS", blocks)
+    monkeypatch.setattr(decontamination, "BLOCK_BYTES", size)
     rows, items = contamination_rows(3)
     docs = spark.createDataFrame([(k, t, "x") for k, t in rows], "doc_id long, text string, items string")
     bench = spark.createDataFrame(items, "item_id long, text string")
@@ -178,12 +179,25 @@ def test_contamination(spark, monkeypatch, blocks):
     shown = [(r.doc_id, r.n_words, r.n_hit, list(r["items"]), r.contaminated) for r in got.collect()]
     want = [(k, n, h, [x for x in i if x != "None"], c) for k, n, h, i, c in contaminated(rows, items, 4)]
     assert sorted(shown, key=str) == sorted(want, key=str)
-    if not blocks:
+    if blocks != 1000:
         clean = decontamination.clean_documents(docs, bench, length=4)
         assert clean.columns == docs.columns
         assert sorted(str(r.doc_id) for r in clean.collect()) == sorted(str(w[0]) for w in want if not w[4])
 
 
+def test_items_of_a_shared_window_are_listed_once(spark):
+    """A template window that all items have and all documents hold: a set, not documents x items."""
+    shared = "all items begin with these very same ten words here"
+    bench = spark.createDataFrame([(i, f"{shared} and then item{i} goes on") for i in range(300)], "item_id long, text string")
+    docs = spark.createDataFrame([(i, f"doc{i} says {shared} .") for i in range(200)] + [(None, shared), (999, f"x{shared}")], "doc_id long, text string")
+    windows, links = decontamination.item_windows(bench, "item_id", "text", 10)
+    assert windows.where(F.array_join("words", " ") == shared).count() == 1 and windows.select("number").distinct().count() == windows.count()
+    assert links.groupBy("number").count().agg({"count": "max"}).first()[0] == 300
+    got = decontamination.contamination(docs, bench, length=10).collect()
+    names = sorted(str(i) for i in range(300))
+    assert all((list(r["items"]) == names) == r.contaminated == (r.doc_id != 999) for r in got) and len(got) == 202
+
+
 def test_contamination_of_empty_tables(spark):
     docs = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
     bench = spark.createDataFrame([(1, "a")], "item_id long, text string")

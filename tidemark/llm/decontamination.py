@@ -5,12 +5,15 @@ ordered by how rare they are in the corpus; as all of them must be found, a pref
 rarest, is necessary. Documents are joined on that word alone, the place of the word in the window
 fixes where the window must lie, length and position bounds drop what does not fit, and the
 survivors are verified word by word.
+
+Windows go by numbers: what a document is hit by is a set of numbers, and the items behind a set are
+listed once, however many documents have it. A small benchmark is broadcast in a few blocks, each read
+against the documents where they are; the windows of a larger one meet, in one pass and by a shuffle on
+the rare word, the words around those document words that a fixed table of bits lets through.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -21,8 +24,11 @@ from tidemark.session import stored
 #: ASCII; here for texts in any case, what lies between words.
 BETWEEN = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
-#: Windows are sent to the tasks in blocks of at most this many bytes.
-BLOCK_BYTES = 4 << 20
+#: Windows are sent to the tasks in blocks of at most about this many bytes, if there are at most so
+#: many blocks; else they are shuffled.
+BLOCK_BYTES, BLOCKS = 4 << 20, 8
+#: Bits of the table of rare words, which is broadcast as 64 of them a row.
+TABLE_BITS = 1 << 24
 
 
 def word_list(text: Column) -> Column:
@@ -34,24 +40,27 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def item_windows(items: DataFrame, item_id: str, text: str, length: int) -> DataFrame:
-    """``words, items``: the distinct windows and the items that have them. An item of fewer words
-    is one window; one without words has none."""
+def item_windows(items: DataFrame, item_id: str, text: str, length: int) -> tuple[DataFrame, DataFrame]:
+    """``number, words``: the distinct windows, and ``number, item``: which items have them. An item
+    of fewer words is one window; one without words has none. A null item is not listed."""
     words = F.filter(word_list(ascii_lower(F.col(text))), lambda w: w != "")
     own = items.select(F.col(item_id).cast("string").alias("item"), words.alias("all")).where(F.size("all") > 0)
     starts = F.sequence(F.lit(1), F.greatest(F.lit(1), F.size("all") - length + 1))
-    windows = own.select("item", F.explode(F.transform(starts, lambda i: F.slice("all", i, length))).alias("words"))
-    return windows.groupBy("words").agg(F.collect_set("item").alias("items"))
+    held = stored(own.select("item", F.explode(F.transform(starts, lambda i: F.slice("all", i, length))).alias("words")).distinct(), "item_windows")
+    windows = stored(held.select("words").distinct().select(F.monotonically_increasing_id().alias("number"), "words"), "windows")
+    return windows, held.where(F.col("item").isNotNull()).join(windows, "words").select("number", "item")
 
 
-def in_blocks(rows: DataFrame, size: Column, by: str) -> Iterator[DataFrame]:
-    """``rows`` in parts of at most about ``BLOCK_BYTES`` by a column's digest, to be broadcast."""
+def in_blocks(rows: DataFrame, size: Column, by: str) -> list[DataFrame]:
+    """``rows`` in parts of at most about ``BLOCK_BYTES`` by a column's digest, to be broadcast; none
+    if that takes more than ``BLOCKS`` parts."""
     blocks = pieces(rows.agg(F.sum(size)).first()[0] or 0, BLOCK_BYTES)
-    for k in range(blocks):
-        yield rows.where(F.pmod(F.xxhash64(by), F.lit(blocks)) == k)
+    if blocks > BLOCKS:
+        return []
+    return [rows.where(F.pmod(F.xxhash64(by), F.lit(blocks)) == k) for k in range(blocks)]
 
 
-def _union(frames: Iterator[DataFrame]) -> DataFrame:
+def _union(frames: list[DataFrame]) -> DataFrame:
     first, *others = frames
     for frame in others:
         first = first.unionAll(frame)
@@ -59,46 +68,67 @@ def _union(frames: Iterator[DataFrame]) -> DataFrame:
 
 
 def rarest_words(windows: DataFrame, docs: DataFrame, text: str) -> DataFrame:
-    """Each window with ``rare``, its word that the corpus has least often (ties: the first in code
+    """``number, words`` with ``rare``, its word that the corpus has least often (ties: the first in code
     point order), and ``offset``, its first place in the window; counts are over all documents."""
     vocabulary = stored(windows.select(F.explode("words").alias("word")).distinct(), "vocabulary")
     tokens = docs.select(F.explode_outer(word_list(F.col(text))).alias("raw")).select(F.lower("raw").alias("raw"))
     held = vocabulary.withColumn("key", F.lower("word"))
-    counted = _union(
-        tokens.join(F.broadcast(block), F.col("raw") == F.col("key")).groupBy("word").agg(F.count("*").alias("n"))
-        for block in in_blocks(held, 2 * F.octet_length("word") + 16, "word")
-    )
+    blocks = in_blocks(held, 2 * F.octet_length("word") + 16, "word")
+    if blocks:
+        counted = _union([tokens.join(F.broadcast(block), F.col("raw") == F.col("key")).groupBy("word").agg(F.count("*").alias("n")) for block in blocks])
+    else:
+        counted = tokens.groupBy("raw").agg(F.count("*").alias("n")).join(held, F.col("raw") == F.col("key")).select("word", "n")
     counts = stored(counted, "counts")
-    listed = windows.withColumn("number", F.monotonically_increasing_id())
-    listed = stored(listed, "windows")
     ranked = (
-        listed.select("number", F.explode("words").alias("word"))
+        windows.select("number", F.explode("words").alias("word"))
         .join(counts, "word", "left")
         .groupBy("number")
         .agg(F.min(F.struct(F.coalesce("n", F.lit(0)), "word")).alias("least"))
     )
-    rare = listed.join(ranked, "number").withColumn("rare", F.col("least.word"))
-    return stored(rare.select("words", "items", "rare", F.array_position("words", F.col("rare")).alias("offset")), "windows")
+    rare = windows.join(ranked, "number").withColumn("rare", F.col("least.word"))
+    return stored(rare.select("number", "words", "rare", F.array_position("words", F.col("rare")).alias("offset")), "windows")
 
 
-def occurrences(docs: DataFrame, windows: DataFrame, key: list[str], text: str) -> DataFrame:
-    """``key, start, length, items`` for every place where a window occurs; places count from 1 in
-    the entries of ``word_list``."""
+def occurrences(docs: DataFrame, windows: DataFrame, key: list[str], text: str, length: int) -> DataFrame:
+    """``key, start, length, number`` for every place where a window, of at most ``length`` words,
+    occurs; places count from 1 in the entries of ``word_list``."""
     parted = docs.select(*key, word_list(F.col(text)).alias("_all"))
     tokens = parted.select(*key, "_all", F.posexplode_outer("_all").alias("_at", "_raw"))
+    lookup = windows.select(F.lower("rare").alias("rare"), "offset", F.size("words").alias("length"), F.array_join("words", " ").alias("phrase"), "number")
     start = F.col("_at") + 2 - F.col("offset")
+    fits = (start >= 1) & (start + F.col("length") - 1 <= F.col("_size"))
     # Words hold no space, so that phrases are equal if and only if their words are. Only functions
     # with generated code: explode and join then run as one loop that never copies a word list.
-    here = ascii_lower(F.array_join(F.slice("_all", start, F.col("length")), " "))
-
-    def met(block: DataFrame) -> DataFrame:
-        lookup = block.select(F.lower("rare").alias("rare"), "offset", F.size("words").alias("length"), F.array_join("words", " ").alias("phrase"), "items")
-        joined = tokens.join(F.broadcast(lookup), F.lower("_raw") == F.col("rare"))
-        bounded = joined.where((start >= 1) & (start + F.col("length") - 1 <= F.size("_all")) & (here == F.col("phrase")))
-        return bounded.select(*key, start.alias("start"), "length", "items")
-
-    weight = F.octet_length(F.array_join("words", " ")) + 16 * F.size("words") + 40 * F.size("items") + 64
-    return _union(met(block) for block in in_blocks(windows, weight, "rare"))
+    same = lambda words, at: ascii_lower(F.array_join(F.slice(words, at, F.col("length")), " ")) == F.col("phrase")
+    found = [*key, start.alias("start"), "length", "number"]
+    blocks = in_blocks(lookup, 2 * F.octet_length("phrase") + 128, "number")
+    if blocks:
+        met = [tokens.join(F.broadcast(block), F.lower("_raw") == F.col("rare")) for block in blocks]
+        return _union([m.withColumn("_size", F.size("_all")).where(fits & same("_all", start)).select(*found) for m in met])
+    low = F.greatest(F.lit(1), F.col("_at") + 2 - length)
+    around = F.slice("_all", low, F.col("_at") + 1 - low + length)
+    places = _let_through(tokens, windows.select(F.lower("rare").alias("rare")))
+    met = places.select(*key, "_at", F.size("_all").alias("_size"), F.lower("_raw").alias("rare"), low.alias("_low"), around.alias("_around")).join(lookup, "rare")
+    return met.where(fits).where(same("_around", start - F.col("_low") + 1)).select(*found)
+
+
+def _let_through(tokens: DataFrame, rare: DataFrame) -> DataFrame:
+    """The rows of ``tokens`` whose word may be one of ``rare``, by a table of bits whose size does
+    not depend on them."""
+    place = lambda word: F.pmod(F.xxhash64(word), F.lit(TABLE_BITS))
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), place(F.col("rare")).bitwiseAND(F.lit(63)).cast("int"))
+    table = rare.groupBy(F.shiftright(place(F.col("rare")), 6).alias("_slot")).agg(F.bit_or(bit).alias("_bits"))
+    own = place(F.lower("_raw"))
+    met = tokens.join(F.broadcast(table), F.shiftright(own, 6) == F.col("_slot"))
+    return met.where(F.call_function("shiftright", F.col("_bits"), own.bitwiseAND(F.lit(63)).cast("int")).bitwiseAND(F.lit(1)) == 1)
+
+
+def _found(docs: DataFrame, items: DataFrame, length: int, id_column: str, text: str, item_id: str, item_text: str) -> tuple[DataFrame, DataFrame]:
+    """The stored occurrences in ``docs``, by id and digest of the text, and ``number, item``."""
+    numbered, links = item_windows(items, item_id, item_text, length)
+    windows = rarest_words(numbered, docs, text)
+    rows = docs.select(F.col(id_column).alias("id"), F.xxhash64(F.col(text)).alias("digest"), F.col(text).alias("_body"))
+    return stored(occurrences(rows, windows, ["id", "digest"], "_body", length), "occurrences"), links
 
 
 def contamination(
@@ -111,18 +141,23 @@ def contamination(
     an item without words no windows; a null item id counts as hit words but is not listed. Rows
     that are equal in id and text get equal results. Other columns are not read.
     """
-    windows = rarest_words(stored(item_windows(items, item_id, item_text, length), "windows"), docs, text)
-    rows = docs.select(F.col(id_column), F.xxhash64(F.col(text)).alias("text_digest"), F.col(text).alias("_body"))
-    key = [id_column, "text_digest"]
-    found = stored(occurrences(rows, windows, key, "_body"), "occurrences")
+    found, links = _found(docs, items, length, id_column, text, item_id, item_text)
+    key = ["id", "digest"]
     places = found.select(*key, F.explode(F.sequence(F.col("start"), F.col("start") + F.col("length") - 1)).alias("place"))
     hits = places.distinct().groupBy(*key).agg(F.count("*").alias("n_hit"))
-    listed = found.select(*key, F.explode("items").alias("item")).distinct().groupBy(*key).agg(F.array_sort(F.collect_list("item")).alias("items"))
-    judged = hits.alias("h").join(listed.alias("l"), _same("h", "l", key), "left").select(*[F.col(f"h.{k}").alias(f"_{k}") for k in key], "n_hit", "items")
-    counted = rows.select(*key, word_count(F.col("_body")).alias("n_words"))
-    joined = counted.join(judged, F.col(id_column).eqNullSafe(F.col(f"_{id_column}")) & (F.col("text_digest") == F.col("_text_digest")), "left")
-    return joined.select(
-        *key,
+    numbers = found.select(*key, "number").distinct().groupBy(*key).agg(F.array_sort(F.collect_list("number")).alias("numbers"))
+    sets = stored(numbers.select(*key, F.sha2(F.array_join("numbers", ","), 256).alias("set"), "numbers"), "sets")
+    members = sets.groupBy("set").agg(F.first("numbers").alias("numbers")).select("set", F.explode("numbers").alias("number"))
+    listed = members.join(links, "number").select("set", "item").distinct().groupBy("set").agg(F.array_sort(F.collect_list("item")).alias("items"))
+    both = F.col("h.id").eqNullSafe(F.col("s.id")) & (F.col("h.digest") == F.col("s.digest"))
+    judged = hits.alias("h").join(sets.alias("s"), both).select(F.col("h.id").alias("_id"), F.col("h.digest").alias("_digest"), "n_hit", "set")
+    counted = docs.select(F.col(id_column).alias("id"), F.xxhash64(F.col(text)).alias("digest"), word_count(F.col(text)).alias("n_words"))
+    met = counted.join(judged, F.col("id").eqNullSafe(F.col("_id")) & (F.col("digest") == F.col("_digest")), "left")
+    # A clean document's set is a name of its own, so that these do not meet in one task.
+    named = met.withColumn("set", F.coalesce("set", F.col("digest").cast("string")))
+    return named.join(listed, "set", "left").select(
+        F.col("id").alias(id_column),
+        F.col("digest").alias("text_digest"),
         "n_words",
         F.coalesce("n_hit", F.lit(0)).alias("n_hit"),
         F.coalesce("items", F.array().cast("array<string>")).alias("items"),
@@ -130,16 +165,9 @@ def contamination(
     )
 
 
-def _same(a: str, b: str, key: list[str]) -> Column:
-    same = F.lit(True)
-    for k in key:
-        same = same & F.col(f"{a}.{k}").eqNullSafe(F.col(f"{b}.{k}"))
-    return same
-
-
 def clean_documents(docs: DataFrame, items: DataFrame, length: int = 10, id_column: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs`` in which no window of an item occurs, with all their columns."""
-    found = contamination(docs, items, length, id_column, text).where("contaminated")
-    hit = stored(found.select(F.col(id_column).alias("_id"), F.col("text_digest").alias("_digest")).distinct(), "contaminated")
+    found, _ = _found(docs, items, length, id_column, text, "item_id", "text")
+    hit = stored(found.select(F.col("id").alias("_id"), F.col("digest").alias("_digest")).distinct(), "contaminated")
     rows = docs.select(whole_row(docs), F.col(id_column).alias("id"), F.xxhash64(F.col(text)).alias("digest"))
     return rows.join(hit, F.col("id").eqNullSafe(F.col("_id")) & (F.col("digest") == F.col("_digest")), "left_anti").select("row.*")
