@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import math
 import random
+import unicodedata
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -88,9 +91,12 @@ GERMAN = "der schnelle braune fuchs springt über den faulen hund und geht danac
 RUSSIAN = "быстрая коричневая лиса прыгает через ленивую собаку и потом идёт домой спать".split()
 
 
-def test_viterbi_against_all_paths():
+@pytest.mark.parametrize("block", [1, 2, 1024])
+def test_viterbi_against_all_paths(monkeypatch, block):
     from itertools import product
 
+    monkeypatch.setattr(language, "BLOCK", block)
+    monkeypatch.setattr(language, "CELLS", 10)
     rng = np.random.default_rng(3)
     counts = np.array([0, 3, 1, 5, 0, 4])
     begin = np.cumsum(counts) - counts
@@ -139,9 +145,83 @@ def test_the_result_does_not_depend_on_grouping(model, monkeypatch):
     rng = random.Random(2)
     texts = [" ".join(rng.choices(ENGLISH + GERMAN, k=rng.randint(0, 60))) for _ in range(50)]
     label, size, owner = language.label_texts(texts, model)
+    whole = language.label_texts([" ".join(texts)], model)
     monkeypatch.setattr(language, "PIECE", 100)
+    monkeypatch.setattr(language, "GROUP", 700)
+    monkeypatch.setattr(language, "BLOCK", 7)
     for a, b in zip(language.label_texts(texts, model), (label, size, owner), strict=True):
         assert a.tolist() == b.tolist()
+    for a, b in zip(language.label_texts([" ".join(texts)], model), whole, strict=True):
+        assert a.tolist() == b.tolist()
+
+
+def test_a_long_text_keeps_its_spans(model):
+    """The two halves of 400,000 words, whose summed scores are far beyond the penalty."""
+    label, _, _ = language.label_texts([(" ".join(ENGLISH) + " ") * 12_000 + (" ".join(RUSSIAN) + " ") * 12_000 + " ".join(GERMAN)], model)
+    at = np.flatnonzero(np.diff(label)) + 1
+    assert at.tolist() == [12_000 * len(ENGLISH), 12_000 * len(ENGLISH + RUSSIAN)]
+    assert [model.languages[k] for k in label[[0, at[0], at[1]]]] == ["en", "ru", "de"]
+
+
+def plain_words(text):
+    """Words as lists of letters and marks with the characters before and after, and their script."""
+    words, word = [], []
+    for c in text.lower() + " ":
+        if unicodedata.category(c)[0] in "LM":
+            word.append(ord(c))
+        elif word:
+            if any(unicodedata.category(chr(x))[0] == "L" for x in word):
+                words.append(word)
+            word = []
+    return words
+
+
+def plain_bucket(a, b, c):
+    h = (a * 0x9E3779B97F4A7C15 ^ b * 0xC2B2AE3D27D4EB4F ^ c * 0x165667B19E3779F9) % 2**64
+    h = (h ^ h >> 31) * 0xBF58476D1CE4E5B9 % 2**64
+    return h >> 48
+
+
+def plain_buckets(word):
+    return [plain_bucket(a, b, c) for a, b, c in zip([0, *word], word, [*word[1:], 0], strict=False)]
+
+
+def plain_script(word):
+    return max((language.NAMES.index(n) + 1 for n, a, b in language.SCRIPTS if a <= word[0] <= b), default=0)
+
+
+def test_the_whole_query_against_a_plain_version(spark, small):
+    """Counts, scores and the best path, one word at a time."""
+    docs = spark.read.parquet(f"{small}/documents.parquet").select("doc_id", "text", "lang").collect()
+    learned = [r for r in docs if r.text is not None and r.lang is not None and crc(str(r.doc_id)) % 4 != 2]
+    names = sorted({r.lang for r in learned})
+    assert max(Counter(r.lang for r in learned).values()) <= language.SAMPLE
+    counts, scripts = {n: Counter() for n in names}, {n: Counter() for n in names}
+    for r in learned:
+        for word in plain_words(r.text):
+            counts[r.lang].update(plain_buckets(word))
+            scripts[r.lang][plain_script(word)] += sum(unicodedata.category(chr(x))[0] == "L" for x in word)
+    total = {n: sum(counts[n].values()) + language.SMOOTHING * language.BUCKETS for n in names}
+    possible = {s: [n for n in names if scripts[n][s] >= language.LEAST_SHARE * max(1, sum(scripts[n].values()))] or names for s in range(len(language.NAMES) + 1)}
+    got = {r.doc_id: r for r in QUERIES["op4_language_id"](spark, small).collect()}
+    assert len(got) == len(docs)
+    for r in docs:
+        words, value, back = plain_words(r.text or ""), dict.fromkeys(names, 0.0), []
+        for word in words:
+            best = max(names, key=value.get)
+            step = {n: n if value[n] >= value[best] - language.SWITCH else best for n in names}
+            fits = possible[plain_script(word)]
+            score = {n: sum(math.log((counts[n][b] + language.SMOOTHING) / total[n]) for b in plain_buckets(word)) - (0 if n in fits else 1e4) for n in names}
+            value = {n: max(value[n], value[best] - language.SWITCH) + score[n] for n in names}
+            back.append(step)
+        letters, label = Counter(), max(names, key=value.get)
+        for word, step in zip(words[::-1], back[::-1], strict=True):
+            letters[label] += sum(unicodedata.category(chr(x))[0] == "L" for x in word)
+            label = step[label]
+        lang = max(names, key=lambda n: letters[n]) if words else "und"
+        row = got[r.doc_id]
+        assert (row.held_out, row.lang_pred) == (crc(str(r.doc_id)) % 4 == 2, lang)
+        assert abs(row.score - (letters[lang] / sum(letters.values()) if words else 0.0)) < 1e-9
 
 
 def test_held_out_accuracy(spark, small):

@@ -8,6 +8,7 @@ penalty for each switch of language, is largest. Runs of one label are the text'
 
 from __future__ import annotations
 
+import re
 import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -36,8 +37,11 @@ SAMPLE = 1000
 BUCKETS, SMOOTHING, SWITCH = 1 << 16, 0.05, 15.0
 #: A language is possible in a script that holds at least this share of its letters.
 LEAST_SHARE = 0.01
-#: Characters looked at together, and characters of texts that are labelled together.
-PIECE, GROUP = 1 << 20, 12 << 20
+#: Characters looked at together, characters of texts that are labelled together, words of a block,
+#: and values of ways through blocks that are held together.
+PIECE, GROUP, BLOCK, CELLS = 1 << 20, 12 << 20, 1024, 1 << 22
+#: Where a long text may be cut: white space and marks that end a sentence without it.
+GAP = re.compile(r"[\s。，、！？]")
 UNKNOWN = "und"
 
 
@@ -125,7 +129,7 @@ def fit(labelled: DataFrame, lang: str = "lang", text: str = "text", id_column:
             langs = np.array(batch.column(0).to_pylist())
             bodies = batch.column(1).to_pylist()
             for name in sorted(set(langs)):
-                for own in _grouped([bodies[i] for i in np.flatnonzero(langs == name)], PIECE):
+                for own in _grouped([p for i in np.flatnonzero(langs == name) for p in _cut(bodies[i], PIECE)], PIECE):
                     words = words_of(own)
                     counts = np.bincount(words.trigram, minlength=BUCKETS)
                     scripts = np.bincount(words.script, weights=words.size, minlength=len(NAMES) + 1)
@@ -158,52 +162,153 @@ def _grouped(texts: list[str], size: int) -> Iterator[list[str]]:
         yield held
 
 
-def viterbi(scores: np.ndarray, begin: np.ndarray, count: np.ndarray, switch: float) -> np.ndarray:
-    """The best label of every word; text k has the ``count[k]`` words from ``begin[k]`` on.
+def _cut(text: str, size: int) -> Iterator[str]:
+    """``text`` in pieces that end behind the first gap after ``size`` characters, so that no word
+    is cut."""
+    at = 0
+    while at < len(text):
+        gap = GAP.search(text, at + size)
+        stop = gap.end() if gap else len(text)
+        yield text[at:stop]
+        at = stop
+
+
+def _advance(scores: np.ndarray, begin: np.ndarray, count: np.ndarray, value: np.ndarray, switch: float, back: Steps | None = None) -> np.ndarray:
+    """Best values behind the last word of every block, from the ones before its first word.
 
-    All texts advance together, one word at a time, the ones with most words first.
+    Block k has the ``count[k]`` words from ``begin[k]`` on. All blocks advance together, one word at
+    a time, the ones with most words first. The last axis of ``value`` is the label. ``back`` gets
+    what is needed to find the way back.
     """
-    label = np.zeros(len(scores), np.int16)
     order = np.argsort(-count, kind="stable")
-    begin, count = begin[order], count[order]
+    begin, count, value = begin[order], count[order], value[order]
     longest = int(count[0]) if len(count) else 0
     active = np.searchsorted(-count, -np.arange(longest), side="left")
-    stays = np.ones(scores.shape, bool)
-    origin = np.zeros(len(scores), np.int16)
-    end = np.zeros(len(count), np.int64)
-    value = scores[begin[: active[0]]] if longest else scores[:0]
-    for t in range(1, longest + 1):
-        more = active[t] if t < longest else 0
-        best = value.argmax(axis=1)
-        end[more : len(value)] = best[more:]
-        value, best = value[:more], best[:more]
-        if not more:
-            break
-        at = begin[:more] + t
-        jump = value[np.arange(more), best][:, None] - switch
-        stay = value >= jump
-        stays[at], origin[at] = stay, best
-        value = np.where(stay, value, jump) + scores[at]
-    for t in range(longest - 1, -1, -1):
-        at = begin[: active[t]] + t
-        own = end[: active[t]]
-        label[at] = own
-        end[: active[t]] = np.where(stays[at, own], own, origin[at])
-    return label
+    for t in range(longest):
+        own, at = value[: active[t]], begin[: active[t]] + t
+        jump = own.max(axis=-1, keepdims=True) - switch
+        if back is not None:
+            back.stays[at], back.origin[at] = own >= jump, own.argmax(axis=-1)
+        score = scores[at] if value.ndim == 2 else scores[at][:, None]
+        value[: active[t]] = np.maximum(own, jump) + score
+    after = np.empty_like(value)
+    after[order] = value
+    return after
 
 
-def label_texts(texts: list[str], model: Model, switch: float = SWITCH) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Label, number of letters and text of every word of ``texts``."""
-    parts, base = [], 0
+@dataclass
+class Steps:
+    """The way back through the words of several texts, each cut into blocks: whether a label is
+    kept from the word before, and the label that a switch comes from."""
+
+    begin: np.ndarray
+    count: np.ndarray
+    owner: np.ndarray
+    place: np.ndarray
+    stays: np.ndarray
+    origin: np.ndarray
+
+    def retreat(self, chosen: np.ndarray, state: np.ndarray, label: np.ndarray | None = None) -> np.ndarray:
+        """Labels before the first words of the blocks ``chosen``, from rows of labels of their last
+        words; ``label`` gets those of all words."""
+        order = np.argsort(-self.count[chosen], kind="stable")
+        begin, count, state = self.begin[chosen][order], self.count[chosen][order], state[order]
+        longest = int(count[0]) if len(count) else 0
+        active = np.searchsorted(-count, -np.arange(longest), side="left")
+        for t in range(longest - 1, -1, -1):
+            own, at = state[: active[t]], begin[: active[t]] + t
+            if label is not None:
+                label[at] = own[:, 0]
+            state[: active[t]] = np.where(self.stays[at[:, None], own], own, self.origin[at][:, None])
+        before = np.empty_like(state)
+        before[order] = state
+        return before
+
+    def labels(self, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Labels of all words, and of the word before each text, from that of each text's last word."""
+        width = self.stays.shape[1]
+        end = last[self.owner]
+        later = np.flatnonzero(self.place > 0)
+        comes_from = self.retreat(later, np.tile(np.arange(width), (len(later), 1)))
+        for k, origin in zip(later[::-1], comes_from[::-1], strict=True):
+            end[k - 1] = origin[end[k]]
+        label = np.zeros(len(self.stays), np.int16)
+        before = self.retreat(np.arange(len(end)), end[:, None], label)[:, 0]
+        first = self.place == 0
+        start = last.copy()
+        start[self.owner[first]] = before[first]
+        return label, start
+
+
+def trace(scores: np.ndarray, begin: np.ndarray, count: np.ndarray, switch: float, value: np.ndarray) -> tuple[Steps, np.ndarray]:
+    """The best ways through the words of several texts and their values at the end, from the
+    ``value`` of each text and label before its first word.
+
+    Texts are cut into blocks of ``BLOCK`` words, so that a long one takes as many steps as a block:
+    what a block adds on the way from each label to each other is found for all blocks together, and
+    values then cross the borders one block after the other.
+    """
+    blocks = -(-count // BLOCK)
+    owner = np.repeat(np.arange(len(count)), blocks)
+    place = np.arange(len(owner)) - np.repeat(np.cumsum(blocks) - blocks, blocks)
+    starts, sizes = begin[owner] + place * BLOCK, np.minimum(BLOCK, count[owner] - place * BLOCK)
+    entry = value[owner]
+    goes_on = np.flatnonzero(place + 1 < blocks[owner])
+    width = scores.shape[1]
+    unit = np.where(np.eye(width, dtype=bool), 0.0, -np.inf)
+    # As many blocks together as fit a bounded table of values from each label to each other.
+    for some in np.array_split(goes_on, max(1, -(-len(goes_on) * width * width // CELLS))):
+        ways = _advance(scores, starts[some], sizes[some], np.tile(unit, (len(some), 1, 1)), switch)
+        for k, way in zip(some, ways, strict=True):
+            entry[k + 1] = (entry[k][:, None] + way).max(axis=0)
+    steps = Steps(starts, sizes, owner, place, np.ones(scores.shape, bool), np.zeros(len(scores), np.int16))
+    ends = _advance(scores, starts, sizes, entry, switch, steps)
+    after = value.copy()
+    final = place + 1 == blocks[owner]
+    after[owner[final]] = ends[final]
+    return steps, after
+
+
+def viterbi(scores: np.ndarray, begin: np.ndarray, count: np.ndarray, switch: float) -> np.ndarray:
+    """The best label of every word; text k has the ``count[k]`` words from ``begin[k]`` on."""
+    steps, value = trace(scores, begin, count, switch, np.zeros((len(count), scores.shape[1])))
+    return steps.labels(value.argmax(axis=1))[0]
+
+
+def _scored(texts: list[str], model: Model) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The text, number of letters and scores of every word of ``texts``."""
+    parts, base = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros((0, len(model.languages)), np.float32))], 0
     for own in _grouped(texts, PIECE):
-        words = words_of(own)
-        kept = words.size > 0
-        parts.append((words.text[kept] + base, words.size[kept], model.scores(words)[kept]))
+        for part in ([p] for p in _cut(own[0], PIECE)) if len(own) == 1 else [own]:
+            words = words_of(part)
+            kept = words.size > 0
+            parts.append((words.text[kept] + base, words.size[kept], model.scores(words)[kept]))
         base += len(own)
-    none = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros((0, len(model.languages)), np.float32))
-    owner, size, scores = (np.concatenate(x) for x in zip(none, *parts, strict=True))
-    count = np.bincount(owner, minlength=len(texts))
-    return viterbi(scores, np.cumsum(count) - count, count, switch), size, owner
+    return tuple(np.concatenate(x) for x in zip(*parts, strict=True))
+
+
+def label_texts(texts: list[str], model: Model, switch: float = SWITCH) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Label, number of letters and text of every word of ``texts``.
+
+    A text beyond ``GROUP`` characters is read in parts: values cross from part to part, and what is
+    kept of a part is its way back, a byte for each word and language.
+    """
+    parts = [[p] for p in _cut(texts[0], GROUP)] if len(texts) == 1 else [texts]
+    value = np.zeros((len(texts), len(model.languages)))
+    held = []
+    for part in parts:
+        owner, size, scores = _scored(part, model)
+        count = np.bincount(owner, minlength=len(texts))
+        steps, value = trace(scores, np.cumsum(count) - count, count, switch, value)
+        held.append((steps, size, owner))
+    last = value.argmax(axis=1)
+    found = []
+    while held:
+        steps, size, owner = held.pop()
+        label, last = steps.labels(last)
+        found.append((label, size, owner))
+    none = (np.zeros(0, np.int16), np.zeros(0, np.int64), np.zeros(0, np.int64))
+    return tuple(np.concatenate(x) for x in zip(none, *found[::-1], strict=True))
 
 
 def identify(docs: DataFrame, model: Model, keys: list[str], text: str = "text", switch: float = SWITCH) -> DataFrame:
