@@ -229,9 +229,9 @@ def all_urls():
     return [*found, None, "", "://", "http://", "x://net/", "http://a/b\nc?d", "http://net/" + "x" * 50_000, found[0], found[0]]
 
 
-@pytest.mark.parametrize("bound", [1 << 20, 0])
-def test_rules(spark, monkeypatch, bound):
-    monkeypatch.setattr(urls, "MAX_BITS", bound)
+@pytest.mark.parametrize("bits", [10, 1])
+def test_rules(spark, monkeypatch, bits):
+    monkeypatch.setattr(urls, "BITS_PER_KEY", bits)
     rules = [*URL_RULES, ("allow", "www.example.net/"), ("block", "org"), ("block", "a.org/fr/x")]
     rows = [(i, u, "old") for i, u in enumerate(all_urls())]
     pages = spark.createDataFrame(rows, "page_id long, url string, host string")
@@ -246,9 +246,8 @@ def test_no_pages_and_no_rules(spark):
 
 
 def test_cascade_is_exact_with_weak_levels(spark, monkeypatch):
-    """One bit per key makes many wrong passes, so that several levels are needed."""
+    """Few bits per key make many wrong passes, so that several levels are needed."""
     monkeypatch.setattr(urls, "BITS_PER_KEY", 2)
-    monkeypatch.setattr(urls, "DIGESTS", 1)
     universe = spark.range(3_000).select(F.concat(F.lit("k"), "id").alias("key"))
     listed = universe.where("cast(substr(key, 2) as int) % 7 = 0")
     levels = urls.cascade(listed, universe)
@@ -257,6 +256,25 @@ def test_cascade_is_exact_with_weak_levels(spark, monkeypatch):
     assert sorted(r.key for r in found.collect()) == sorted(r.key for r in listed.collect())
 
 
+def test_a_long_list_is_a_cascade_as_well(spark):
+    """150,000 rules, of which every third host has a page, against a plain set."""
+    rules = [("block", f"h{i}.org/") for i in range(150_000)]
+    pages = spark.range(0, 300_000, 3).select(F.col("id").alias("page_id"), F.concat(F.lit("http://www.h"), "id", F.lit(".org/a")).alias("url"))
+    judged = urls.apply_rules(pages, rules)
+    assert "Join" not in judged._jdf.queryExecution().executedPlan().toString()
+    right = F.when(F.col("page_id") < 150_000, F.concat(F.lit("h"), "page_id", F.lit(".org/")))
+    assert judged.where(~F.col("rule").eqNullSafe(right)).count() == 0
+    assert judged.where("verdict = 'block'").count() == 50_000
+
+
+def test_few_pass_a_level_however_many_keys_there_are(spark):
+    universe = spark.range(200_000).select(F.concat(F.lit("k"), "id").alias("key"))
+    listed = universe.where("key in ('k1', 'k2', 'k3')")
+    assert urls.bits_per_key(3, 10**11) < 60 and urls.bits_per_key(100, 50) == urls.BITS_PER_KEY
+    first = urls.cascade(listed, universe).levels[0]
+    assert first.bits <= 128 and universe.where(first.passes(F.col("key"))).count() < 100
+
+
 def test_bytes_of_texts(spark):
     assert text_bytes(spark.createDataFrame([("é",), (None,), ("",)], "t string"), "t") == 2
     assert text_bytes(spark.createDataFrame([], "t string"), "t") == 0

@@ -6,10 +6,16 @@ second, and so on until none is left. For every key of the corpus the first leve
 have it says exactly whether it is listed, with no join over the pages. The key universe is what
 all pages could be listed by: each ending of a host with each beginning of the path that has the
 length of a rule's path.
+
+A level's bits per key follow the ratio of the keys that it must tell from those it encodes, so that
+about as many pass it wrongly as the rules' list is long, however large the corpus: all levels
+together take ``BITS_PER_KEY`` to some 60 bits for each rule, which is less than the list of rules
+itself, a parameter that the caller's driver already holds.
 """
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 import numpy as np
@@ -19,10 +25,8 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import ascii_lower
 from tidemark.session import stored
 
-#: Bits and digests per key: about one key in a hundred passes a level wrongly.
-BITS_PER_KEY, DIGESTS = 10, 7
-#: The largest level that is sent to all tasks; longer lists are joined instead.
-MAX_BITS = 1 << 20
+#: Bits per key at least: about one key in a hundred passes such a level wrongly.
+BITS_PER_KEY = 10
 
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
@@ -49,37 +53,51 @@ def keys_of(host: Column, path: Column, lengths: list[int]) -> Column:
     return F.flatten(F.transform(endings, lambda e: F.transform(heads, lambda h: F.concat(e, h))))
 
 
-def _places(key: Column, level: int, bits: int) -> list[Column]:
-    return [F.pmod(F.xxhash64(key, F.lit(level), F.lit(i)), F.lit(bits)) for i in range(DIGESTS)]
+def bits_per_key(encoded: int, others: int) -> int:
+    """Bits that let about as many of the ``others`` pass as keys are encoded, or a hundredth."""
+    return max(BITS_PER_KEY, math.ceil(math.log2(max(others, 1) / max(encoded, 1)) / math.log(2)) if others > encoded else 0)
+
+
+def _place(key: Column, level: int, digest: Column, bits: int) -> Column:
+    return F.pmod(F.xxhash64(key, F.lit(level), digest), F.lit(bits))
 
 
 @dataclass(frozen=True)
 class Level:
     number: int
     bits: int
+    digests: int
     words: tuple[int, ...]
 
     def passes(self, key: Column) -> Column:
+        """Whether all bits of a key are set; the first that is not ends the search."""
         words = F.lit(np.array(self.words, dtype=np.int64))
-        found = F.lit(True)
-        for place in _places(key, self.number, self.bits):
+
+        def is_set(digest: Column) -> Column:
+            place = _place(key, self.number, digest, self.bits)
             word = F.element_at(words, (F.shiftright(place, 6) + 1).cast("int"))
-            bit = F.call_function("shiftright", word, place.bitwiseAND(F.lit(63)).cast("int"))
-            found = found & (bit.bitwiseAND(F.lit(1)) == 1)
-        return found
+            return F.call_function("shiftright", word, place.bitwiseAND(F.lit(63)).cast("int")).bitwiseAND(F.lit(1)) == 1
+
+        return F.forall(_digests(self.digests), is_set)
 
 
-def level_of(keys: DataFrame, number: int, count: int) -> Level:
-    """The filter over ``keys(key)``; its bits are gathered as one row per 64 of them."""
-    bits = 64 * -(-max(count * BITS_PER_KEY, 1) // 64)
-    places = keys.select(F.explode(F.array(*_places(F.col("key"), number, bits))).alias("place"))
+def _digests(count: int) -> Column:
+    return F.array(*[F.lit(i) for i in range(count)])
+
+
+def level_of(keys: DataFrame, number: int, count: int, others: int) -> Level:
+    """The filter over the ``count`` rows of ``keys(key)`` that ``others`` are told from; its bits are
+    gathered as one row per 64 of them."""
+    each = bits_per_key(count, others)
+    bits, digests = 64 * -(-max(count * each, 1) // 64), max(1, round(each * math.log(2)))
+    places = keys.select("key", F.explode(_digests(digests)).alias("digest")).select(_place(F.col("key"), number, F.col("digest"), bits).alias("place"))
     word = F.shiftright("place", 6).alias("word")
     bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("place").bitwiseAND(F.lit(63)).cast("int"))
     rows = places.groupBy(word).agg(F.bit_or(bit).alias("value")).collect()
     words = [0] * (bits // 64)
     for row in rows:
         words[row.word] = row.value
-    return Level(number, bits, tuple(words))
+    return Level(number, bits, digests, tuple(words))
 
 
 @dataclass(frozen=True)
@@ -94,20 +112,17 @@ class Cascade:
         return answer
 
 
-def cascade(listed: DataFrame, universe: DataFrame) -> Cascade | None:
-    """The cascade for ``listed(key)`` over ``universe(key)``, both without repeats; None if a level
-    would be larger than ``MAX_BITS``."""
+def cascade(listed: DataFrame, universe: DataFrame) -> Cascade:
+    """The cascade for ``listed(key)`` over ``universe(key)``, both without repeats."""
     levels: list[Level] = []
     encoded, other = listed, universe.join(listed, "key", "left_anti")
-    while True:
-        count = encoded.count()
-        if count * BITS_PER_KEY > MAX_BITS:
-            return None
-        if not count:
-            return Cascade(tuple(levels))
-        level = level_of(encoded, len(levels), count)
+    count, others = listed.count(), universe.count()
+    while count:
+        level = level_of(encoded, len(levels), count, others)
         levels.append(level)
         encoded, other = stored(other.where(level.passes(F.col("key"))), "passing"), encoded
+        count, others = encoded.count(), count
+    return Cascade(tuple(levels))
 
 
 def apply_rules(pages: DataFrame, rules: list[tuple[str, str]], url: str = "url", default: str = "allow") -> DataFrame:
@@ -125,32 +140,15 @@ def apply_rules(pages: DataFrame, rules: list[tuple[str, str]], url: str = "url"
     parted = pages.withColumns({"host": host, "path": path})
     keys = keys_of(F.col("host"), F.col("path"), lengths)
     universe = stored(parted.select(F.explode(keys).alias("key")).distinct(), "universe")
-    found = {}
+    hits = []
     for verdict in sorted(set(verdict_of.values())):
         listed = spark.createDataFrame([(r,) for r, v in verdict_of.items() if v == verdict], "key string")
-        found[verdict] = cascade(listed, universe)
-    if verdict_of and all(found.values()):
-        hits = [_fitting(keys, verdict, levels) for verdict, levels in found.items()]
-        judged = parted.withColumn("_best", F.array_max(F.concat(*hits)))
-    else:
-        judged = _joined(parted, keys, list(verdict_of.items()))
+        hits.append(_fitting(keys, verdict, cascade(listed, universe)))
+    none = F.lit(None).cast("struct<n:int,rule:string,verdict:string>")
+    judged = parted.withColumn("_best", F.array_max(F.concat(*hits)) if hits else none)
     return judged.withColumns({"rule": F.col("_best.rule"), "verdict": F.coalesce("_best.verdict", F.lit(default))}).drop("_best")
 
 
 def _fitting(keys: Column, verdict: str, levels: Cascade) -> Column:
     listed = F.filter(keys, lambda key: levels.listed(key))
     return F.transform(listed, lambda key: F.struct(F.length(key).alias("n"), key.alias("rule"), F.lit(verdict).alias("verdict")))
-
-
-def _joined(parted: DataFrame, keys: Column, rules: list[tuple[str, str]]) -> DataFrame:
-    """For lists beyond the bound: distinct keys meet the rules in a join, and pages their keys'
-    best rule by their host and path."""
-    listed = parted.sparkSession.createDataFrame([(len(r), r, v) for r, v in rules], "n int, rule string, verdict string")
-    places = parted.select("host", "path").distinct()
-    best = (
-        places.select("host", "path", F.explode(keys).alias("key"))
-        .join(listed, F.col("key") == F.col("rule"))
-        .groupBy("host", "path")
-        .agg(F.max(F.struct("n", "rule", "verdict")).alias("_best"))
-    )
-    return parted.join(best, ["host", "path"], "left").select(*[F.col(f"`{c}`") for c in parted.columns], "_best")
