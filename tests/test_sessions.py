@@ -244,3 +244,19 @@ def test_large_files_are_read_in_blocks(spark, tmp_path):
     want = [sorted(map(tuple, frame.collect()), key=str) for frame in S.parse_sessions(read_session_files(spark, str(tmp_path)))]
     assert got == want and len(got[0]) == 6000
     assert [r.line_number for r in lines] == [24_000]
+
+
+def test_lines_are_found_and_trimmed_without_patterns(spark):
+    """Trimming looks at both ends of a text and gives what trimming all of it gives; lines and dates as before."""
+    from pyspark.sql import functions as F
+
+    from tidemark.functions.text import EDGE_BLANKS, trim_blanks
+
+    edges = ["", " ", "\t", "\x00", "\x1f ", "é", "\u0085", "　", "!", "~"]
+    rows = [(a + middle + b,) for a in edges for b in edges for middle in ("", "x", "a b", "ж")] + [(None,)]
+    trimmed = spark.createDataFrame(rows, "t STRING").select("t", trim_blanks(F.col("t")).alias("trimmed"))
+    assert all(r.trimmed == (r.t if r.t is None else r.t.strip(EDGE_BLANKS)) for r in trimmed.collect())
+    events = S.session_events(files_of(spark, " QS  \nQS \n\x01QS 1 2\nQS"))
+    assert [r.line_number for r in events.collect()] == [3]
+    parsed_plan = S.parse_warnings_of(events)._jdf.queryExecution().optimizedPlan().toString()
+    assert "RLIKE(line" not in parsed_plan and "regexp_extract" not in parsed_plan
