@@ -260,3 +260,22 @@ def test_lines_are_found_and_trimmed_without_patterns(spark):
     assert [r.line_number for r in events.collect()] == [3]
     parsed_plan = S.parse_warnings_of(events)._jdf.queryExecution().optimizedPlan().toString()
     assert "RLIKE(line" not in parsed_plan and "regexp_extract" not in parsed_plan
+
+
+def test_sessions_are_dealt_in_a_stated_number_of_parts(spark, small_lines):
+    """Parts sized by the narrow columns are too few for the text: here they would be one."""
+    from tidemark.plans.sessions import session_files
+    from tidemark.sources.tables import Tables
+
+    files = session_files(Tables(spark, small_lines))
+    assert files.rdd.getNumPartitions() >= 8 * spark.sparkContext.defaultParallelism
+
+
+@pytest.fixture
+def small_lines(spark, tmp_path):
+    """Line items with rows of one key and of no key."""
+    columns = "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, l_returnflag STRING, l_shipdate TIMESTAMP"
+    day = dt.datetime(2020, 6, 23)
+    rows = [(i // 7, i % 200, i % 10, i % 7 + 1, "NRA"[i % 3], day) for i in range(700)] + [(1, 1, 1, 1, "N", day)] * 2 + [(None, 1, 1, 2, "N", day)] * 2
+    spark.createDataFrame(rows, columns).write.parquet(str(tmp_path / "lineitem.parquet"))
+    return str(tmp_path)
