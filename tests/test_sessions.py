@@ -279,3 +279,16 @@ def small_lines(spark, tmp_path):
     rows = [(i // 7, i % 200, i % 10, i % 7 + 1, "NRA"[i % 3], day) for i in range(700)] + [(1, 1, 1, 1, "N", day)] * 2 + [(None, 1, 1, 2, "N", day)] * 2
     spark.createDataFrame(rows, columns).write.parquet(str(tmp_path / "lineitem.parquet"))
     return str(tmp_path)
+
+
+def test_joins_by_search_sort_by_a_digest_first(spark):
+    """Rows of one name meet as before, null names never; the first sort key is the digest."""
+    searches = spark.createDataFrame([("f", "1", "QS", DAY, ["A", "B"], 2)] * 2 + [(None, "1", "QS", DAY, ["A"], 2)], "source_file STRING, search_id STRING, search_type STRING, event_date DATE, documents ARRAY<STRING>, line_number INT")
+    opens = spark.createDataFrame([("f", "1", "A", None, 3)] * 3 + [("f", "2", "A", DAY, 4), (None, "1", "A", DAY, 5)], "source_file STRING, search_id STRING, document_id STRING, event_date DATE, line_number INT")
+    found, orphans = S.found_opens(searches.hint("merge"), opens), S.orphan_opens(searches.hint("merge"), opens)
+    assert found.columns == ["source_file", "search_id", "document_id", "line_number", "date", "date_restored"]
+    assert orphans.columns == opens.columns
+    assert [tuple(r)[2:] for r in found.collect()] == [("A", 3, DAY, True)] * 6
+    assert sorted(r.line_number for r in orphans.collect()) == [4, 5]
+    for joined in (found, orphans):
+        assert "[_key" in joined._jdf.queryExecution().executedPlan().toString()
