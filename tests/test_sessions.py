@@ -292,3 +292,14 @@ def test_joins_by_search_sort_by_a_digest_first(spark):
     assert sorted(r.line_number for r in orphans.collect()) == [4, 5]
     for joined in (found, orphans):
         assert "[_key" in joined._jdf.queryExecution().executedPlan().toString()
+
+
+def test_events_without_names_are_stored_and_counted(spark, small_lines):
+    from tidemark.plans import QUERIES
+
+    events = S.session_events(files_of(spark, "QS 01.01.2020_00:00:00 {q}\n7 A B\nDOC_OPEN 7 A\n"))
+    nameless = events.drop("source_file")
+    for part in (S.searches_of, S.doc_opens_of):
+        assert part(nameless).collect() == part(events).drop("source_file").collect()
+    plan = QUERIES["session_events"](spark, small_lines)._jdf.queryExecution().analyzed().toString()
+    assert "words" in plan and "source_file" not in plan
