@@ -303,3 +303,13 @@ def test_events_without_names_are_stored_and_counted(spark, small_lines):
         assert part(nameless).collect() == part(events).drop("source_file").collect()
     plan = QUERIES["session_events"](spark, small_lines)._jdf.queryExecution().analyzed().toString()
     assert "words" in plan and "source_file" not in plan
+
+
+@settings(max_examples=4, deadline=None, suppress_health_check=list(HealthCheck))
+@given(texts, st.integers(1, 5))
+def test_context_by_windows_that_carry_the_text(spark, batch, size):
+    blocks = in_blocks(spark, batch, size).select("source_file", "block", "content")
+    joined = sorted(map(str, S.block_context(blocks).collect()))
+    carried = S.block_context(blocks, together=True)
+    assert sorted(map(str, carried.select(S.block_context(blocks).columns).collect())) == joined
+    assert sorted(map(str, S.session_events(carried).collect())) == sorted(map(str, S.session_events(S.block_context(blocks)).collect()))
