@@ -313,3 +313,50 @@ def test_context_by_windows_that_carry_the_text(spark, batch, size):
     carried = S.block_context(blocks, together=True)
     assert sorted(map(str, carried.select(S.block_context(blocks).columns).collect())) == joined
     assert sorted(map(str, S.session_events(carried).collect())) == sorted(map(str, S.session_events(S.block_context(blocks)).collect()))
+
+
+def test_shares_hold_every_file_once_in_stated_parts(spark, small_lines):
+    from pyspark.sql import functions as F
+
+    from tidemark.plans.sessions import session_blocks
+    from tidemark.sources.tables import Tables
+
+    t = Tables(spark, small_lines)
+    shares = [session_blocks(t, 4, share, 3) for share in range(3)]
+    assert all(blocks.count() > 500 for blocks in shares)
+    named = [F.substring_index("source_file", "#", 1).alias("name"), "block", "content"]
+    dealt = sorted(row for blocks in shares for row in blocks.select(*named).collect())
+    assert dealt == sorted(session_blocks(t, 4).select(*named).collect())
+    assert sum(blocks.select("source_file").distinct().count() for blocks in shares) == 704  # line items
+    context = S.block_context(shares[0], together=True)
+    assert context.rdd.getNumPartitions() >= 8 * spark.sparkContext.defaultParallelism
+
+
+def test_shares_leave_their_counts_alone(spark, small_lines, monkeypatch):
+    """Neither events nor blocks nor shuffles of a share outlive it; what is counted is that of whole files."""
+    import os
+    import time
+
+    from tidemark.plans import QUERIES, sessions
+
+    def shuffles():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString(" ")
+        return set(re.findall(r"shuffle_(\d+)_", files))
+
+    def stages():
+        folder = os.path.join(spark.conf.get("spark.checkpoint.dir"), "tidemark")
+        return set(os.listdir(folder)) if os.path.isdir(folder) else set()
+
+    want = sorted(map(str, QUERIES["session_events"](spark, small_lines).collect()))
+    monkeypatch.setattr(sessions, "SHARE_BYTES", 1, raising=False)
+    monkeypatch.setattr(sessions, "MOST_SHARES", 3, raising=False)
+    stages_before, shuffles_before = stages(), shuffles()
+    counted = QUERIES["session_events_blocks"](spark, small_lines)
+    assert [name.split("-")[0] for name in stages() - stages_before] == ["days"] * 3
+    for _ in range(50):  # they are removed a moment later
+        if not shuffles() - shuffles_before:
+            break
+        time.sleep(0.2)
+    assert not shuffles() - shuffles_before
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+    assert sorted(map(str, counted.collect())) == want
